@@ -2,84 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loghelm.functions.text import SPACE
 
 DEFAULT_DIM = 384
 
+# The steps as SQL, each a function of what the step before bound to a name
+# (`transform(array(x), name -> ...)[0]` computes x once per row, however
+# often the body reads it).
 
-def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), f"(?U){SPACE}+"), lambda t: t != "")
+TOKENS = rf"filter(split(lower({{text}}), r'(?U){SPACE}+'), t -> t <> '')"
 
+# Bin: the token's md5 as a 128-bit number modulo the dimension, taken 32 bits
+# at a time so that it stays inside a BIGINT. Sign: the lowest bit.
+SIGNED_BINS = """
+transform({tokens}, token -> transform(array(md5(encode(token, 'UTF-8'))), digest -> named_struct(
+    'bin', cast({remainder} AS INT),
+    'sign', if(substr(digest, 32, 1) IN ('1', '3', '5', '7', '9', 'b', 'd', 'f'), 1D, -1D)))[0])
+"""
 
-def _let(value: Column, body) -> Column:
-    """Bind a value to a lambda variable, so that it is computed once per row
-    however often (and inside whatever lambda) the body reads it."""
-    return F.transform(F.array(value), body)[0]
+# One entry per bin, in bin order.
+BIN_SUMS = """
+transform(array_sort(array_distinct(hits.bin)), b -> named_struct(
+    'bin', b, 'total', aggregate(hits, 0D, (acc, h) -> acc + if(h.bin = b, h.sign, 0D))))
+"""
 
+# Divided by the norm, in single precision.
+UNIT_VALUES = """
+transform(array(cast(sqrt(aggregate(sums, 0D, (acc, s) -> acc + s.total * s.total)) AS FLOAT)), norm ->
+    transform(sums, s -> named_struct('bin', s.bin, 'value',
+        if(norm > 0, cast(cast(cast(s.total AS FLOAT) / norm AS FLOAT) AS DOUBLE), 0D))))[0]
+"""
 
-def signed_bin(token: Column, dim: int) -> Column:
-    """Bin (md5 as a 128-bit number modulo `dim`) and sign (its low bit) of a token.
+# The entries with runs of zeros before each and after the last.
+DENSE = """
+flatten(concat(
+    transform(entries, (e, i) -> concat(
+        array_repeat(0D, e.bin - if(i = 0, -1, get(entries, i - 1).bin) - 1), array(e.value))),
+    array(array_repeat(0D, {last} - if(size(entries) = 0, -1, get(entries, size(entries) - 1).bin)))))
+"""
 
-    The 128-bit remainder is taken 32 bits at a time, which stays inside a
-    BIGINT for any dimension below 2^31.
-    """
 
-    def from_digest(digest: Column) -> Column:
-        words = [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4)]
-        rest = words[0] % dim
-        for word in words[1:]:
-            rest = (rest * F.lit(1 << 32) + word) % dim
-        odd = F.substring(digest, 32, 1).isin(list("13579bdf"))
-        return F.struct(rest.cast("int").alias("bin"), F.when(odd, 1).otherwise(-1).alias("sign"))
+def _remainder(dim: int) -> str:
+    word = lambda i: f"cast(conv(substr(digest, {1 + 8 * i}, 8), 16, 10) AS BIGINT)"
+    out = f"{word(0)} % {dim}L"
+    for i in (1, 2, 3):
+        out = f"(({out}) * 4294967296L + {word(i)}) % {dim}L"
+    return out
+
 
-    return _let(F.md5(F.encode(token, "UTF-8")), from_digest)
+def tokens(text: str) -> Column:
+    return F.expr(TOKENS.format(text=text))
 
 
-def hash_embedding(text: Column, dim: int = DEFAULT_DIM) -> Column:
-    """Hashed vector of a text (zeros for a blank text), single precision values.
+def hash_embedding(text: str = "template", dim: int = DEFAULT_DIM) -> Column:
+    """Hashed vector of a text column (zeros for a blank text).
 
     Row-local: no shuffle, so it serves distinct templates in batch and single
     rows in a stream alike.
     """
-    zero = F.lit(0.0)
-
-    def totals(hits: Column) -> Column:
-        """One entry per bin, in bin order."""
-        return F.transform(
-            F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["bin"]))),
-            lambda b: F.struct(
-                b.alias("bin"),
-                F.aggregate(hits, zero, lambda acc, h: acc + F.when(h["bin"] == b, h["sign"]).otherwise(0)).alias("sum"),
-            ),
-        )
-
-    def unit(sums: Column, norm: Column) -> Column:
-        return F.transform(
-            sums,
-            lambda s: F.struct(
-                s["bin"],
-                F.when(norm > 0, (s["sum"].cast("float") / norm).cast("float").cast("double"))
-                .otherwise(zero)
-                .alias("value"),
-            ),
-        )
-
-    def dense(entries: Column) -> Column:
-        """Entries with runs of zeros before each and after the last."""
-        previous = lambda i: F.when(i == 0, -1).otherwise(F.get(entries, i - 1)["bin"])
-        filled = F.transform(
-            entries,
-            lambda e, i: F.concat(F.array_repeat(zero, e["bin"] - previous(i) - 1), F.array(e["value"])),
-        )
-        last = previous(F.size(entries))
-        return F.flatten(F.concat(filled, F.array(F.array_repeat(zero, F.lit(dim - 1) - last))))
-
-    def vector(sums: Column) -> Column:
-        norm = F.sqrt(F.aggregate(sums, zero, lambda acc, s: acc + s["sum"] * s["sum"])).cast("float")
-        return _let(_let(norm, lambda n: unit(sums, n)), dense)
-
-    hits = F.transform(tokens(text), lambda t: signed_bin(t, dim))
-    return _let(hits, lambda h: _let(totals(h), vector))
+    let = lambda value, name, body: f"transform(array({value}), {name} -> {body})[0]"
+    hits = SIGNED_BINS.format(tokens=TOKENS.format(text=text), remainder=_remainder(dim))
+    dense = DENSE.format(last=dim - 1)
+    return F.expr(let(hits, "hits", let(BIN_SUMS, "sums", let(UNIT_VALUES, "entries", dense))))

@@ -11,19 +11,20 @@ MODELS = ("isolation_forest", "kmeans", "autoencoder")
 # Raw scores keep this many decimals, so that equal scores stay equal (and on
 # the same side of a threshold) on every machine and in every batch.
 SCORE_DIGITS = 10
+# Fixed value: keeps the scaling finite when a range is empty.
+NORM_GUARD = 1e-8
 
 
-def min_max(score: Column, s_min: Column, s_max: Column) -> Column:
-    """Scale into 0..1; the small constant keeps an empty range finite."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (score - s_min) / (s_max - s_min + F.lit(1e-8))))
+def min_max(score: Column, s_min: float, s_max: float) -> Column:
+    """Scale into 0..1 by a known range."""
+    scaled = (score - F.lit(s_min)) / F.lit(s_max - s_min + NORM_GUARD)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), scaled))
 
 
-def scaled_threshold(score: Column, s_min: Column, s_max: Column) -> Column:
+def scaled_threshold(threshold: float, s_min: float, s_max: float) -> float:
     """Scale a threshold into 0..1, one half when the range is empty."""
     span = s_max - s_min
-    return F.when(F.abs(span) < 1e-8, F.lit(0.5)).otherwise(
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), (score - s_min) / span))
-    )
+    return 0.5 if abs(span) < NORM_GUARD else min(1.0, max(0.0, (threshold - s_min) / span))
 
 
 def matrix(vectors: pa.Array) -> np.ndarray:

@@ -24,6 +24,7 @@ SPACE = r"[\s\x1c-\x1f]"
 ALERT_WORDS = ("outofmemory", "hikaripool", "nullpointer", "panic", "deadlock", "timeout", "critical")
 HIGHLIGHT_WORDS = ("outofmemory", "hikaripool", "nullpointer", "panic", "deadlock", "error", "critical")
 
+ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 
@@ -70,6 +71,14 @@ def encode_label(label: Column) -> Column:
     return F.when(label == "Anomaly", 1).when(label == "Normal", 0).otherwise(-1)
 
 
+def _pick(standard: str, hdfs_group: int, std_group: int, other: str) -> Column:
+    """A field from the matching line shape."""
+    return F.expr(
+        f"CASE format WHEN 'hdfs' THEN regexp_extract(raw_text, r'{HDFS_LINE}', {hdfs_group}) "
+        f"WHEN 'standard' THEN regexp_extract(raw_text, r'{standard}', {std_group}) ELSE {other} END"
+    )
+
+
 def parse_lines(
     lines: DataFrame,
     value: str = "value",
@@ -84,35 +93,35 @@ def parse_lines(
     NULL `event_ts`.
     """
     standard = STANDARD_LINE_WITH_OFFSET if accept_offsets else STANDARD_LINE
-    raw = F.col("raw_text")
-    hdfs, std = F.col("format") == "hdfs", F.col("format") == "standard"
-
-    def pick(hdfs_group: int, std_group: int, other: Column) -> Column:
-        return (
-            F.when(hdfs, F.regexp_extract(raw, HDFS_LINE, hdfs_group))
-            .when(std, F.regexp_extract(raw, standard, std_group))
-            .otherwise(other)
-        )
-
-    fallback = F.date_format(F.current_timestamp() if ingest_ts is None else ingest_ts, ISO_MICROS)
-    day, clock = (F.regexp_extract(raw, HDFS_LINE, g) for g in (1, 2))
-    hdfs_ts = F.try_to_timestamp(F.concat(F.lit("20"), day, clock), F.lit("yyyyMMddHHmmss"))
-    hdfs_text = F.date_format(hdfs_ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    std_text = F.regexp_extract(raw, standard, 1)
-
-    shaped = lines.withColumn("raw_text", strip(F.col(value))).withColumn(
+    hdfs_ts = (
+        f"try_to_timestamp(concat('20', regexp_extract(raw_text, r'{HDFS_LINE}', 1), "
+        f"regexp_extract(raw_text, r'{HDFS_LINE}', 2)), 'yyyyMMddHHmmss')"
+    )
+    std_text = f"regexp_extract(raw_text, r'{standard}', 1)"
+    fallback = f"date_format(__ingest, \"{ISO_MICROS}\")"
+    hdfs_text = f"coalesce(date_format({hdfs_ts}, \"{ISO_SECONDS}\"), {fallback})"
+
+    shaped = lines.withColumns(
+        {"raw_text": strip(F.col(value)), "__ingest": F.current_timestamp() if ingest_ts is None else ingest_ts}
+    ).withColumn(
         "format",
-        F.when(raw.rlike(HDFS_LINE), "hdfs").when(raw.rlike(standard), "standard").otherwise("raw"),
+        F.expr(
+            f"CASE WHEN raw_text RLIKE r'{HDFS_LINE}' THEN 'hdfs' "
+            f"WHEN raw_text RLIKE r'{standard}' THEN 'standard' ELSE 'raw' END"
+        ),
     )
     fields = shaped.withColumns(
         {
-            "timestamp": F.when(hdfs, F.coalesce(hdfs_text, fallback)).when(std, std_text).otherwise(fallback),
-            "event_ts": F.when(hdfs, hdfs_ts).when(std, std_text.try_cast("timestamp")),
-            "level": pick(4, 2, F.lit("INFO")),
-            "source": pick(5, 3, F.lit("unknown")),
-            "message": pick(6, 4, raw),
+            "timestamp": F.expr(
+                f"CASE format WHEN 'hdfs' THEN {hdfs_text} WHEN 'standard' THEN {std_text} ELSE {fallback} END"
+            ),
+            "event_ts": F.expr(
+                f"CASE format WHEN 'hdfs' THEN {hdfs_ts} WHEN 'standard' THEN try_cast({std_text} AS TIMESTAMP) END"
+            ),
+            "level": _pick(standard, 4, 2, "'INFO'"),
+            "source": _pick(standard, 5, 3, "'unknown'"),
+            "message": _pick(standard, 6, 4, "raw_text"),
         }
     )
-    return fields.withColumns(
-        {"template": sanitize(F.col("message")), "block_id": block_id(F.col("message"))}
-    )
+    parsed = fields.withColumns({"template": sanitize(F.col("message")), "block_id": block_id(F.col("message"))})
+    return parsed.drop("__ingest")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loghelm.schemas import CENTROIDS
+from loghelm.session import parameter_table
 
 CLUSTERS = 10
 SEED = 42
@@ -20,7 +21,7 @@ def fit_kmeans(vectors: DataFrame, clusters: int = CLUSTERS, seed: int = SEED) -
     points = vectors.select(array_to_vector("embedding").alias("features"), F.col("n").cast("double").alias("w"))
     model = KMeans(k=clusters, seed=seed, weightCol="w", maxIter=300, tol=1e-4).fit(points)
     rows = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
-    return vectors.sparkSession.createDataFrame(rows, CENTROIDS)
+    return parameter_table(vectors.sparkSession, CENTROIDS, rows)
 
 
 def centers_of(centroids: DataFrame) -> np.ndarray:

@@ -18,16 +18,17 @@ PARAM_FIELDS = ("threshold", "norm_threshold", "s_min", "s_max")
 def load_params(params: DataFrame, scored: DataFrame | None = None) -> dict[str, dict[str, float]]:
     """The three parameter rows as numbers. Ranges that the table lacks come
     from the scored batch, missing normalised thresholds from the ranges."""
-    if scored is not None:
-        batch = score_stats(scored).withColumnsRenamed({"s_min": "b_min", "s_max": "b_max"})
-        params = params.join(batch, "model", "left").withColumns(
-            {"s_min": F.coalesce("s_min", "b_min"), "s_max": F.coalesce("s_max", "b_max")}
-        )
-    scaled = scaled_threshold(F.col("threshold"), F.col("s_min"), F.col("s_max"))
-    rows = params.select(
-        "model", "threshold", F.coalesce("norm_threshold", scaled).alias("norm_threshold"), "s_min", "s_max"
-    ).collect()  # one row per model
-    return {r["model"]: {f: r[f] for f in PARAM_FIELDS} for r in rows}
+    found = {r["model"]: {f: r[f] for f in PARAM_FIELDS} for r in params.collect()}  # one row per model
+    if any(found[m][f] is None for m in MODELS for f in ("s_min", "s_max")):
+        batch = {r["model"]: r for r in score_stats(scored).collect()}
+        for m in MODELS:
+            for f in ("s_min", "s_max"):
+                found[m][f] = batch[m][f] if found[m][f] is None else found[m][f]
+    for m in MODELS:
+        p = found[m]
+        if p["norm_threshold"] is None:
+            p["norm_threshold"] = scaled_threshold(p["threshold"], p["s_min"], p["s_max"])
+    return found
 
 
 def decide(scored: DataFrame, params: dict[str, dict[str, float]], model: str = "ensemble") -> DataFrame:
@@ -43,7 +44,7 @@ def decide(scored: DataFrame, params: dict[str, dict[str, float]], model: str =
         return F.col(m) >= F.lit(params[m]["threshold"])
 
     def norm(m: str) -> Column:
-        return min_max(F.col(m), F.lit(params[m]["s_min"]), F.lit(params[m]["s_max"]))
+        return min_max(F.col(m), params[m]["s_min"], params[m]["s_max"])
 
     votes = sum((flag(m).cast("int") for m in MODELS[1:]), flag(MODELS[0]).cast("int"))
     if model in MODELS:
@@ -89,8 +90,7 @@ def score_lines(
 def score_records(records: DataFrame, models: ModelTables, model: str = "ensemble") -> DataFrame:
     """Decide records that bring their own vector, row by row."""
     scored = score_vectors(records, models)
-    known = models.params.where(F.col("s_min").isNull() | F.col("s_max").isNull()).isEmpty()
-    return decide(scored, load_params(models.params, None if known else materialize(scored)), model)
+    return decide(scored, load_params(models.params, scored), model)
 
 
 def detect(

@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghelm import schemas
-from loghelm.functions.scoring import MODELS, SCORE_DIGITS, matrix, min_max, nearest_distance, residual_error
+from loghelm.functions.scoring import MODELS, NORM_GUARD, SCORE_DIGITS, matrix, nearest_distance, residual_error
 from loghelm.operators.clusters import CLUSTERS, centers_of, fit_kmeans
 from loghelm.operators.forest import Forest, fit_forest
-from loghelm.operators.ordering import weighted_percentile
+from loghelm.operators.ordering import weighted_percentiles
 from loghelm.operators.subspace import COMPONENTS, fit_pca, mean_and_axes
-from loghelm.session import materialize
+from loghelm.session import materialize, parameter_table
 from loghelm.sources.records import path_exists
 
 TABLES = ("params", "settings", "forest", "centroids", "pca")
@@ -67,7 +67,10 @@ def score_vectors(vectors: DataFrame, models: ModelTables) -> DataFrame:
     mean, axes = mean_and_axes(models.pca)
     forest = Forest(models.forest.toPandas())
     offset = setting(models.settings, "forest_offset", 0.0)
-    scored = vectors.withColumn("__s", raw_scores(F.col("embedding"), forest, offset, centers, mean, axes))
+    scores = raw_scores(F.col("embedding"), forest, offset, centers, mean, axes)
+    # Reading the vector twice keeps it a column of its own below the Python
+    # step, which cannot take the hashing expression as its argument.
+    scored = vectors.withColumn("__s", F.when(F.size("embedding") > 0, scores))
     return scored.select(*vectors.columns, *[F.col(f"__s.{m}").alias(m) for m in MODELS])
 
 
@@ -84,16 +87,14 @@ def calibrate(scored: DataFrame, weight: str = "n", percentile: float = 95.0) ->
     """Threshold, range and normalised threshold per model. `scored` is the
     materialized score table; the threshold comes from the very scores that
     it is compared with."""
-    spark = scored.sparkSession
-    thresholds = [(m, weighted_percentile(scored, m, weight, percentile)) for m in MODELS]
-    table = spark.createDataFrame(thresholds, "model string, threshold double")
-    return table.join(score_stats(scored), "model").select(
-        "model",
-        "threshold",
-        min_max(F.col("threshold"), F.col("s_min"), F.col("s_max")).alias("norm_threshold"),
-        "s_min",
-        "s_max",
-    )
+    thresholds = weighted_percentiles(scored, MODELS, weight, percentile)
+    ranges = {r["model"]: (r["s_min"], r["s_max"]) for r in score_stats(scored).collect()}  # one row per model
+    rows = []
+    for m in MODELS:
+        low, high = ranges[m]
+        norm = min(1.0, max(0.0, (thresholds[m] - low) / (high - low + NORM_GUARD)))
+        rows.append((m, thresholds[m], norm, low, high))
+    return parameter_table(scored.sparkSession, schemas.MODEL_PARAMS, rows)
 
 
 def fit(
@@ -112,10 +113,11 @@ def fit(
     nodes = materialize(fit_forest(vectors, total))
     centroids = fit_kmeans(vectors, n_clusters)
     pca = fit_pca(vectors, ae_latent_dim)
-    bare = ModelTables(None, spark.createDataFrame([], schemas.MODEL_SETTINGS), nodes, centroids, pca)
+    bare = ModelTables(None, parameter_table(spark, schemas.MODEL_SETTINGS, []), nodes, centroids, pca)
     scored = materialize(score_vectors(vectors, bare).select("n", *MODELS))
     # Scores above the offset are the `contamination` share of the lines.
-    offset = weighted_percentile(scored, "isolation_forest", "n", 100 * (1 - contamination))
+    forest_only = weighted_percentiles(scored, MODELS[:1], "n", 100 * (1 - contamination))
+    offset = forest_only["isolation_forest"]
     scored = scored.withColumn("isolation_forest", F.round(F.col("isolation_forest") - F.lit(offset), SCORE_DIGITS))
     settings = [
         ("contamination", float(contamination)),
@@ -124,8 +126,8 @@ def fit(
         ("forest_offset", float(offset)),
     ]
     return ModelTables(
-        params=materialize(calibrate(scored, percentile=percentile)),
-        settings=spark.createDataFrame(settings, schemas.MODEL_SETTINGS),
+        params=calibrate(scored, percentile=percentile),
+        settings=parameter_table(spark, schemas.MODEL_SETTINGS, settings),
         forest=nodes,
         centroids=centroids,
         pca=pca,
@@ -138,8 +140,8 @@ def given_models(spark: SparkSession, centers, mean, axes, nodes, offset: float,
     axis_rows = [(-1, [float(v) for v in mean])] + [(i, [float(v) for v in a]) for i, a in enumerate(axes)]
     return ModelTables(
         params=params,
-        settings=spark.createDataFrame([("forest_offset", float(offset))], schemas.MODEL_SETTINGS),
-        forest=spark.createDataFrame(nodes, schemas.FOREST_NODES),
-        centroids=spark.createDataFrame(centroid_rows, schemas.CENTROIDS),
-        pca=spark.createDataFrame(axis_rows, schemas.PCA_AXES),
+        settings=parameter_table(spark, schemas.MODEL_SETTINGS, [("forest_offset", float(offset))]),
+        forest=parameter_table(spark, schemas.FOREST_NODES, nodes),
+        centroids=parameter_table(spark, schemas.CENTROIDS, centroid_rows),
+        pca=parameter_table(spark, schemas.PCA_AXES, axis_rows),
     )

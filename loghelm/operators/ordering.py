@@ -93,27 +93,29 @@ def dense_positions(
     return numbered.withColumn(out, F.col(out) - 1)
 
 
-def weighted_percentile(
-    df: DataFrame, value: str, weight: str, percent: float, rows_per_range: int = ROWS_PER_RANGE
-) -> float | None:
-    """Linear-interpolated percentile of `value`, each counted `weight` times."""
+def weighted_percentiles(
+    df: DataFrame, values: tuple[str, ...], weight: str, percent: float, rows_per_range: int = ROWS_PER_RANGE
+) -> dict[str, float | None]:
+    """Linear-interpolated percentile of each column, a row counting `weight`
+    times. Exact: a table of few rows goes through the built-in aggregate,
+    whose buffer holds every distinct value; a longer one is ranked in ranges.
+    """
     if not 0 <= percent <= 100:
         raise ValueError("percentile must lie between 0 and 100")
-    values = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.sum(weight).alias("w"))
-    return _percentile_of_distinct(values, percent, rows_per_range)
+    if df.count() <= rows_per_range:
+        return df.agg(*[F.percentile(v, percent / 100, F.col(weight)).alias(v) for v in values]).first().asDict()
+    return {v: _ranked_percentile(df, v, weight, percent, rows_per_range) for v in values}
 
 
-def _percentile_of_distinct(values: DataFrame, percent: float, rows_per_range: int) -> float | None:
-    values = materialize(values)
-    total, distinct = values.agg(F.sum("w"), F.count("*")).first()
+def _ranked_percentile(df: DataFrame, value: str, weight: str, percent: float, rows_per_range: int) -> float | None:
+    counted = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.sum(weight).alias("w"))
+    counted = materialize(counted)
+    total = counted.agg(F.sum("w")).first()[0]
     if not total:
         return None
-    if distinct <= rows_per_range:
-        exact = values.agg(F.percentile("v", percent / 100, F.col("w")).alias("p"))
-        return exact.first()["p"]
     rank = percent / 100 * (total - 1)
     low = math.floor(rank)
-    ranked = running_totals(values, "v", {"cum": F.col("w")}, rows_per_range=rows_per_range)
+    ranked = running_totals(counted, "v", {"cum": F.col("w")}, rows_per_range=rows_per_range)
     row = ranked.agg(
         F.min(F.when(F.col("cum") > low, F.col("v"))).alias("a"),
         F.min(F.when(F.col("cum") > min(low + 1, total - 1), F.col("v"))).alias("b"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loghelm.schemas import PCA_AXES
+from loghelm.session import parameter_table
 
 COMPONENTS = 32
 
@@ -36,7 +37,7 @@ def fit_pca(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     leading = leading * np.sign(leading[np.arange(len(leading)), np.abs(leading).argmax(axis=1)])[:, None]
     table = [(-1, [float(v) for v in mean])]
     table += [(i, [float(v) for v in a]) for i, a in enumerate(leading)]
-    return vectors.sparkSession.createDataFrame(table, PCA_AXES)
+    return parameter_table(vectors.sparkSession, PCA_AXES, table)
 
 
 def mean_and_axes(pca: DataFrame) -> tuple[np.ndarray, np.ndarray]:

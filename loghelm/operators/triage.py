@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loghelm import schemas
-from loghelm.operators.models import setting
 from loghelm.operators.ordering import dense_positions, running_totals
-from loghelm.session import materialize
+from loghelm.session import materialize, parameter_table
 from loghelm.sources.records import path_exists, read_feedback
 
 # Bounds, default step and default cutoff.
@@ -107,11 +106,10 @@ def persist_adapted_cutoff(spark, model_path: str, feedback_path: str, rate: flo
     path = f"{model_path}/settings"
     if not path_exists(spark, path):
         return None
-    rows = spark.read.parquet(path).collect()  # a handful of settings
-    settings = spark.createDataFrame(rows, schemas.MODEL_SETTINGS)
-    base = setting(settings, "consensus_cutoff", DEFAULT_CUTOFF)
+    rows = [tuple(r) for r in spark.read.parquet(path).select("key", "value").collect()]  # a handful of settings
+    base = dict(rows).get("consensus_cutoff", DEFAULT_CUTOFF)
     cutoff = adapt_threshold(read_feedback(spark, feedback_path), base, rate).first()["threshold"]
-    kept = [(r["key"], r["value"]) for r in rows if r["key"] != "consensus_cutoff"]
-    updated = spark.createDataFrame([*kept, ("consensus_cutoff", cutoff)], schemas.MODEL_SETTINGS)
+    kept = [r for r in rows if r[0] != "consensus_cutoff"]
+    updated = parameter_table(spark, schemas.MODEL_SETTINGS, [*kept, ("consensus_cutoff", cutoff)])
     updated.coalesce(1).write.mode("overwrite").parquet(path)
     return cutoff

@@ -15,7 +15,7 @@ from loghelm.operators.labels import template_counts
 
 def template_vectors(lines: DataFrame, dim: int = DEFAULT_DIM) -> DataFrame:
     """Distinct templates with line count `n` and hashed vector."""
-    return template_counts(lines).withColumn("embedding", hash_embedding(F.col("template"), dim))
+    return template_counts(lines).withColumn("embedding", hash_embedding("template", dim))
 
 
 def distinct_vectors(records: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def export_records(spark: SparkSession, out_path: str, json_path: str, matrix_pa
 
 def record_of(lines: DataFrame, text: str, dim: int = DEFAULT_DIM, metrics: Column | None = None) -> DataFrame:
     """Record contract for rows with an id, time, source and a text to embed."""
-    return to_records(lines.withColumn("embedding", hash_embedding(F.col(text), dim)), metrics)
+    return to_records(lines.withColumn("embedding", hash_embedding(text, dim)), metrics)
 
 
 def train(spark: SparkSession, out_path: str, model_path: str, **settings) -> ModelTables:

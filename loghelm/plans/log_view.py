@@ -27,37 +27,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Text of the log line by event type, in the three line shapes.
+HDFS_HEAD = "date_format(ts, 'yyMMdd HHmmss'), ' ', user_id + 1, ' INFO '"
+STANDARD_HEAD = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), ' [', if(event_type = 'error', 'ERROR', 'INFO'), '] [svc-', user_id % 7, ']: '"
+LINE_TEXT = f"""
+CASE event_type
+WHEN 'view' THEN concat({HDFS_HEAD},
+    'dfs.FSNamesystem: BLOCK* NameSystem.allocateBlock: /user/part-', k, ' blk_', user_id * 7919)
+WHEN 'click' THEN concat({HDFS_HEAD},
+    'dfs.DataNode$DataXceiver: Receiving block blk_', user_id * 7919, ' src: /10.250.', user_id % 256, '.',
+    event_id % 256, ':', event_id % 9000 + 50010, ' dest: /10.251.', user_id % 200, '.', k, ':50010')
+WHEN 'error' THEN concat({STANDARD_HEAD}, CASE cents % 5
+    WHEN 0 THEN concat('java.lang.OutOfMemoryError: Java heap space allocating ', cents, ' bytes')
+    WHEN 1 THEN concat('HikariPool-1 - no connection, request timed out after ', cents, ' ms')
+    WHEN 2 THEN concat('java.lang.NullPointerException in handler status=500 item ', k)
+    WHEN 3 THEN concat('Deadlock found when trying to get lock, attempt ', k)
+    ELSE concat('Upstream connection timeout after ', cents, ' ms') END)
+WHEN 'purchase' THEN concat({STANDARD_HEAD}, 'Payment processed order ', event_id, ' status=200 duration=', k, 'ms')
+ELSE concat('session 0x', lower(hex(event_id)), ' user ', user_id, ' signed up from 10.0.', user_id % 256, '.', k,
+    ' in ', k, 'ms')
+END
+"""
+
+
 def log_lines(events: DataFrame) -> DataFrame:
-    """One log line per event, in the three line shapes; `line_no` is the event id."""
-    cents = F.round(F.col("value") * 100).cast("long")
-    user, event = F.col("user_id"), F.col("event_id")
-    k = F.regexp_extract("props", "([0-9]+)", 1)
-    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-    hdfs = text(F.date_format("ts", "yyMMdd HHmmss"), " ", user + 1, " INFO ")
-    block = text("blk_", user * 7919)
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    service = text(" [svc-", user % 7, "]: ")
-    fault = (
-        F.when(cents % 5 == 0, text("java.lang.OutOfMemoryError: Java heap space allocating ", cents, " bytes"))
-        .when(cents % 5 == 1, text("HikariPool-1 - no connection, request timed out after ", cents, " ms"))
-        .when(cents % 5 == 2, text("java.lang.NullPointerException in handler status=500 item ", k))
-        .when(cents % 5 == 3, text("Deadlock found when trying to get lock, attempt ", k))
-        .otherwise(text("Upstream connection timeout after ", cents, " ms"))
+    """One log line per event; `line_no` is the event id."""
+    numbered = events.selectExpr(
+        "event_id", "ts", "user_id", "event_type",
+        "cast(round(value * 100) AS BIGINT) AS cents", "regexp_extract(props, '([0-9]+)', 1) AS k",
     )
-    kind = F.col("event_type")
-    value = (
-        F.when(kind == "view", text(hdfs, "dfs.FSNamesystem: BLOCK* NameSystem.allocateBlock: /user/part-", k, " ", block))
-        .when(
-            kind == "click",
-            text(hdfs, "dfs.DataNode$DataXceiver: Receiving block ", block, " src: /10.250.", user % 256, ".",
-                 event % 256, ":", event % 9000 + 50010, " dest: /10.251.", user % 200, ".", k, ":50010"),
-        )
-        .when(kind == "error", text(stamp, " [ERROR]", service, fault))
-        .when(kind == "purchase", text(stamp, " [INFO]", service, "Payment processed order ", event, " status=200 duration=", k, "ms"))
-        .otherwise(text("session 0x", F.lower(F.hex(event)), " user ", user, " signed up from 10.0.", user % 256, ".", k, " in ", k, "ms"))
-    )
-    return events.select(
-        F.lit("events").alias("file"), event.alias("line_no"), "ts", text("host-", user % 20).alias("stream"), value.alias("value")
+    return numbered.selectExpr(
+        "'events' AS file", "event_id AS line_no", "ts", "concat('host-', user_id % 20) AS stream",
+        f"{LINE_TEXT} AS value",
     )
 
 
@@ -99,34 +100,30 @@ def _tree_rows() -> list[tuple]:
     return [(t, *node) for t, tree in enumerate(VIEW_TREES) for node in tree]
 
 
-def _means(vectors: DataFrame, *by: str) -> DataFrame:
-    """Weighted mean vector per group, as one row per group and dimension."""
-    cells = vectors.select(*by, "n", F.posexplode("embedding").alias("i", "v"))
-    return cells.groupBy(*by, "i").agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("m"))
-
-
-def _mean_vector(cells: DataFrame) -> list[float]:
-    return [r["m"] for r in cells.orderBy("i").select("m").collect()]  # one value per dimension
-
-
-def view_models(vectors: DataFrame, by: str, scored_weight: str = "n") -> ModelTables:
-    """Given detectors for weighted vectors: one centre per group, the leading
-    coordinate axes, two fixed trees; calibrated on the vectors."""
+def view_models(vectors: DataFrame, by: str) -> ModelTables:
+    """Given detectors for weighted vectors: the mean vector of every group as
+    a centre, the leading coordinate axes, two fixed trees; calibrated on the
+    vectors."""
     spark = vectors.sparkSession
     vectors = materialize(vectors)
-    cells = _means(vectors, by)
-    centers = [_mean_vector(cells.where(F.col(by) == g[0])) for g in cells.select(by).distinct().orderBy(by).collect()]
-    mean = _mean_vector(_means(vectors))
+    cells = vectors.select(by, "n", F.posexplode("embedding").alias("i", "v"))
+    sums = cells.groupBy(by, "i").agg(F.sum(F.col("v") * F.col("n")).alias("s"), F.sum("n").alias("n"))
+    rows = sums.orderBy(by, "i").collect()  # groups x dimensions values
+    centers, total, weight = {}, [0.0] * VIEW_DIM, [0] * VIEW_DIM
+    for r in rows:
+        centers.setdefault(r[by], []).append(r["s"] / r["n"])
+        total[r["i"]] += r["s"]
+        weight[r["i"]] += r["n"]
+    mean = [t / w for t, w in zip(total, weight)]
     axes = [[1.0 if i == a else 0.0 for i in range(VIEW_DIM)] for a in range(VIEW_AXES)]
-    bare = given_models(spark, centers, mean, axes, _tree_rows(), VIEW_OFFSET, None)
-    scored = materialize(score_vectors(vectors, bare).drop("embedding"))
-    bare.params = materialize(calibrate(scored, scored_weight))
-    return bare
+    given = given_models(spark, list(centers.values()), mean, axes, _tree_rows(), VIEW_OFFSET, None)
+    given.params = calibrate(materialize(score_vectors(vectors, given).drop("embedding")))
+    return given
 
 
 def line_models(spark: SparkSession, sf_dir: str) -> ModelTables:
     counts = template_counts(parsed_lines(spark, sf_dir), "format")
-    vectors = counts.withColumn("embedding", hash_embedding(F.col("template"), VIEW_DIM))
+    vectors = counts.withColumn("embedding", hash_embedding("template", VIEW_DIM))
     return view_models(vectors.select("format", "embedding", "n"), "format")
 
 
@@ -157,34 +154,35 @@ def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feedback_lines(events: DataFrame) -> DataFrame:
     """Feedback log lines, good and bad ones: a numeric id, an unknown verdict
     and broken JSON must be left out; a missing time is filled."""
-    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-    event, kind = F.col("event_id"), F.col("event_type")
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    value = (
-        F.when(kind == "purchase", text('{"log_id":"log_', event, '","administrator_verdict":"confirmed","timestamp":"', stamp, '"}'))
-        .when(kind == "error", text('  {"log_id":"log_', event, '","administrator_verdict":"dismissed","note":1}'))
-        .when(kind == "click", text('{"log_id":', event, ',"administrator_verdict":"confirmed"}'))
-        .when(kind == "view", text('{"log_id":"log_', event, '","administrator_verdict":"maybe"}'))
-        .otherwise(text('{"log_id":"log_', event))
+    return events.selectExpr(
+        """CASE event_type
+        WHEN 'purchase' THEN concat('{"log_id":"log_', event_id, '","administrator_verdict":"confirmed","timestamp":"',
+            date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), '"}')
+        WHEN 'error' THEN concat('  {"log_id":"log_', event_id, '","administrator_verdict":"dismissed","note":1}')
+        WHEN 'click' THEN concat('{"log_id":', event_id, ',"administrator_verdict":"confirmed"}')
+        WHEN 'view' THEN concat('{"log_id":"log_', event_id, '","administrator_verdict":"maybe"}')
+        ELSE concat('{"log_id":"log_', event_id) END AS value""",
+        "event_id AS line_no",
     )
-    return events.select(value.alias("value"), event.alias("line_no"))
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model answers quoting whole documents: plain JSON, fenced JSON, JSON in
-    prose, and plain text, by language."""
-    docs = table(spark, sf_dir, "documents")
-    severity = F.when(F.col("n_chars") > 5000, "CRITICAL!").when(F.col("n_chars") > 2000, "High").when(F.col("n_chars") > 500, "unsure").otherwise("low")
-    body = F.to_json(F.struct(F.col("text").alias("explanation"), severity.alias("severity"), F.array("lang", "source").alias("recommended_actions")))
-    bare = F.to_json(F.struct(severity.alias("severity"), F.col("source").alias("recommended_actions")))
-    content = (
-        F.when(F.col("lang") == "en", body)
-        .when(F.col("lang") == "fr", F.concat(F.lit("Here it is:\n```json\n"), body, F.lit("\n```\n")))
-        .when(F.col("lang") == "de", F.concat(F.lit("My answer is "), bare, F.lit(" as asked")))
-        .when(F.col("n_chars") > 1000, F.concat(F.lit("["), body, F.lit("]")))
-        .otherwise(F.replace(F.replace("text", F.lit("{"), F.lit("(")), F.lit("}"), F.lit(")")))
+    prose, a JSON array, and plain text, by language."""
+    rated = table(spark, sf_dir, "documents").selectExpr(
+        "*", "CASE WHEN n_chars > 5000 THEN 'CRITICAL!' WHEN n_chars > 2000 THEN 'High' "
+        "WHEN n_chars > 500 THEN 'unsure' ELSE 'low' END AS severity",
+    )
+    full = "to_json(named_struct('explanation', text, 'severity', severity, 'recommended_actions', array(lang, source)))"
+    bare = "to_json(named_struct('severity', severity, 'recommended_actions', source))"
+    return rated.selectExpr(
+        "format_string('log_%07d', doc_id) AS log_id",
+        f"""CASE WHEN lang = 'en' THEN {full}
+        WHEN lang = 'fr' THEN concat('Here it is:\\n```json\\n', {full}, '\\n```\\n')
+        WHEN lang = 'de' THEN concat('My answer is ', {bare}, ' as asked')
+        WHEN n_chars > 1000 THEN concat('[', {full}, ']')
+        ELSE translate(text, '{{}}', '()') END AS content""",
     )
-    return docs.select(log_id(F.col("doc_id")).alias("log_id"), content.alias("content"))
 
 
 def host_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

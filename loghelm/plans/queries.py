@@ -163,7 +163,7 @@ def record_contract(spark: SparkSession, sf: str) -> DataFrame:
     """Records with vector, written as JSON lines and read back in file order."""
     path = fresh_path(spark, "records")
     lines = view.parsed_lines(spark, sf)
-    wide = lines.withColumn("embedding", hash_embedding(F.col("template"), DIM))
+    wide = lines.withColumn("embedding", hash_embedding("template", DIM))
     metrics = F.create_map(F.lit("cpu_percent"), (F.col("line_no") % 100).cast("double"))
     records.write_records_json(records.to_records(wide, metrics), path)
     back = records.with_metric_columns(records.read_records(spark, path, "jsonl"))
@@ -227,7 +227,7 @@ def line_score_thresholds(spark: SparkSession, sf: str) -> DataFrame:
 def value_percentile(spark: SparkSession, sf: str) -> DataFrame:
     """95th percentile of all event values, found range by range."""
     values = view.table(spark, sf, "events").withColumn("n", F.lit(1))
-    p = ordering.weighted_percentile(values, "value", "n", 95.0, rows_per_range=2_000)
+    p = ordering.weighted_percentiles(values, ("value",), "n", 95.0, rows_per_range=2_000)["value"]
     return values.agg(F.count("*").alias("n"), F.round(F.max(F.lit(p)), 6).alias("p95"))
 
 
@@ -237,8 +237,8 @@ def _embedding_detections(spark: SparkSession, sf: str, model: str) -> DataFrame
 
 def _decision(spark: SparkSession, sf: str, model: str) -> DataFrame:
     return _embedding_detections(spark, sf, model).select(
-        "log_id", "votes", "is_anomaly", F.round("anomaly_score", 3).alias("anomaly_score"),
-        F.round("threshold_used", 3).alias("threshold_used"),
+        "log_id", "votes", "is_anomaly", "anomaly_score",
+        "threshold_used",
     )
 
 
@@ -277,8 +277,8 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
 def detected_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Detection contract for every line of the event log."""
     return _detected(spark, sf).select(
-        "log_id", F.round("anomaly_score", 3).alias("anomaly_score"), "is_anomaly",
-        F.round("threshold_used", 3).alias("threshold_used"), joined("context_window").alias("context"),
+        "log_id", "anomaly_score", "is_anomaly",
+        "threshold_used", joined("context_window").alias("context"),
     )
 
 
@@ -288,7 +288,7 @@ def detected_lines_salted(spark: SparkSession, sf: str) -> DataFrame:
     scored = detection.score_lines(
         view.parsed_lines(spark, sf), view.line_models(spark, sf), dim=DIM, broadcast_bytes=0
     )
-    return scored.select("log_id", "votes", "is_anomaly", F.round("anomaly_score", 3).alias("anomaly_score"))
+    return scored.select("log_id", "votes", "is_anomaly", "anomaly_score")
 
 
 @query
@@ -351,8 +351,7 @@ def queue_search(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def top_incidents(spark: SparkSession, sf: str) -> DataFrame:
-    top = queue.top_incidents(_embedding_detections(spark, sf, "ensemble"))
-    return top.withColumn("anomaly_score", F.round("anomaly_score", 3))
+    return queue.top_incidents(_embedding_detections(spark, sf, "ensemble"))
 
 
 @query
@@ -541,7 +540,7 @@ def _live(spark: SparkSession, sf: str, first_only: bool) -> DataFrame:
     )
     job.awaitTermination()
     return spark.read.parquet(out).select(
-        "log_id", "stream", F.round("anomaly_score", 3).alias("anomaly_score"), "threshold_used",
+        "log_id", "stream", "anomaly_score", "threshold_used",
         joined("context_window").alias("context"),
     )
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def build_session(master: str | None = None, app: str = "loghelm", **conf: str) -> SparkSession:
@@ -60,3 +63,9 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def parameter_table(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:
+    """A small table of settings or model parameters from driver values."""
+    columns = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(columns, schema=to_arrow_schema(schema)), schema)

@@ -52,7 +52,7 @@ def score_events(lines: DataFrame, models: ModelTables, dim: int = 384) -> DataF
     A line alerts on two votes or on an alert word; its score is the largest
     raw score.
     """
-    parsed = parse_lines(lines).withColumn("embedding", hash_embedding(F.col("template"), dim))
+    parsed = parse_lines(lines).withColumn("embedding", hash_embedding("template", dim))
     scored = decide(score_vectors(parsed, models).drop("embedding"), load_params(models.params))
     return scored.drop("anomaly_score", "is_anomaly", "threshold_used").withColumns(
         {
