@@ -21,6 +21,10 @@ IP_ADDRESS = r"(?U)/(?:\d{1,3}\.){3}\d{1,3}(?::\d+)?"
 HEX_NUMBER = r"0x[0-9a-fA-F]+"
 PLAIN_NUMBER = r"(?U)\b\d+\b"
 SPACE = r"[\s\x1c-\x1f]"
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 ALERT_WORDS = ("outofmemory", "hikaripool", "nullpointer", "panic", "deadlock", "timeout", "critical")
 HIGHLIGHT_WORDS = ("outofmemory", "hikaripool", "nullpointer", "panic", "deadlock", "error", "critical")
 
@@ -29,8 +33,8 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind at both ends (`trim` removes blanks only)."""
-    return F.regexp_replace(text, f"(?U)^{SPACE}+|{SPACE}+$", "")
+    """Remove white space of every kind at both ends."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def is_blank(text: Column) -> Column:
@@ -39,8 +43,9 @@ def is_blank(text: Column) -> Column:
 
 
 def drop_undecodable(text: Column) -> Column:
-    """Spark decodes bad bytes to U+FFFD; the line keeps the rest."""
-    return F.replace(text, F.lit("�"), F.lit(""))
+    """Leave out bytes that are no UTF-8; valid text, U+FFFD included, stays."""
+    repaired = F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
+    return F.when(F.is_valid_utf8(text), text).otherwise(repaired)
 
 
 def sanitize(message: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loghelm.operators.lookup import broadcast_if_small
 
-ROWS_PER_CHUNK = 100_000
+ROWS_PER_CHUNK = 10_000
 
 
 def with_context(

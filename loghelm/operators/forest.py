@@ -102,7 +102,7 @@ def fit_forest(
     sample = min(sample, total)
     limit = math.ceil(math.log2(max(sample, 2)))
 
-    def grow(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         # The vector breaks ties, so the drawn set never depends on arrival order.
         x = np.stack(rows["embedding"].to_numpy())
         chosen = np.lexsort((*x.T[::-1], rows["draw"].to_numpy()))[:sample]

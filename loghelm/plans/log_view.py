@@ -9,7 +9,7 @@ from loghelm.functions.text import log_id, parse_lines
 from loghelm.operators.models import ModelTables, calibrate, given_models, score_vectors
 from loghelm.operators.labels import label_map, template_counts
 from loghelm.functions.hashing import hash_embedding
-from loghelm.session import materialize
+from loghelm.session import fresh_path, materialize
 
 VIEW_DIM = 64
 VIEW_AXES = 16
@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input that comes in fewer partitions than there are cores,
+    dealt out to all of them; larger inputs stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Text of the log line by event type, in the three line shapes.
 HDFS_HEAD = "date_format(ts, 'yyMMdd HHmmss'), ' ', user_id + 1, ' INFO '"
 STANDARD_HEAD = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), ' [', if(event_type = 'error', 'ERROR', 'INFO'), '] [svc-', user_id % 7, ']: '"
@@ -65,11 +72,20 @@ def log_lines(events: DataFrame) -> DataFrame:
 def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log, parsed. It has no blank line and its ids run 0, 1, 2, ...,
     so the position equals the line number."""
-    lines = log_lines(table(spark, sf_dir, "events"))
+    lines = log_lines(spread(table(spark, sf_dir, "events")))
     parsed = parse_lines(lines, ingest_ts=F.col("ts"))
     return parsed.withColumn("pos", F.col("line_no")).withColumn("log_id", log_id(F.col("line_no")))
 
 
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed log as a table, for work that passes over it more than once:
+    each pass reads the columns it needs and parses nothing."""
+    path = fresh_path(spark, "lines")
+    lines = parsed_lines(spark, sf_dir)
+    lines.select("log_id", "file", "line_no", "pos", "stream", "format", "raw_text", "template", "block_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows: a large purchase labels its user's block, later rows overrule
     earlier ones, and users without one stay unknown."""
@@ -106,7 +122,7 @@ def view_models(vectors: DataFrame, by: str) -> ModelTables:
     vectors."""
     spark = vectors.sparkSession
     vectors = materialize(vectors)
-    cells = vectors.select(by, "n", F.posexplode("embedding").alias("i", "v"))
+    cells = vectors.select(by, "n", F.posexplode_outer("embedding").alias("i", "v"))
     sums = cells.groupBy(by, "i").agg(F.sum(F.col("v") * F.col("n")).alias("s"), F.sum("n").alias("n"))
     rows = sums.orderBy(by, "i").collect()  # groups x dimensions values
     centers, total, weight = {}, [0.0] * VIEW_DIM, [0] * VIEW_DIM
@@ -121,8 +137,8 @@ def view_models(vectors: DataFrame, by: str) -> ModelTables:
     return given
 
 
-def line_models(spark: SparkSession, sf_dir: str) -> ModelTables:
-    counts = template_counts(parsed_lines(spark, sf_dir), "format")
+def line_models(lines: DataFrame) -> ModelTables:
+    counts = template_counts(lines, "format")
     vectors = counts.withColumn("embedding", hash_embedding("template", VIEW_DIM))
     return view_models(vectors.select("format", "embedding", "n"), "format")
 

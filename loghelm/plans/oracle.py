@@ -8,6 +8,7 @@ from loghelm.operators.incidents import (
     DEFAULT_EXPLANATION,
     KNOWN_PATTERN,
     OTHER_ACTIONS,
+    OTHER_EXPLANATION,
     RULES,
 )
 from loghelm.plans.log_view import VIEW_AXES, VIEW_DIM, VIEW_OFFSET, VIEW_TREES
@@ -202,11 +203,10 @@ SEVERITY = rule_case(lambda r: quoted(r.severity if r else "medium"))
 PATTERN = rule_case(lambda r: quoted(KNOWN_PATTERN + r.pattern_id) if r else "NULL")
 N_ACTIONS = rule_case(lambda r: str(len(r.actions if r else OTHER_ACTIONS)))
 ACTIONS = rule_case(lambda r: quoted("\n".join(r.actions if r else OTHER_ACTIONS)))
-OTHER = "The detector vote flagged this line with deviation score "
 
 
 def explanation(score: str) -> str:
-    other = f"{quoted(OTHER)} || printf('%.4f', {score}) || '.'"
+    other = f"{quoted(OTHER_EXPLANATION)} || printf('%.4f', {score}) || '.'"
     return rule_case(lambda r: quoted(r.explanation) if r else other)
 
 

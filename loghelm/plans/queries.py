@@ -154,7 +154,7 @@ def sample_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def hashed_template_vectors(spark: SparkSession, sf: str) -> DataFrame:
     vecs = vectors.template_vectors(view.parsed_lines(spark, sf), DIM)
-    cells = vecs.select("template", "n", F.posexplode("embedding").alias("bin", "value"))
+    cells = vecs.select("template", "n", F.posexplode_outer("embedding").alias("bin", "value"))
     return cells.where(F.col("value") != 0).withColumn("value", F.round("value", 6))
 
 
@@ -219,7 +219,7 @@ def score_thresholds(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def line_score_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     """Thresholds of the event log, each template weighted by its lines."""
-    params = view.line_models(spark, sf).params
+    params = view.line_models(view.parsed_lines(spark, sf)).params
     return params.select("model", *[F.round(c, 6).alias(c) for c in detection.PARAM_FIELDS])
 
 
@@ -266,11 +266,13 @@ def autoencoder_decisions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _detected(spark: SparkSession, sf: str) -> DataFrame:
-    return detection.detect(view.parsed_lines(spark, sf), view.line_models(spark, sf), dim=DIM)
+    lines = view.stored_lines(spark, sf)
+    return detection.detect(lines, view.line_models(lines), dim=DIM)
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return detection.score_lines(view.parsed_lines(spark, sf), view.line_models(spark, sf), dim=DIM)
+    lines = view.stored_lines(spark, sf)
+    return detection.score_lines(lines, view.line_models(lines), dim=DIM)
 
 
 @query
@@ -285,9 +287,8 @@ def detected_lines(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def detected_lines_salted(spark: SparkSession, sf: str) -> DataFrame:
     """Decisions looked up the way they are with too many templates to broadcast."""
-    scored = detection.score_lines(
-        view.parsed_lines(spark, sf), view.line_models(spark, sf), dim=DIM, broadcast_bytes=0
-    )
+    lines = view.stored_lines(spark, sf)
+    scored = detection.score_lines(lines, view.line_models(lines), dim=DIM, broadcast_bytes=0)
     return scored.select("log_id", "votes", "is_anomaly", "anomaly_score")
 
 
@@ -311,8 +312,10 @@ def legacy_root_index(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def anomaly_contexts(spark: SparkSession, sf: str) -> DataFrame:
     """Context of the flagged lines only."""
-    flagged = materialize(_scored(spark, sf).where("is_anomaly").select("log_id", "file", "pos"))
-    found = context.context_of(flagged, view.parsed_lines(spark, sf))
+    lines = view.stored_lines(spark, sf)
+    scored = detection.score_lines(lines, view.line_models(lines), dim=DIM)
+    flagged = materialize(scored.where("is_anomaly").select("log_id", "file", "pos"))
+    found = context.context_of(flagged, lines)
     return found.select("log_id", joined("context_window").alias("context"))
 
 
@@ -368,8 +371,9 @@ def anomaly_rate(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def detector_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Precision to AUC of the three detectors and the vote against block labels."""
-    models = view.line_models(spark, sf)
-    scored = detection.score_lines(view.parsed_lines(spark, sf), models, dim=DIM)
+    log = view.stored_lines(spark, sf)
+    models = view.line_models(log)
+    scored = detection.score_lines(log, models, dim=DIM)
     lines = labelling.label_lines(scored, view.block_labels(spark, sf))
     thresholds = {m: p["threshold"] for m, p in detection.load_params(models.params).items()}
     quality = evaluation.evaluate(lines, thresholds)
@@ -515,7 +519,7 @@ def fitted_axes(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def fitted_detections(spark: SparkSession, sf: str) -> DataFrame:
     """Fit on the event log's templates, store, load, detect every line."""
-    lines = view.parsed_lines(spark, sf)
+    lines = view.stored_lines(spark, sf)
     path = fresh_path(spark, "models")
     detectors.fit(vectors.template_vectors(lines, DIM), ae_latent_dim=16).save(path)
     models = detectors.ModelTables.load(spark, path)
@@ -533,7 +537,7 @@ def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def _live(spark: SparkSession, sf: str, first_only: bool) -> DataFrame:
     out, state, mark = (fresh_path(spark, f"live-{part}") for part in ("alerts", "state", "checkpoint"))
-    models = view.line_models(spark, sf)
+    models = view.line_models(view.parsed_lines(spark, sf))
     lines = view.log_lines(_events_stream(spark, sf))
     job = live.run_live_alerts(
         lines, models, out, state, mark, order=("line_no",), first_only=first_only, dim=DIM

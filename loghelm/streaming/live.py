@@ -10,7 +10,7 @@ from loghelm.functions.hashing import hash_embedding
 from loghelm.functions.scoring import MODELS
 from loghelm.functions.text import HIGHLIGHT_WORDS, drop_undecodable, has_any_word, is_blank, parse_lines
 from loghelm.operators.context import with_trailing_context
-from loghelm.operators.detection import decide, load_params
+from loghelm.operators.detection import decide, load_params, score_lines
 from loghelm.operators.lookup import lookup
 from loghelm.operators.models import ModelTables, score_vectors
 from loghelm.operators.ordering import dense_positions
@@ -22,6 +22,7 @@ from loghelm.sources.records import parse_feedback
 LIVE_THRESHOLD = 0.50
 CONTEXT_SIZE = 5
 STATE_SCHEMA = "stream STRING, pos BIGINT, raw_text STRING, alerted BOOLEAN"
+# Order of a stream's lines; `raw_id` is the scan order within a batch.
 LINE_ORDER = ("file_time", "file", "split_start", "raw_id")
 
 
@@ -40,20 +41,13 @@ def tail_directory(
         F.col("_metadata.file_modification_time").alias("file_time"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("raw_id"),
     )
     return lines.where(~is_blank(F.col("value")))
 
 
-def score_events(lines: DataFrame, models: ModelTables, dim: int = 384) -> DataFrame:
-    """Raw scores, votes and the alert flag of every line; row-local, so batch
-    and stream give the same values.
-
-    A line alerts on two votes or on an alert word; its score is the largest
-    raw score.
-    """
-    parsed = parse_lines(lines).withColumn("embedding", hash_embedding("template", dim))
-    scored = decide(score_vectors(parsed, models).drop("embedding"), load_params(models.params))
+def as_live(scored: DataFrame) -> DataFrame:
+    """Alert flag and score of decided lines: a line alerts on two votes or on
+    an alert word, and its score is the largest raw score."""
     return scored.drop("anomaly_score", "is_anomaly", "threshold_used").withColumns(
         {
             "live_score": F.greatest(*MODELS),
@@ -63,6 +57,13 @@ def score_events(lines: DataFrame, models: ModelTables, dim: int = 384) -> DataF
     )
 
 
+def score_events(lines: DataFrame, models: ModelTables, dim: int = 384) -> DataFrame:
+    """Score every line of a stream on its own, without state; same values as
+    the scores per template of a batch."""
+    parsed = parse_lines(lines).withColumn("embedding", hash_embedding("template", dim))
+    return as_live(decide(score_vectors(parsed, models).drop("embedding"), load_params(models.params)))
+
+
 def alerts_of(
     scored: DataFrame, before: DataFrame, order: tuple[str, ...], first_only: bool = False, size: int = CONTEXT_SIZE
 ) -> tuple[DataFrame, DataFrame]:
@@ -76,7 +77,8 @@ def alerts_of(
     last = before.groupBy("stream").agg(
         (F.max("pos") + 1).alias("base"), F.bool_or("alerted").alias("had_alert")
     )
-    ranked = dense_positions(scored, order, ("stream",), out="rank")
+    kept = scored.select("stream", *order, "raw_text", "is_alert", "live_score")
+    ranked = dense_positions(materialize(kept), order, ("stream",), out="rank")
     placed = lookup(ranked, materialize(last), "stream", order).withColumn(
         "pos", F.col("rank") + F.coalesce("base", F.lit(0))
     )
@@ -146,7 +148,9 @@ def run_live_alerts(
             start = session.createDataFrame([], STATE_SCHEMA) if seed is None else seed
         else:
             start = session.read.schema(STATE_SCHEMA).parquet(slot(batch_id - 1))
-        scored = materialize(score_events(batch, models, dim).select("stream", *order, "raw_text", "is_alert", "live_score"))
+        batch = batch.withColumn("raw_id", F.monotonically_increasing_id())
+        parsed = materialize(parse_lines(batch).select("stream", *order, "raw_text", "template"))
+        scored = as_live(score_lines(parsed, models, dim=dim, spread=order))
         alerts, state = alerts_of(scored, materialize(start), order, first_only)
         alerts.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         state.write.mode("overwrite").parquet(slot(batch_id))
