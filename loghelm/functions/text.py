@@ -39,7 +39,7 @@ def strip(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """No character other than white space."""
-    return ~text.rlike(r"(?U)[^\s\x1c-\x1f]")
+    return strip(text) == ""
 
 
 def drop_undecodable(text: Column) -> Column:

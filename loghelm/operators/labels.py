@@ -25,15 +25,6 @@ def label_lines(
     return joined.withColumn("label", encode_label(F.col("label_text")))
 
 
-def lines_per_label(lines: DataFrame, labels: DataFrame) -> DataFrame:
-    """Blocks with their label and line count: lines are counted per block
-    before the join, so a block with many lines is one row there."""
-    blocks = lines.where(F.col("block_id").isNotNull()).groupBy("block_id").agg(F.count("*").alias("n"))
-    return blocks.join(labels.select("block_id", "label"), "block_id", "left").withColumn(
-        "label", F.coalesce("label", F.lit(UNKNOWN_LABEL))
-    )
-
-
 def preprocessing_summary(labelled: DataFrame, dim: int) -> DataFrame:
     """Total, vector dimension, and lines by label class (one row). Lines
     without a block are unknown."""
@@ -53,20 +44,21 @@ def sample_first_lines(lines: DataFrame, labels: DataFrame, num_lines: int = 25_
     Lines without a block count in no label class.
     """
     sample = lines.where(F.col("line_no") < num_lines)
-    with_block = sample.withColumn("block_id", block_id(F.col("value")))
-    blocks = lines_per_label(with_block, labels)
-    sampled_labels = blocks.select("block_id", "label")
+    found = sample.select(block_id(F.col("value")).alias("block_id"))
+    counted = found.groupBy("block_id").agg(F.count("*").alias("n"))  # one row per block from here on
+    labelled = counted.join(labels.select("block_id", "label"), "block_id", "left").withColumn(
+        "label", F.coalesce("label", F.lit(UNKNOWN_LABEL))
+    )
+    has_block, label = F.col("block_id").isNotNull(), F.col("label")
     count = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
-    other = ~F.col("label").isin("Anomaly", "Normal")
-    by_block = blocks.agg(
-        count(F.col("label") == "Normal").alias("normal_lines"),
-        count(F.col("label") == "Anomaly").alias("anomaly_lines"),
-        count(other).alias("unknown_lines"),
-        F.count("*").alias("unique_blocks"),
+    summary = labelled.agg(
+        count(F.lit(True)).alias("sampled_lines"),
+        count(has_block & (label == "Normal")).alias("normal_lines"),
+        count(has_block & (label == "Anomaly")).alias("anomaly_lines"),
+        count(has_block & ~label.isin("Normal", "Anomaly")).alias("unknown_lines"),
+        F.count("block_id").alias("unique_blocks"),
     )
-    total = sample.agg(F.count("*").alias("sampled_lines"))
-    summary = total.withColumn("one", F.lit(1)).join(by_block.withColumn("one", F.lit(1)), "one").drop("one")
-    return sample, sampled_labels, summary
+    return sample, labelled.where(has_block).select("block_id", "label"), summary
 
 
 def template_counts(lines: DataFrame, *by: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loghelm.session import materialize
+
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
 MAX_HOT_KEYS = 1_000
@@ -63,8 +65,7 @@ def lookup(
     """
     if table_bytes(table) <= broadcast_bytes:
         return facts.join(F.broadcast(table), key, "left")
-    if hot is None:
-        hot = sampled_hot_keys(facts, key)
+    hot = materialize(sampled_hot_keys(facts, key) if hot is None else hot)
     marks = F.broadcast(hot.withColumn("__hot", F.lit(True)))  # at most MAX_HOT_KEYS rows
     is_hot = F.col("__hot").isNotNull()
     salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")

@@ -17,24 +17,26 @@ from loghelm.session import materialize
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 10_000
+SAMPLE_PER_RANGE = 200
 
 
 def with_range(
     df: DataFrame, order: str, out: str = "__range", rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Number the range of `order` values a row falls into, ranges holding about
-    `rows_per_range` rows each. The cut points come from a quantile sketch (a
-    bounded number of values); where exactly they fall changes no result.
+    `rows_per_range` rows each. The cut points are quantiles of a row sample of
+    bounded size; where exactly they fall changes no result.
     """
     total = df.count()
     ranges = min(MAX_RANGES, math.ceil(total / rows_per_range))
     if ranges <= 1:
         return df.withColumn(out, F.lit(0))
-    position = _position(df, order)
+    position = _position(df, order).alias("__position")
+    fraction = min(1.0, ranges * SAMPLE_PER_RANGE / total)
+    sample = df.select(position).sample(fraction, seed=11)
     steps = [i / ranges for i in range(1, ranges)]
-    sketch = df.select(F.percentile_approx(position, steps, 10 * ranges).alias("cuts"))
-    cuts = sorted({c for c in sketch.first()["cuts"] or [] if c is not None})
-    splits = [-math.inf, *cuts, math.inf]
+    cuts = sample.select(F.percentile_approx("__position", steps, 10 * ranges).alias("cuts")).first()["cuts"]
+    splits = [-math.inf, *sorted({c for c in cuts or [] if c is not None}), math.inf]
     if len(splits) < 3:
         return df.withColumn(out, F.lit(0))
     cutter = Bucketizer(splits=splits, inputCol="__position", outputCol=out, handleInvalid="keep")

@@ -308,6 +308,13 @@ SQL = {
         CASE WHEN label IN (3, 4) THEN 0 ELSE 64 END::INT AS dim,
         CASE WHEN label IN (3, 4) THEN 0.0 ELSE round(list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))), 4) END::DOUBLE AS abs_sum
         FROM embeddings""",
+    "csv_records": """SELECT 'log_' || lpad(vec_id::VARCHAR, 7, '0') AS log_id,
+        'say "log_' || lpad(vec_id::VARCHAR, 7, '0') || '", twice' AS raw_text, 64::INT AS dim,
+        round(list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))), 4) AS abs_sum FROM embeddings""",
+    "evaluation_matrix": with_(
+        f"{PARSED}, {LABELS}",
+        f"SELECT log_id, coalesce(block_id, '') AS block_id, label, {VIEW_DIM}::INT AS dim FROM labelled",
+    ),
     "nearest_centroid_distance": with_(VECTOR_SCORES, f"SELECT {VEC_ID} AS log_id, round(kmeans, 6) AS distance FROM scores"),
     "reconstruction_errors": with_(VECTOR_SCORES, f"SELECT {VEC_ID} AS log_id, round(autoencoder, 7) AS error FROM scores"),
     "forest_scores": with_(VECTOR_SCORES, f"SELECT {VEC_ID} AS log_id, round(isolation, 6) AS score FROM scores"),
@@ -457,6 +464,13 @@ SQL = {
         walk AS (SELECT 0::BIGINT AS i, 5000::BIGINT AS cutoff
             UNION ALL SELECT s.i, greatest(1000, least(9500, w.cutoff + s.net))::BIGINT FROM walk w JOIN steps s ON s.i = w.i + 1)
         SELECT max(i)::BIGINT AS total, arg_max(cutoff, i) / 10000.0::DOUBLE AS threshold FROM walk""",
+    "persisted_cutoff": with_(
+        VERDICTS,
+        f"""SELECT 'contamination' AS key, 0.05::DOUBLE AS value UNION ALL
+        SELECT 'consensus_cutoff', round(greatest(0.1, least(0.95, once + net)), 4)::DOUBLE FROM (
+            SELECT net, round(greatest(0.1, least(0.95, 0.5 + net)), 4) AS once
+            FROM (SELECT (dismissed - confirmed) * 0.001 AS net FROM ({VERDICT_COUNTS})))""",
+    ),
     "metrics_at_incident": with_(
         SAMPLES,
         "SELECT f.log_id, f.host, s.cpu_percent, s.memory_percent FROM faults f ASOF LEFT JOIN samples s ON f.host = s.host AND f.ts >= s.ts",

@@ -13,7 +13,7 @@ from loghelm.operators import labels as labelling
 from loghelm.operators import models as detectors
 from loghelm.operators import ordering, queue, subspace, triage, vectors
 from loghelm.plans import log_view as view
-from loghelm.session import fresh_path, materialize
+from loghelm.session import fresh_path, materialize, parameter_table
 from loghelm.sources import records
 from loghelm.sources.files import read_numbered_lines
 from loghelm.streaming import live
@@ -186,6 +186,29 @@ def parsed_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return tagged.select("log_id", "fits", F.size("embedding").alias("dim"), F.round(total, 4).alias("abs_sum"))
 
 
+@query
+def csv_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with the vector as JSON text in a CSV cell, read back."""
+    path = fresh_path(spark, "csv-records")
+    table = view.embedding_records(spark, sf)
+    table.select(
+        "log_id", F.lit("t").alias("timestamp"), F.concat(F.lit('say "'), "log_id", F.lit('", twice')).alias("raw_text"),
+        F.lit("s").alias("source"), F.to_json("embedding").alias("embedding"), F.lit(None).cast("string").alias("metrics"),
+    ).write.csv(path, header=True, escape='"')
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + F.abs(v))
+    back = records.read_records(spark, path, "csv")
+    return back.select("log_id", "raw_text", F.size("embedding").alias("dim"), F.round(total, 4).alias("abs_sum"))
+
+
+@query
+def evaluation_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors and labels written as the evaluation table, read back."""
+    path = fresh_path(spark, "matrix")
+    lines = labelling.label_lines(view.parsed_lines(spark, sf), view.block_labels(spark, sf))
+    records.write_matrix(lines.withColumn("embedding", hash_embedding("template", DIM)), path)
+    return spark.read.parquet(path).select("log_id", "block_id", "label", F.size("embedding").alias("dim"))
+
+
 # --- scores with given parameters ------------------------------------------
 
 
@@ -480,6 +503,18 @@ def replayed_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return triage.replay_threshold(view.verdicts(spark, sf), "event_id", rate=0.0001, rows_per_chunk=300)
 
 
+@query
+def persisted_cutoff(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored cutoff after the feedback log was applied twice."""
+    model, log = fresh_path(spark, "model"), fresh_path(spark, "feedback")
+    start = parameter_table(spark, records.schemas.MODEL_SETTINGS, [("contamination", 0.05)])
+    start.write.parquet(f"{model}/settings")
+    records.append_feedback(view.verdicts(spark, sf), log)
+    for _ in range(2):
+        triage.persist_adapted_cutoff(spark, model, log, rate=0.001)
+    return spark.read.parquet(f"{model}/settings")
+
+
 @query
 def metrics_at_incident(spark: SparkSession, sf: str) -> DataFrame:
     found = host_metrics.metrics_as_of(

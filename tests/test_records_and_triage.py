@@ -174,3 +174,14 @@ def test_metrics_as_of(spark, rows_per_range):
     for r in newest:
         own = [s for s in samples if s[0] == r["host"]]
         assert r["cpu_percent"] == (max(own, key=lambda s: s[1])[2] if own else None)
+
+
+def test_latest_metrics_join_a_stream(spark, tmp_path):
+    metrics = spark.createDataFrame([("a", 1, 10.0, 1.0), ("a", 2, 20.0, 2.0)], "host string, t long, cpu_percent double, memory_percent double")
+    metrics = metrics.select("host", F.timestamp_seconds("t").alias("ts"), "cpu_percent", "memory_percent")
+    spark.createDataFrame([("a", "x"), ("b", "y")], "host string, log_id string").write.parquet(str(tmp_path / "in"))
+    alerts = spark.readStream.schema("host string, log_id string").parquet(str(tmp_path / "in"))
+    job = with_latest_metrics(alerts, metrics).writeStream.format("memory").queryName("with_metrics").start()
+    job.processAllAvailable()
+    job.stop()
+    assert {(r["log_id"], r["cpu_percent"]) for r in spark.table("with_metrics").collect()} == {("x", 20.0), ("y", None)}
