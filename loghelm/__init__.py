@@ -1,0 +1,9 @@
+"""Log anomaly and incident analytics on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so the executors
+# need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -16,6 +16,8 @@ STANDARD_LINE_WITH_OFFSET = (
     r"(?Ud)^(\d{4}-\d{2}-\d{2}[T\s]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})?)"
     r"\s+\[([A-Z]+)\]\s+\[([\w.\-]+)\]:\s+(.*)$"
 )
+HDFS_SEPARATOR = r"(?U)\s+"
+STANDARD_SEPARATOR = r"(?U)\s+\[|\]\s+\[|\]:\s+"
 BLOCK_ID = r"blk_[-0-9]+"
 IP_ADDRESS = r"(?U)/(?:\d{1,3}\.){3}\d{1,3}(?::\d+)?"
 HEX_NUMBER = r"0x[0-9a-fA-F]+"
@@ -76,14 +78,6 @@ def encode_label(label: Column) -> Column:
     return F.when(label == "Anomaly", 1).when(label == "Normal", 0).otherwise(-1)
 
 
-def _pick(standard: str, hdfs_group: int, std_group: int, other: str) -> Column:
-    """A field from the matching line shape."""
-    return F.expr(
-        f"CASE format WHEN 'hdfs' THEN regexp_extract(raw_text, r'{HDFS_LINE}', {hdfs_group}) "
-        f"WHEN 'standard' THEN regexp_extract(raw_text, r'{standard}', {std_group}) ELSE {other} END"
-    )
-
-
 def parse_lines(
     lines: DataFrame,
     value: str = "value",
@@ -98,14 +92,6 @@ def parse_lines(
     NULL `event_ts`.
     """
     standard = STANDARD_LINE_WITH_OFFSET if accept_offsets else STANDARD_LINE
-    hdfs_ts = (
-        f"try_to_timestamp(concat('20', regexp_extract(raw_text, r'{HDFS_LINE}', 1), "
-        f"regexp_extract(raw_text, r'{HDFS_LINE}', 2)), 'yyyyMMddHHmmss')"
-    )
-    std_text = f"regexp_extract(raw_text, r'{standard}', 1)"
-    fallback = f"date_format(__ingest, \"{ISO_MICROS}\")"
-    hdfs_text = f"coalesce(date_format({hdfs_ts}, \"{ISO_SECONDS}\"), {fallback})"
-
     shaped = lines.withColumns(
         {"raw_text": strip(F.col(value)), "__ingest": F.current_timestamp() if ingest_ts is None else ingest_ts}
     ).withColumn(
@@ -115,18 +101,26 @@ def parse_lines(
             f"WHEN raw_text RLIKE r'{standard}' THEN 'standard' ELSE 'raw' END"
         ),
     )
-    fields = shaped.withColumns(
+    # The shape is known, so one split at its separators yields all fields:
+    # date, time, pid, level, component, message; or time, level, source, message.
+    split = shaped.withColumn(
+        "__f",
+        F.expr(
+            f"CASE format WHEN 'hdfs' THEN split(raw_text, r'{HDFS_SEPARATOR}', 6) "
+            f"WHEN 'standard' THEN split(raw_text, r'{STANDARD_SEPARATOR}', 4) END"
+        ),
+    ).withColumn("__ts", F.expr("try_to_timestamp(if(format = 'hdfs', concat('20', __f[0], __f[1]), NULL), 'yyyyMMddHHmmss')"))
+    by_shape = "CASE format WHEN 'hdfs' THEN {} WHEN 'standard' THEN {} ELSE {} END"
+    fallback = f'date_format(__ingest, "{ISO_MICROS}")'
+    hdfs_text = f'coalesce(date_format(__ts, "{ISO_SECONDS}"), {fallback})'
+    fields = split.withColumns(
         {
-            "timestamp": F.expr(
-                f"CASE format WHEN 'hdfs' THEN {hdfs_text} WHEN 'standard' THEN {std_text} ELSE {fallback} END"
-            ),
-            "event_ts": F.expr(
-                f"CASE format WHEN 'hdfs' THEN {hdfs_ts} WHEN 'standard' THEN try_cast({std_text} AS TIMESTAMP) END"
-            ),
-            "level": _pick(standard, 4, 2, "'INFO'"),
-            "source": _pick(standard, 5, 3, "'unknown'"),
-            "message": _pick(standard, 6, 4, "raw_text"),
+            "timestamp": F.expr(by_shape.format(hdfs_text, "__f[0]", fallback)),
+            "event_ts": F.expr(by_shape.format("__ts", "try_cast(__f[0] AS TIMESTAMP)", "NULL")),
+            "level": F.expr(by_shape.format("__f[3]", "__f[1]", "'INFO'")),
+            "source": F.expr(by_shape.format("substring_index(__f[4], ':', 1)", "__f[2]", "'unknown'")),
+            "message": F.expr(by_shape.format("__f[5]", "__f[3]", "raw_text")),
         }
     )
     parsed = fields.withColumns({"template": sanitize(F.col("message")), "block_id": block_id(F.col("message"))})
-    return parsed.drop("__ingest")
+    return parsed.drop("__ingest", "__f", "__ts")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,39 +31,33 @@ def average_path(n):
 def draw_samples(
     vectors: DataFrame, total: int, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
 ) -> DataFrame:
-    """Rows for every tree: `sample` lines drawn without replacement from all
-    `total` lines, seen through the weighted table.
+    """Candidate rows (`tree`, `draw`, `embedding`) for every tree: `sample`
+    lines drawn without replacement from all `total` lines, seen through the
+    weighted table.
 
     Each line holds one uniform number per tree and the smallest numbers win.
     A template of n lines only has to produce its numbers below a bound that
-    the winners stay under (their count there is binomial, seeded by its `key`), so the lines are
-    not read again and a template with a third of them costs no more than
-    any other. The bound lets about 2 x `sample` candidates per tree pass.
+    the winners stay under (their count there is binomial, seeded by its `key`),
+    so the lines are not read again and a template with a third of them costs
+    no more than any other. About 2 x `sample` candidates per tree pass the
+    bound; that many keys are broadcast to pick up their vectors.
     """
     bound = min(1.0, (sample + 12.0 * math.sqrt(sample) + 50.0) / total)
 
-    def candidates(batches):
+    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            tree_col, draw_col, row_col = [], [], []
-            for row, (key, n) in enumerate(zip(batch["key"], batch["n"])):
+            drawn = []
+            for key, n in zip(batch["key"].to_numpy(), batch["n"].to_numpy()):
                 rng = np.random.default_rng([seed, int(key) & 0xFFFFFFFFFFFFFFFF])
-                hits = rng.binomial(n, bound, size=trees)
-                tree = np.repeat(np.arange(trees), hits)
+                tree = np.repeat(np.arange(trees, dtype=np.int32), rng.binomial(n, bound, size=trees))
                 if len(tree):
-                    tree_col.append(tree)
-                    draw_col.append(rng.random(len(tree)) * bound)
-                    row_col.append(np.full(len(tree), row))
-            if tree_col:
-                rows = np.concatenate(row_col)
-                yield pd.DataFrame(
-                    {
-                        "tree": np.concatenate(tree_col).astype("int32"),
-                        "draw": np.concatenate(draw_col),
-                        "embedding": batch["embedding"].to_numpy()[rows],
-                    }
-                )
-
-    return vectors.select("embedding", "n", "key").mapInPandas(candidates, "tree int, draw double, embedding array<double>")
+                    drawn.append((tree, rng.random(len(tree)) * bound, np.full(len(tree), key)))
+            if drawn:
+                tree, draw, key = (np.concatenate(column) for column in zip(*drawn))
+                yield pd.DataFrame({"tree": tree, "draw": draw, "key": key})
+
+    drawn = vectors.select("key", "n").mapInPandas(candidates, "tree int, draw double, key long")
+    return vectors.select("key", "embedding").join(F.broadcast(drawn), "key").drop("key")
 
 
 def grow_tree(tree: int, x: np.ndarray, limit: int, seed: int = SEED) -> pd.DataFrame:
