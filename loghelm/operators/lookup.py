@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from loghelm.session import materialize
 
 BROADCAST_BYTES = 64 << 20
-SALTS = 64
+ROWS_PER_SALT = 1_000_000
 MAX_HOT_KEYS = 1_000
 
 
@@ -37,16 +37,18 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
 
 def hot_keys(counts: DataFrame, key: str, total: int, count: str = "n") -> DataFrame:
-    """Keys holding at least 1/MAX_HOT_KEYS of all rows: at most MAX_HOT_KEYS."""
-    return counts.where(F.col(count) * MAX_HOT_KEYS >= F.lit(total)).select(key)
+    """Keys with at least 1/MAX_HOT_KEYS of all rows (so at most MAX_HOT_KEYS)
+    and their row counts `n`."""
+    return counts.where(F.col(count) * MAX_HOT_KEYS >= F.lit(total)).select(key, F.col(count).alias("n"))
 
 
 def sampled_hot_keys(facts: DataFrame, key: str, fraction: float = 0.01) -> DataFrame:
-    """Likely hot keys from a row sample. They only steer how rows are spread
-    over tasks; the join result is the same whatever they are."""
+    """Likely hot keys and row counts from a row sample. They only steer how
+    rows are spread over tasks; the join result is the same whatever they are."""
     sample = facts.select(key).where(F.col(key).isNotNull()).sample(fraction, seed=7)
     counts = sample.groupBy(key).agg(F.count("*").alias("n"))
-    return counts.where(F.col("n") >= 50).orderBy(F.desc("n")).limit(MAX_HOT_KEYS).select(key)
+    largest = counts.where(F.col("n") >= 50).orderBy(F.desc("n")).limit(MAX_HOT_KEYS)
+    return largest.select(key, (F.col("n") / fraction).cast("long").alias("n"))
 
 
 def lookup(
@@ -56,23 +58,25 @@ def lookup(
     spread: tuple[str, ...],
     hot: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """`facts` left-joined with `table` (unique in `key`, materialized).
 
     A table measured as small is broadcast and `facts` do not move. Otherwise
-    rows of hot keys, and rows without a key, are spread over SALTS sub-keys by
-    a hash of the `spread` columns, and the few hot table rows are repeated.
+    the rows of a hot key are spread by a hash of the `spread` columns over
+    as many sub-keys as its row count needs, and its table row is repeated for
+    each; rows without a key, which match nothing, are spread freely.
     """
     if table_bytes(table) <= broadcast_bytes:
         return facts.join(F.broadcast(table), key, "left")
-    hot = materialize(sampled_hot_keys(facts, key) if hot is None else hot)
-    marks = F.broadcast(hot.withColumn("__hot", F.lit(True)))  # at most MAX_HOT_KEYS rows
-    is_hot = F.col("__hot").isNotNull()
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    hot = sampled_hot_keys(facts, key) if hot is None else hot
+    salts = F.ceil(F.col("n") / rows_per_salt).cast("int").alias("__salts")
+    marks = F.broadcast(materialize(hot.select(key, salts)))  # at most MAX_HOT_KEYS rows
+    spread_over = F.when(F.col(key).isNull(), F.lit(1 << 30)).otherwise(F.coalesce("__salts", F.lit(1)))
     salted_facts = facts.join(marks, key, "left").withColumn(
-        "__salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(0)
+        "__salt", F.pmod(F.xxhash64(*spread), spread_over).cast("int")
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
     salted_table = table.join(marks, key, "left").withColumn("__salt", F.explode(copies))
-    joined = salted_facts.drop("__hot").join(salted_table.drop("__hot"), [key, "__salt"], "left")
+    joined = salted_facts.drop("__salts").join(salted_table.drop("__salts"), [key, "__salt"], "left")
     return joined.drop("__salt")

@@ -311,7 +311,7 @@ def detected_lines(spark: SparkSession, sf: str) -> DataFrame:
 def detected_lines_salted(spark: SparkSession, sf: str) -> DataFrame:
     """Decisions looked up the way they are with too many templates to broadcast."""
     lines = view.stored_lines(spark, sf)
-    scored = detection.score_lines(lines, view.line_models(lines), dim=DIM, broadcast_bytes=0)
+    scored = detection.score_lines(lines, view.line_models(lines), dim=DIM, broadcast_bytes=0, rows_per_salt=50)
     return scored.select("log_id", "votes", "is_anomaly", "anomaly_score")
 
 

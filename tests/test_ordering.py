@@ -71,11 +71,12 @@ def test_salted_lookup_equals_broadcast(spark):
     rows = skewed(2000) + [(10_000 + i, None, i, 0) for i in range(700)]
     facts = spark.createDataFrame(rows, "id long, k string, o long, v long")
     table = spark.createDataFrame([("hot", 1), ("k3", 2), ("unused", 3)], "k string, w int")
-    hot = spark.createDataFrame([("hot",)], "k string")
+    hot = spark.createDataFrame([("hot", 800)], "k string, n long")
     plain = {(r["id"], r["w"]) for r in lookup(facts, table, "k", ("id",)).collect()}
-    salted = lookup(facts, table, "k", ("id",), hot=hot, broadcast_bytes=0)
+    salted = lookup(facts, table, "k", ("id",), hot=hot, broadcast_bytes=0, rows_per_salt=30)
     rows_out = salted.collect()
     assert len(rows_out) == len(rows)
     assert {(r["id"], r["w"]) for r in rows_out} == plain
+    assert "__salt" in salted._jdf.queryExecution().executedPlan().toString()
     sampled = lookup(facts, table, "k", ("id",), broadcast_bytes=0)
     assert {(r["id"], r["w"]) for r in sampled.collect()} == plain
