@@ -68,6 +68,17 @@ def above_cutoff(detections: DataFrame, cutoff: float) -> DataFrame:
     return detections.withColumn("is_anomaly", F.col("is_anomaly") & (F.col("anomaly_score") >= cutoff))
 
 
+def decide_templates(
+    lines: DataFrame, models: ModelTables, model: str = "ensemble", dim: int = 384
+) -> tuple[DataFrame, DataFrame]:
+    """Decisions per distinct template, and the templates with a large share
+    of the lines. Templates are embedded, scored and decided once each."""
+    scored = materialize(score_vectors(template_vectors(lines, dim), models).drop("embedding"))
+    total = scored.agg(F.sum("n")).first()[0] or 0
+    decided = decide(scored, load_params(models.params, scored), model)
+    return decided.drop("n"), hot_keys(scored, "template", total)
+
+
 def score_lines(
     lines: DataFrame,
     models: ModelTables,
@@ -76,15 +87,10 @@ def score_lines(
     spread: tuple[str, ...] = ("file", "line_no"),
     **lookup_options,
 ) -> DataFrame:
-    """Decide every line. Templates are embedded, scored and decided once each;
-    the lines then look their template up. Templates with a large share of
-    the lines are known from the counts and are split up in a shuffled lookup.
-    """
-    scored = materialize(score_vectors(template_vectors(lines, dim), models).drop("embedding"))
-    total = scored.agg(F.sum("n")).first()[0] or 0
-    decided = decide(scored, load_params(models.params, scored), model)
-    hot = hot_keys(scored, "template", total)
-    return lookup(lines, decided.drop("n"), "template", spread, hot=hot, **lookup_options)
+    """Decide every line by looking its template up. Hot templates are known
+    from the counts and are split up in a shuffled lookup."""
+    decided, hot = decide_templates(lines, models, model, dim)
+    return lookup(lines, decided, "template", spread, hot=hot, **lookup_options)
 
 
 def score_records(records: DataFrame, models: ModelTables, model: str = "ensemble") -> DataFrame:

@@ -10,7 +10,7 @@ from loghelm.functions.hashing import hash_embedding
 from loghelm.functions.scoring import MODELS
 from loghelm.functions.text import HIGHLIGHT_WORDS, drop_undecodable, has_any_word, is_blank, parse_lines
 from loghelm.operators.context import with_trailing_context
-from loghelm.operators.detection import decide, load_params, score_lines
+from loghelm.operators.detection import decide, decide_templates, load_params
 from loghelm.operators.lookup import lookup
 from loghelm.operators.models import ModelTables, score_vectors
 from loghelm.operators.ordering import dense_positions
@@ -64,31 +64,28 @@ def score_events(lines: DataFrame, models: ModelTables, dim: int = 384) -> DataF
     return as_live(decide(score_vectors(parsed, models).drop("embedding"), load_params(models.params)))
 
 
+def place_lines(lines: DataFrame, before: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Number the lines of each stream on from its last line so far, and mark
+    the streams that have alerted. `lines` is materialized."""
+    last = before.groupBy("stream").agg((F.max("pos") + 1).alias("base"), F.bool_or("alerted").alias("alerted"))
+    ranked = dense_positions(lines, order, ("stream",), out="rank")
+    return lookup(ranked, last, "stream", order).withColumns(
+        {"pos": F.col("rank") + F.coalesce("base", F.lit(0)), "alerted": F.coalesce("alerted", F.lit(False))}
+    )
+
+
 def alerts_of(
-    scored: DataFrame, before: DataFrame, order: tuple[str, ...], first_only: bool = False, size: int = CONTEXT_SIZE
+    fresh: DataFrame, before: DataFrame, first_only: bool = False, size: int = CONTEXT_SIZE
 ) -> tuple[DataFrame, DataFrame]:
-    """Alerts of a set of lines and the state after them.
+    """Alerts of placed and scored lines, and the state after them.
 
-    `before` holds the last lines of each stream so far with their position
-    in the stream. The lines are numbered on from there and the context
-    windows run over chunks of a stream, so a stream with a large share of the
-    lines is worked on by many tasks.
+    `before` holds the last lines of each stream so far. The context windows
+    run over chunks of a stream, so a stream with a large share of the lines is
+    worked on by many tasks.
     """
-    last = before.groupBy("stream").agg(
-        (F.max("pos") + 1).alias("base"), F.bool_or("alerted").alias("had_alert")
-    )
-    kept = scored.select("stream", *order, "raw_text", "is_alert", "live_score")
-    ranked = dense_positions(materialize(kept), order, ("stream",), out="rank")
-    placed = lookup(ranked, materialize(last), "stream", order).withColumn(
-        "pos", F.col("rank") + F.coalesce("base", F.lit(0))
-    )
-    fresh = placed.select(
-        "stream", "pos", "raw_text", "is_alert", "live_score", F.coalesce("had_alert", F.lit(False)).alias("alerted")
-    )
-    carried = before.select(
-        "stream", "pos", "raw_text", F.lit(False).alias("is_alert"), F.lit(0.0).alias("live_score"), "alerted"
-    )
-    fresh = materialize(fresh)
+    columns = ["stream", "pos", "raw_text", "is_alert", "live_score", "alerted"]
+    carried = before.withColumns({"is_alert": F.lit(False), "live_score": F.lit(0.0)}).select(*columns)
+    fresh = fresh.select(*columns)
     windows = with_trailing_context(carried.unionByName(fresh), ("stream",), size)
     alerts = windows.where("is_alert")
     if first_only:
@@ -114,7 +111,7 @@ def _state_after(lines: DataFrame, size: int) -> DataFrame:
     ends = lines.groupBy("stream").agg(
         F.max("pos").alias("end"), F.bool_or(F.col("is_alert") | F.col("alerted")).alias("alerted")
     )
-    kept = lookup(lines.drop("alerted"), materialize(ends), "stream", ("pos",))
+    kept = lookup(lines.drop("alerted"), ends, "stream", ("pos",))
     return kept.where(F.col("pos") > F.col("end") - size).select("stream", "pos", "raw_text", "alerted")
 
 
@@ -150,8 +147,11 @@ def run_live_alerts(
             start = session.read.schema(STATE_SCHEMA).parquet(slot(batch_id - 1))
         batch = batch.withColumn("raw_id", F.monotonically_increasing_id())
         parsed = materialize(parse_lines(batch).select("stream", *order, "raw_text", "template"))
-        scored = as_live(score_lines(parsed, models, dim=dim, spread=order))
-        alerts, state = alerts_of(scored, materialize(start), order, first_only)
+        decided, hot = decide_templates(parsed, models, dim=dim)
+        placed = place_lines(parsed, start, order)
+        scored = as_live(lookup(placed, decided, "template", order, hot=hot))
+        fresh = materialize(scored.select("stream", "pos", "raw_text", "is_alert", "live_score", "alerted"))
+        alerts, state = alerts_of(fresh, start, first_only)
         alerts.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         state.write.mode("overwrite").parquet(slot(batch_id))
 
