@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghelm.functions.hashing import hash_embedding
-from loghelm.functions.scoring import MODELS, centroid_distance, reconstruction_error
+from loghelm.functions.scoring import centroid_distance, reconstruction_error
 from loghelm.functions.text import ALERT_WORDS, HIGHLIGHT_WORDS, has_any_word, parse_lines, sanitize
 from loghelm.operators import clusters, context, detection, evaluation, forest, host_metrics, incidents
 from loghelm.operators import labels as labelling
@@ -606,4 +606,4 @@ def live_verdict_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-__all__ = ["QUERIES", "MODELS"]
+__all__ = ["QUERIES"]
