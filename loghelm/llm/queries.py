@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loghelm.llm.common import table
+from loghelm.llm.lexicon import toxicity_scores
+from loghelm.llm.nbsvm import quality_scores
 from loghelm.llm.positional_index import contamination
 from loghelm.llm.simhash_pivots import simhash_components
 from loghelm.llm.token_files import encoded_documents
@@ -18,6 +20,14 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,6 +42,8 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_positional_index": decontamination,
+    "op5_nbsvm": quality,
+    "op6_lexicon": toxicity,
     "op7_token_files": token_output,
     "op9_url_terms": url_filter,
     "op10_simhash_pivots": simhash,
