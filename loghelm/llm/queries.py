@@ -7,15 +7,25 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from loghelm.llm.best_fit import pack_documents
 from loghelm.llm.common import table
 from loghelm.llm.lexicon import toxicity_scores
 from loghelm.llm.nbsvm import quality_scores
 from loghelm.llm.positional_index import contamination
 from loghelm.llm.simhash_pivots import simhash_components
+from loghelm.llm.suffix_arrays import remove_repeats
 from loghelm.llm.token_files import encoded_documents
 from loghelm.llm.url_terms import judge_urls, url_sql
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,7 +51,9 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_arrays": suffix_dedup,
     "op3_positional_index": decontamination,
+    "op4_best_fit": packing,
     "op5_nbsvm": quality,
     "op6_lexicon": toxicity,
     "op7_token_files": token_output,
