@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loghelm.llm.best_fit import pack_documents
 from loghelm.llm.common import table
 from loghelm.llm.lexicon import toxicity_scores
 from loghelm.llm.nbsvm import quality_scores
 from loghelm.llm.positional_index import contamination
+from loghelm.llm.prefix_forest import nearest
 from loghelm.llm.simhash_pivots import simhash_components
 from loghelm.llm.suffix_arrays import remove_repeats
+from loghelm.llm.suffix_tree_lm import suffix_tree_scores
 from loghelm.llm.token_files import encoded_documents
 from loghelm.llm.url_terms import judge_urls, url_sql
 
@@ -26,6 +29,10 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +49,10 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_scores(table(spark, sf_dir, "documents"))
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -52,11 +63,13 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_arrays": suffix_dedup,
+    "op2_prefix_forest": neighbours,
     "op3_positional_index": decontamination,
     "op4_best_fit": packing,
     "op5_nbsvm": quality,
     "op6_lexicon": toxicity,
     "op7_token_files": token_output,
+    "op8_suffix_tree": lm_scores,
     "op9_url_terms": url_filter,
     "op10_simhash_pivots": simhash,
 }
