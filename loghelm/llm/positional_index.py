@@ -240,7 +240,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs` without any window of the items."""
+    """The rows of `docs` without any window of the items; rows that share the id of
+    a row with one go as well."""
     bad = contamination(docs, items, window).where("contaminated").select("doc_id").distinct()
     hit = docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
     return hit.select(docs.columns)

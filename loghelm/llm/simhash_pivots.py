@@ -190,9 +190,9 @@ def simhash_components(
 
 
 def keep_one_per_component(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its component; rows without
-    an id stay, repeats of a kept id stay out but for one."""
+    """The rows of `docs` whose id is the smallest of its component, rows of equal
+    id and text once; rows without an id stay."""
     found = simhash_components(docs, shingle, max_bits)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rows = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return rows.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

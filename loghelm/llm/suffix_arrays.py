@@ -38,10 +38,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loghelm.llm.common import (
     byte_texts,
-    doc_text,
     longs,
     prefix_sums,
     slices,
@@ -127,9 +127,13 @@ def document_cells(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> It
 
 
 def unique_ids(docs: DataFrame) -> DataFrame:
-    """doc_id, text, id: `id` is unique and has the order of (doc_id, text). The
-    ids themselves, where they do not repeat."""
-    own = doc_text(docs)
+    """doc_id, text, rest (the other columns), id: `id` is unique and has the order
+    of (doc_id, text). The ids themselves, where they do not repeat."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    kept = F.struct(*rest) if rest else F.lit(None).cast("string")
+    own = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), kept.alias("rest")
+    )
     if own.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
         return own.withColumn("id", F.col("doc_id"))
 
@@ -138,11 +142,12 @@ def unique_ids(docs: DataFrame) -> DataFrame:
         for batch in batches:
             made = pa.array(np.arange(number, number + batch.num_rows))
             number += batch.num_rows
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], ["doc_id", "text", "id"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], ["doc_id", "text", "rest", "id"])
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
     ordered = own.repartitionByRange(*order).sortWithinPartitions(*order)
-    return store(ordered.mapInArrow(run, "doc_id long, text string, id long"), "numbered")
+    schema = T.StructType([*own.schema.fields, T.StructField("id", T.LongType())])
+    return store(ordered.mapInArrow(run, schema), "numbered")
 
 
 def _by_doc(doc: np.ndarray, made: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -574,6 +579,33 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_cell
     return numbered, every.groupBy("id").agg(F.collect_list("spans").alias("spans"))
 
 
+def cut(text: bytes, gone: list[tuple[int, int]]) -> bytes:
+    """The text without the spans."""
+    at, kept = 0, []
+    for a, b in gone:
+        kept.append(text[at:a])
+        at = b
+    return b"".join((*kept, text[at:]))
+
+
+def cut_documents(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_cells: int = HOT_CELLS) -> DataFrame:
+    """`docs` with the covered bytes cut out of `text` (a character that loses some
+    of its bytes goes too) and `n_chars`, where there is one, counted anew."""
+
+    def left(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, packed in batches:
+            made = zip(texts.cast(pa.binary()).to_pylist(), packed.to_pylist())
+            yield pa.array([cut(t, merged_spans(p or [])).decode(errors="ignore") for t, p in made], pa.string())
+
+    numbered, spans = repeated_spans(docs, span, gram, hot_cells)
+    made = F.arrow_udf(left, "string")
+    joined = numbered.join(spans, "id", "left").withColumn("text", made("text", "spans"))
+    out = joined.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.{c}") for c in docs.columns])
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_cells: int = HOT_CELLS) -> DataFrame:
     """doc_id, kept (bytes), n_bytes, n_removed, n_spans, kept_sha256 of every document."""
 
@@ -582,12 +614,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_cell
             out = []
             for text, packed in zip(byte_texts(batch, "text"), batch.column(2).to_pylist()):
                 gone = merged_spans(packed or [])
-                at, kept = 0, []
-                for a, b in gone:
-                    kept.append(text[at:a])
-                    at = b
-                kept.append(text[at:])
-                left = b"".join(kept)
+                left = cut(text, gone)
                 out.append((left, len(text), len(text) - len(left), len(gone), hashlib.sha256(left).hexdigest()))
             columns = list(zip(*out)) or [()] * 5
             kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
