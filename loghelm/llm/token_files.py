@@ -9,16 +9,18 @@ Parquet table in the shared folder: the engine's commit protocol makes a lost
 task leave no half file, and every store the engine reads can hold them.
 
 Cases: a null text is empty and has the end id only; null ids come first;
-repeated ids are kept, ordered by text; an empty table gives no file and no rows.
+repeated ids are kept, ordered by their token ids; an empty table gives no file and no rows.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,26 +28,74 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loghelm.llm.common import TaskCache, doc_text, ids_back, longs, store
+from loghelm.llm.common import TaskCache, doc_text, ids_back, longs, slices, store
 
 END_ID = 0
 #: Ids after which a file is closed.
 FILE_IDS = 4_000_000
 #: Distinct text pieces whose ids a worker remembers.
-MEMO_PIECES = 150_000
+MEMO_PIECES = 500_000
 MAGIC = b"FRV1"
 HEADER = "<4sIQQ"
 
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
-_DOUBLE_SPACE = re.compile(r"\s\s")
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+MARKS = ".,;:!?"
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it
+    is visible, else the next one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)}
+
+
+_BYTE_LETTERS = _byte_letters()
+#: One pre-token whatever stands around it: letters of common scripts after one blank at most.
+_LETTERS = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+class _Codes(dict):
+    """Numbers of text pieces; a new one gets the next number and is noted with
+    the blank before it, unless it begins a line."""
+
+    def __init__(self, owner: Encoder, lead: str):
+        super().__init__()
+        self.owner, self.lead = owner, lead
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = self.owner.count
+        self.owner.count += 1
+        self.owner.new.append(piece if piece[:1] == "\n" else self.lead + piece)
+        return number
+
+
+class _Ids:
+    """Ids of numbered texts, one after the other."""
+
+    def __init__(self):
+        self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes) - sizes))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.flat = np.concatenate((self.flat, flat))
+
+    def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts in order, and where each text ends."""
+        sizes = self.sizes[codes]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.starts[codes] - ends + sizes, sizes) + np.arange(total)], ends
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file. A blank between two visible characters
-    always begins a new pre-token, so a text is cut there and the ids of its
-    pieces are looked up among those already encoded."""
+    """Ids of texts by a tokenizer file. A blank or line end between two visible
+    characters always begins a new pre-token, and so does a mark after a letter
+    that ends such a piece. Texts are cut there and the ids of the pieces are
+    looked up among those already encoded."""
 
     def __init__(self, path: str, memo: int = MEMO_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -54,48 +104,79 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.memo = memo
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        settings = json.loads(self.tokenizer.to_str())
+        self.byte_level = settings["normalizer"] is None and settings["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": settings["pre_tokenizer"].get("trim_offsets"), "use_regex": True
+        }
+        self.line_end, *marks = self.whole(["\n", *MARKS])
+        self.marks = dict(zip(MARKS, marks))
         self.forget()
 
     def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.first, self.later = _Codes(self, ""), _Codes(self, " ")
+        self.count, self.new = 0, []
+        self.known = _Ids()
+        self.cores: dict[str, int] = {}
+        self.core_ids = _Ids()
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: list[str]) -> None:
-        ids = self.whole(pieces)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate([np.asarray(i, np.uint32) for i in ids]) if ids else np.zeros(0, np.uint32)
-        self.codes.update(zip(pieces, range(len(self.sizes), len(self.sizes) + len(pieces))))
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes) - sizes))
-        self.sizes = np.concatenate((self.sizes, sizes))
-        self.flat = np.concatenate((self.flat, flat))
+    def words(self, texts: list[str]) -> list[list[int]]:
+        """Ids of short texts. Plain words are one pre-token and go to the model at once."""
+        simple = [self.byte_level and _LETTERS.fullmatch(t) is not None for t in texts]
+        others = iter(self.whole([t for t, plain in zip(texts, simple) if not plain]))
+        model, letters = self.tokenizer.model.tokenize, _BYTE_LETTERS
+        return [
+            [t.id for t in model(text.encode().decode("latin-1").translate(letters))] if plain else next(others)
+            for text, plain in zip(texts, simple)
+        ]
+
+    def learn(self) -> None:
+        """Encode the new pieces: line end, core and mark on their own."""
+        pieces, self.new = self.new, []
+        if not pieces:
+            return
+        lines = np.fromiter((p[:1] == "\n" and p[1:2].strip() != "" for p in pieces), bool, len(pieces))
+        cores = [p[1:] if line else p for p, line in zip(pieces, lines)]
+        marks = [c[-1] if c[-1:] in self.marks and c[-2:-1].isalpha() else "" for c in cores]
+        cores = [c[:-1] if m else c for c, m in zip(cores, marks)]
+        fresh = [c for c in dict.fromkeys(cores) if c not in self.cores]
+        self.cores.update(zip(fresh, range(len(self.cores), len(self.cores) + len(fresh))))
+        made = self.words(fresh)
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        self.core_ids.add(np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes)
+        flat, ends = self.core_ids.take(np.fromiter(map(self.cores.__getitem__, cores), np.int64, len(cores)))
+        at, starts = np.flatnonzero(np.array(marks) != ""), np.concatenate(([0], ends[:-1]))
+        extra = [(int(starts[i]), i, 0, self.line_end) for i in np.flatnonzero(lines)]
+        extra += [(int(ends[i]), i, 1, self.marks[marks[i]]) for i in at]
+        extra.sort(key=lambda e: e[1:3])
+        places = np.repeat([e[0] for e in extra], [len(e[3]) for e in extra]).astype(np.int64)
+        added = np.bincount([e[1] for e in extra], [len(e[3]) for e in extra], len(pieces)).astype(np.int64) if extra else 0
+        flat = np.insert(flat, places, np.fromiter(chain.from_iterable(e[3] for e in extra), np.uint32))
+        self.known.add(flat, np.diff(ends, prepend=0) + added)
 
     def pieces(self, text: str) -> list[str]:
-        if _DOUBLE_SPACE.search(text):
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]]
+        """The text cut at blanks, which all but the first piece have lost, and
+        before line ends, which are kept."""
+        if text.split() == text.replace("\n", " ").split(" "):
+            return text.replace("\n", " \n").split(" ")
+        return _CUT.split(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
         odd = {i: self.whole([t])[0] for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        cut = [[] if i in odd else self.pieces(t) for i, t in enumerate(texts)]
+        cut = [[""] if i in odd else self.pieces(t) for i, t in enumerate(texts)]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        every = [p for c in cut for p in c]
-        if len(self.codes) > self.memo:
+        if self.count > self.memo:
             self.forget()
-        self.learn([p for p in dict.fromkeys(every) if p not in self.codes])
-        codes = np.fromiter(map(self.codes.__getitem__, every), np.int64, len(every))
-        sizes = self.sizes[codes]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[codes] - ends + sizes, sizes) + np.arange(total)]
-        bounds = np.concatenate(([0], ends))
-        upto = bounds[np.cumsum(counts)]
+        firsts = np.fromiter((self.first[c[0]] for c in cut), np.int64, len(cut))
+        later = chain.from_iterable(islice(c, 1, None) for c in cut)
+        laters = np.fromiter(map(self.later.__getitem__, later), np.int64, int(counts.sum()) - len(cut))
+        self.learn()
+        codes = np.insert(laters, np.cumsum(counts - 1) - (counts - 1), firsts)
+        ids, ends = self.known.take(codes)
+        upto = np.concatenate(([0], ends))[np.cumsum(counts)]
         lengths = np.diff(upto, prepend=0)
         if odd:
             parts = np.split(ids, upto[:-1])
@@ -128,20 +209,41 @@ def text_runs(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterato
             yield ids[at:], texts[at:]
 
 
-def id_counts(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """id, n: how often each id occurs in all texts; a task sends one row per id."""
+def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+    """doc_id, ids (packed, with the end id) of every text. Stored, so that each
+    text is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_path)
-        counts = np.zeros(max(coder.tokenizer.get_vocab_size(), end_id + 1), np.int64)
+        kind = _id_type(coder, end_id)
         for ids, texts in text_runs(batches):
-            made, _ = coder.encode(texts)
-            counts += np.bincount(made, minlength=len(counts))
-            counts[end_id] += len(ids)
+            made, lengths = coder.encode(texts)
+            raw = np.insert(made, np.cumsum(lengths), end_id).astype(kind).tobytes()
+            ends = np.cumsum(lengths + 1) * kind.itemsize
+            parts = [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            yield pa.RecordBatch.from_arrays([ids_back(ids), pa.array(parts, pa.binary())], ["doc_id", "ids"])
+
+    return store(doc_text(docs).mapInArrow(run, "doc_id long, ids binary"), "encoded")
+
+
+def _id_type(coder: Encoder, end_id: int) -> np.dtype:
+    return np.dtype("<u2" if max(coder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+
+
+def id_counts(encoded: DataFrame, kind: np.dtype) -> DataFrame:
+    """id, n: how often each id occurs in all texts; a task sends one row per id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(0, np.int64)
+        for batch in batches:
+            made = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
+            if len(made) > len(counts):
+                counts, made = made, counts
+            counts[: len(made)] += made
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["id", "n"])
 
-    found = doc_text(docs).mapInArrow(run, "id long, n long")
+    found = encoded.select("ids").mapInArrow(run, "id long, n long")
     return found.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -187,17 +289,14 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     return doc_ids, lengths, ranks & _MASKS[sizes - 1], before
 
 
-def write_files(
-    docs: DataFrame, tokenizer_path: str, by_rank: np.ndarray, end_id: int = END_ID, file_ids: int = FILE_IDS
-) -> DataFrame:
+def write_files(encoded: DataFrame, kind: np.dtype, by_rank: np.ndarray, file_ids: int = FILE_IDS) -> DataFrame:
     """The files of all documents in ascending id order: part, file_no, n_ids, payload.
 
-    Documents are cut into ranges of ids; each range is sorted, encoded and
-    written by its own task, which holds one file at a time.
+    Documents are cut into ranges of ids; each range is sorted and written by its
+    own task, which holds one file at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer_path)
         rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, np.uint32)
         rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
         part = TaskContext.get().partitionId()
@@ -211,19 +310,21 @@ def write_files(
                 ["part", "file_no", "n_ids", "payload"],
             )
 
-        for ids, texts in text_runs(batches):
-            made, lengths = coder.encode(texts)
-            made = np.insert(made, np.cumsum(lengths), end_id)
-            held.append((ids, lengths + 1, rank_of[made]))
-            size += len(made)
-            if size >= file_ids:
-                yield close()
-                held, number, before, size = [], number + 1, before + size, 0
+        for batch in batches:
+            ids, raw = longs(batch, "doc_id"), batch.column(1).to_pylist()
+            for a, b in slices(raw, file_ids):
+                lengths = np.fromiter(map(len, raw[a:b]), np.int64, b - a) // kind.itemsize
+                made = np.frombuffer(b"".join(raw[a:b]), kind)
+                held.append((ids[a:b], lengths, rank_of[made]))
+                size += len(made)
+                if size >= file_ids:
+                    yield close()
+                    held, number, before, size = [], number + 1, before + size, 0
         if held:
             yield close()
 
-    ordered = doc_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("ids")]
+    ordered = encoded.repartitionByRange(order[0]).sortWithinPartitions(*order)
     return store(ordered.mapInArrow(run, "part int, file_no int, n_ids long, payload binary"), "token-files")
 
 
@@ -262,9 +363,11 @@ def read_files(files: DataFrame, by_rank: np.ndarray) -> DataFrame:
 
 
 def token_files(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> tuple[DataFrame, np.ndarray]:
-    """Count, rank, write: the files and the ids by rank that decode them."""
-    by_rank = ranking(id_counts(docs, tokenizer_path, end_id))
-    return write_files(docs, tokenizer_path, by_rank, end_id), by_rank
+    """Encode, count, rank, write: the files and the ids by rank that decode them."""
+    encoded = encode_documents(docs, tokenizer_path, end_id)
+    kind = _id_type(encoder(tokenizer_path), end_id)
+    by_rank = ranking(id_counts(encoded, kind))
+    return write_files(encoded, kind, by_rank), by_rank
 
 
 def encoded_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
