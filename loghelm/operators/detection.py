@@ -109,7 +109,8 @@ def detect(
 ) -> DataFrame:
     """Detection contract for every line, its context included."""
     if limit is not None:
-        lines = lines.where(F.col("pos") < limit)
+        # the first `limit` lines over all files lie below that place in their own
+        lines = lines.where(F.col("pos") < limit).orderBy("file", "pos").limit(limit)
     decided = score_lines(lines, models, model, dim)
     return with_context(decided, before=window, after=window).select(
         "log_id", "anomaly_score", "is_anomaly", "threshold_used", "context_window", "file", "pos"

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from loghelm.session import materialize
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 10_000
 SAMPLE_PER_RANGE = 200
 
 
@@ -28,7 +27,7 @@ def with_range(
     bounded size; where exactly they fall changes no result.
     """
     total = df.count()
-    ranges = min(MAX_RANGES, math.ceil(total / rows_per_range))
+    ranges = math.ceil(total / rows_per_range)
     if ranges <= 1:
         return df.withColumn(out, F.lit(0))
     position = _position(df, order).alias("__position")

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def by_score() -> list[Column]:
-    """Highest score first; equal scores keep the log order."""
-    return [F.desc("anomaly_score"), F.col("pos")]
+def by_score(detections: DataFrame) -> list[Column]:
+    """Highest score first; equal scores keep the order of files and of their lines."""
+    return [F.desc("anomaly_score"), *[F.col(c) for c in ("file", "pos") if c in detections.columns]]
 
 
 def search(detections: DataFrame, text: str | None) -> DataFrame:
@@ -20,7 +20,7 @@ def search(detections: DataFrame, text: str | None) -> DataFrame:
 
 def incident_queue(detections: DataFrame, text: str | None = None, consensus: str = "2/3 Models") -> DataFrame:
     """All anomalies in queue order as display rows."""
-    queue = search(detections.where("is_anomaly"), text).orderBy(*by_score())
+    queue = search(detections.where("is_anomaly"), text).orderBy(*by_score(detections))
     return queue.select(
         F.col("log_id").alias("incident_id"),
         F.format_string("%.2f", "anomaly_score").alias("score"),
@@ -30,8 +30,9 @@ def incident_queue(detections: DataFrame, text: str | None = None, consensus: st
 
 def top_incidents(detections: DataFrame, n: int = 3) -> DataFrame:
     """The first `n` of the queue, numbered from 1."""
-    top = detections.where("is_anomaly").orderBy(*by_score()).limit(n)
-    ranked = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("anomaly_score")).alias("s"), "pos", "log_id"))).alias("t"))
+    top = detections.where("is_anomaly").orderBy(*by_score(detections)).limit(n)
+    place = [c for c in ("file", "pos") if c in detections.columns]
+    ranked = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("anomaly_score")).alias("s"), *place, "log_id"))).alias("t"))
     return ranked.select(F.posexplode("t").alias("i", "t")).select(
         (F.col("i") + 1).alias("rank"),
         F.col("t.log_id").alias("log_id"),

@@ -456,7 +456,7 @@ def stored_reports(spark: SparkSession, sf: str) -> DataFrame:
     found = _detected(spark, sf).where("is_anomaly")
     reports = incidents.diagnose(found)
     records.write_incidents(reports.unionByName(reports), path)
-    stored = materialize(records.valid_incidents(spark.read.schema(records.schemas.INCIDENT).json(path)))
+    stored = materialize(records.read_incidents(spark, path))
     return incidents.with_reports(found, stored).select("log_id", "severity")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loghelm import schemas
 from loghelm.functions.text import ISO_MICROS, is_blank, strip
@@ -54,10 +55,15 @@ def read_records(spark: SparkSession, path: str, fmt: str = "auto", limit: int |
         scan = read_lines(spark, path)
         present = ~is_blank(F.col("value"))
         rows = number_rows(scan, present) if limit is not None else scan.where(present)
-        parsed = F.from_json("value", schemas.PREPROCESSED, {"mode": "FAILFAST"})
+        # a vector may be a JSON array or a text that holds one; both are read as text
+        shape = T.StructType(
+            [T.StructField(f.name, T.StringType() if f.name == "embedding" else f.dataType) for f in schemas.PREPROCESSED]
+        )
+        parsed = F.from_json("value", shape, {"mode": "FAILFAST"})
         order = ["pos"] if limit is not None else []
         records = rows.select(parsed.alias("r"), *order).select("r.*", *order)
-        records = records.withColumn("embedding", F.coalesce("embedding", F.array().cast("array<double>")))
+        vector = F.coalesce(parse_embedding(F.col("embedding")), F.array().cast("array<double>"))
+        records = records.withColumn("embedding", vector)
     if limit is not None:
         records = records.where(F.col("pos") < limit)
     return records.select(*schemas.PREPROCESSED.names, *(["pos"] if limit is not None else []))
@@ -121,9 +127,12 @@ def write_incidents(incidents: DataFrame, path: str) -> None:
     incidents.select(*schemas.INCIDENT.names).write.mode("overwrite").json(path)
 
 
-def read_incidents(spark: SparkSession, path: str) -> DataFrame:
-    """Incident reports, as JSON lines or as one JSON array per file."""
-    reports = spark.read.schema(schemas.INCIDENT).json(path, multiLine=True)
+def read_incidents(spark: SparkSession, path: str, form: str = "lines") -> DataFrame:
+    """Incident reports: one JSON object per line (`lines`, what `write_incidents`
+    writes) or one JSON array per file (`array`)."""
+    if form not in ("lines", "array"):
+        raise ValueError("form must be lines or array")
+    reports = spark.read.schema(schemas.INCIDENT).json(path, multiLine=form == "array")
     return valid_incidents(reports)
 
 

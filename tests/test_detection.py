@@ -101,11 +101,11 @@ def job(spark, tmp_path_factory):
     lines = []
     for i in range(400):
         if i % 50 == 17:
-            lines.append(f"2026-10-06T14:00:00Z [ERROR] [order-service]: java.lang.OutOfMemoryError: Java heap space run {i} q{i}")
+            lines.append(f"2025-02-11T06:31:07Z [ERROR] [billing]: worker stopped, no heap space left run {i} q{i}")
         elif i % 10 == 3:
             lines.append("")
         else:
-            lines.append(f"081109 203518 143 INFO dfs.DataNode: Receiving block blk_{i % 9} src: /10.0.0.{i % 200}:50 step{i % 6}")
+            lines.append(f"120703 114259 27 INFO dfs.DataNode: Mirror block blk_{i % 9} src: /10.0.0.{i % 200}:50 step{i % 6}")
     (folder / "a.log").write_text("\n".join(lines) + "\n")
     (folder / "labels.csv").write_text("BlockId,Label\nblk_1,Normal\nblk_2,Anomaly\nblk_1,Anomaly\nblk_3,Odd\n")
     out, model = str(folder / "out"), str(folder / "model")

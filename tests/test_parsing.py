@@ -19,12 +19,12 @@ def one(spark, text, fn):
 def test_hdfs_line(spark):
     row = parse(spark, HDFS_LINE)[0]
     assert row["format"] == "hdfs"
-    assert row["level"] == "INFO"
-    assert row["source"] == "dfs.DataNode$DataXceiver"
-    assert row["block_id"] == "blk_-1608999687919862906"
-    assert row["template"] == "Receiving block <BLOCK> src: <IP> dest: <IP>"
-    assert row["timestamp"] == "2008-11-09T20:35:18+00:00"
-    assert row["event_ts"] == datetime(2008, 11, 9, 20, 35, 18)
+    assert row["level"] == "WARN"
+    assert row["source"] == "dfs.DataNode$BlockReceiver"
+    assert row["block_id"] == "blk_-77301"
+    assert row["template"] == "Mirror of block <BLOCK> lost between <IP> and <IP>"
+    assert row["timestamp"] == "2012-07-03T11:42:59+00:00"
+    assert row["event_ts"] == datetime(2012, 7, 3, 11, 42, 59)
 
 
 def test_hdfs_line_with_impossible_date_uses_ingest_time(spark):
@@ -36,13 +36,13 @@ def test_hdfs_line_with_impossible_date_uses_ingest_time(spark):
 
 def test_standard_line(spark):
     row = parse(spark, "  " + STANDARD_LINE + " \t")[0]
-    assert (row["format"], row["level"], row["source"]) == ("standard", "ERROR", "order-service")
-    assert row["message"] == "java.lang.OutOfMemoryError: Java heap space"
+    assert (row["format"], row["level"], row["source"]) == ("standard", "ERROR", "billing")
+    assert row["message"] == "worker stopped, no heap space left"
     assert row["raw_text"] == STANDARD_LINE
-    assert row["timestamp"] == "2026-10-06T14:00:00Z"
+    assert row["timestamp"] == "2025-02-11T06:31:07Z"
 
 
-@pytest.mark.parametrize("stamp", ["2026-10-06 14:00:00", "2026-10-06T14:00:00.25", "2026-10-06T14:00:00.123456Z"])
+@pytest.mark.parametrize("stamp", ["2026-10-06 14:00:00", "2025-02-11T06:31:07.25", "2025-02-11T06:31:07.123456Z"])
 def test_standard_time_shapes(spark, stamp):
     row = parse(spark, f"{stamp} [WARN] [a-b.c_1]: m")[0]
     assert row["format"] == "standard"

@@ -22,17 +22,17 @@ def feedback(spark, confirmed, dismissed):
 
 def test_record_contract_round_trip(spark, tmp_path):
     line = spark.createDataFrame(
-        [("log_0000001", "2026-10-06T14:00:00Z", "Verification succeeded for blk_123", "datanode-1", "Verification succeeded for <BLOCK>")],
+        [("line-7", "2025-02-11T06:31:07Z", "Lease renewed on blk_88", "node-c", "Lease renewed on <BLOCK>")],
         "log_id string, timestamp string, raw_text string, source string, template string",
     )
-    metrics = F.create_map(F.lit("cpu_percent"), F.lit(12.5), F.lit("memory_percent"), F.lit(45.0))
+    metrics = F.create_map(F.lit("cpu_percent"), F.lit(3.25), F.lit("memory_percent"), F.lit(71.5))
     record = record_of(line, "template", 64, metrics)
     assert record.columns == schemas.PREPROCESSED.names
     write_records_json(record, str(tmp_path / "r"))
     back = read_records(spark, str(tmp_path / "r"), "jsonl")
     assert back.collect() == record.collect()
     assert len(back.first()["embedding"]) == 64
-    assert with_metric_columns(back).first()["memory_percent"] == 45.0
+    assert with_metric_columns(back).first()["memory_percent"] == 71.5
 
 
 def write_folder(folder, csv=True):
