@@ -51,6 +51,8 @@ from loghelm.llm.common import (
 
 SPAN = 100
 GRAM = 32
+#: Bytes that are compared at once.
+WORD = 7
 #: Text bytes whose windows are looked at together.
 BLOCK = 1 << 20
 #: Cells that a task holds before it sends them on.
@@ -318,21 +320,22 @@ def cut_cells(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def packed_words(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The next eight bytes from each place on as one number, zeros past the end."""
+    """The next seven bytes from each place on as one number, nine bits each: a byte
+    plus one, zero past the end."""
     n = len(codes)
     out = np.zeros(n, np.uint64)
-    places = np.arange(n)
-    for k in range(8):
-        later = np.zeros(n, np.uint64)
-        later[: n - k] = codes[k:] if k else codes
-        out |= np.where(places + k < ends, later, 0).astype(np.uint64) << np.uint64(56 - 8 * k)
+    room = ends - np.arange(n)
+    above = codes.astype(np.uint64) + np.uint64(1)
+    for k in range(min(WORD, n)):
+        own = np.where(room[: n - k] > k, above[k:], np.uint64(0))
+        out[: n - k] |= own << np.uint64(9 * (WORD - 1 - k))
     return out
 
 
 def suffix_array(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Suffixes in order, each up to the end of its string; equal ones by place.
 
-    Larsson-Sadakane: suffixes are sorted by eight bytes; in every round only
+    Larsson-Sadakane: suffixes are sorted by their first bytes; in every round only
     those that still share a group are sorted, by the group of the suffix that
     many bytes further on, which doubles the depth.
     """
@@ -349,7 +352,7 @@ def suffix_array(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return slots[np.repeat(counts > 1, counts)]
 
     slots = regroup(np.arange(n), words[order])
-    depth, longest = 8, int((ends - np.arange(n)).max()) if n else 0
+    depth, longest = WORD, int((ends - np.arange(n)).max()) if n else 0
     while len(slots) and depth < longest:
         own = order[slots]
         ahead = np.minimum(own + depth, n - 1)
@@ -384,13 +387,10 @@ def common_prefixes(order: np.ndarray, codes: np.ndarray, words: np.ndarray, sta
             room = np.minimum(ends[own[todo]] - i, ends[prev[todo]] - p)
             todo, i, p, room = todo[room > 0], i[room > 0], p[room > 0], room[room > 0]
             apart = words[i] ^ words[p]
-            same = np.full(len(apart), 8)
-            some = apart != 0
-            same[some] = (63 - np.frexp(apart[some].astype(np.float64))[1] + 1) // 8
-            same = _exact_same(apart, same)
+            same = _same_bytes(apart)
             step = np.minimum(same, room)
             h[todo] += step
-            todo = todo[(step == 8) & (h[todo] < most)]
+            todo = todo[(step == WORD) & (h[todo] < most)]
         out[own] = np.minimum(h, most)
         own = own + 1
         left = own < stop
@@ -398,11 +398,13 @@ def common_prefixes(order: np.ndarray, codes: np.ndarray, words: np.ndarray, sta
     return out
 
 
-def _exact_same(apart: np.ndarray, guess: np.ndarray) -> np.ndarray:
-    """Equal leading bytes: rounding to a float may have carried into the next byte."""
-    shift = (8 * (7 - np.minimum(guess, 7))).astype(np.uint64)
-    short = (guess < 8) & ((apart >> shift) & np.uint64(0xFF) == 0)
-    return guess + short
+def _same_bytes(apart: np.ndarray) -> np.ndarray:
+    """Equal leading bytes of packed words, from their exclusive or."""
+    top = np.frexp(apart.astype(np.float64))[1] - 1
+    guess = WORD - 1 - np.maximum(top, 0) // 9
+    # rounding to a float may have carried into the byte before
+    carried = (apart >> (9 * (WORD - 1 - guess)).astype(np.uint64)) & np.uint64(0x1FF) == 0
+    return np.where(apart == 0, WORD, guess + carried)
 
 
 def covered_windows(strings: list[bytes], span: int = SPAN) -> tuple[np.ndarray, ...]:

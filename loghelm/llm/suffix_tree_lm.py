@@ -150,7 +150,7 @@ class SuffixTree:
         rest = np.maximum(1 - own, 1e-12) / np.maximum(1 - low, 1e-12)
         gain = np.bincount(context, n * np.log(share / below), size)
         gone = np.maximum(totals - np.bincount(context, n, size), 0)
-        gain += gone * np.log(rest)
+        gain = gain + gone * np.log(rest)
         return (gain >= GAIN) & (np.bincount(context, minlength=size) > 0) & (own < 1) & (low < 1), rest, share
 
     def fit_pairs(self, keys: np.ndarray, counts: np.ndarray) -> None:
