@@ -92,10 +92,10 @@ class _Ids:
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file. A blank or line end between two visible
+    """Ids of texts by a tokenizer file. With a byte-level file, a blank or line end between two visible
     characters always begins a new pre-token, and so does a mark after a letter
     that ends such a piece. Texts are cut there and the ids of the pieces are
-    looked up among those already encoded."""
+    looked up among those already encoded. Other files get whole texts."""
 
     def __init__(self, path: str, memo: int = MEMO_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -124,11 +124,13 @@ class Encoder:
 
     def words(self, texts: list[str]) -> list[list[int]]:
         """Ids of short texts. Plain words are one pre-token and go to the model at once."""
-        simple = [self.byte_level and _LETTERS.fullmatch(t) is not None for t in texts]
+        simple = [(t.isascii() and t.lstrip(" ").isalpha() and t[1:2] != " ") or _LETTERS.fullmatch(t) is not None for t in texts]
         others = iter(self.whole([t for t, plain in zip(texts, simple) if not plain]))
         model, letters = self.tokenizer.model.tokenize, _BYTE_LETTERS
         return [
-            [t.id for t in model(text.encode().decode("latin-1").translate(letters))] if plain else next(others)
+            next(others)
+            if not plain
+            else [t.id for t in model(text.replace(" ", "Ġ") if text.isascii() else text.encode().decode("latin-1").translate(letters))]
             for text, plain in zip(texts, simple)
         ]
 
@@ -147,24 +149,27 @@ class Encoder:
         sizes = np.fromiter(map(len, made), np.int64, len(made))
         self.core_ids.add(np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes)
         flat, ends = self.core_ids.take(np.fromiter(map(self.cores.__getitem__, cores), np.int64, len(cores)))
-        at, starts = np.flatnonzero(np.array(marks) != ""), np.concatenate(([0], ends[:-1]))
-        extra = [(int(starts[i]), i, 0, self.line_end) for i in np.flatnonzero(lines)]
-        extra += [(int(ends[i]), i, 1, self.marks[marks[i]]) for i in at]
-        extra.sort(key=lambda e: e[1:3])
-        places = np.repeat([e[0] for e in extra], [len(e[3]) for e in extra]).astype(np.int64)
-        added = np.bincount([e[1] for e in extra], [len(e[3]) for e in extra], len(pieces)).astype(np.int64) if extra else 0
-        flat = np.insert(flat, places, np.fromiter(chain.from_iterable(e[3] for e in extra), np.uint32))
-        self.known.add(flat, np.diff(ends, prepend=0) + added)
+        marked = np.fromiter(map(bool, marks), bool, len(marks))
+        at, starts = np.flatnonzero(marked), np.concatenate(([0], ends[:-1]))
+        # a mark stands before the line end of the piece after it
+        places = np.concatenate((ends[at], starts[lines])).astype(np.int64)
+        extra = [self.marks[marks[i]][0] for i in at.tolist()] + [self.line_end[0]] * int(lines.sum())
+        self.known.add(np.insert(flat, places, np.array(extra, np.uint32)), np.diff(ends, prepend=0) + marked + lines)
 
     def pieces(self, text: str) -> list[str]:
         """The text cut at blanks, which all but the first piece have lost, and
         before line ends, which are kept."""
-        if text.split() == text.replace("\n", " ").split(" "):
+        flat = text.replace("\n", " ")
+        if "  " not in flat and flat.isprintable():  # no blank of another kind, none beside another
             return text.replace("\n", " \n").split(" ")
         return _CUT.split(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
+        if not self.byte_level:
+            made = self.whole(texts)
+            sizes = np.fromiter(map(len, made), np.int64, len(made))
+            return np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes
         odd = {i: self.whole([t])[0] for i, t in enumerate(texts) if any(s in t for s in self.special)}
         cut = [[""] if i in odd else self.pieces(t) for i, t in enumerate(texts)]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
