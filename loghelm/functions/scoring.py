@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,10 +28,16 @@ def scaled_threshold(threshold: float, s_min: float, s_max: float) -> float:
     return 0.5 if abs(span) < NORM_GUARD else min(1.0, max(0.0, (threshold - s_min) / span))
 
 
-def matrix(vectors: pa.Array) -> np.ndarray:
-    """Arrow list column as an n x d matrix."""
+def matrix(vectors: pa.Array, dim: int | None = None) -> np.ndarray:
+    """Arrow list column as an n x d matrix. A missing vector, or one of
+    another size than `dim` (by default: than the first), raises."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
+    if len(vectors):
+        sizes = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
+        dim = sizes[0] if dim is None else dim
+        if dim < 1 or (sizes != dim).any():
+            raise ValueError("vectors of other sizes; set them aside with split_by_dimension")
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
     return np.ascontiguousarray(flat, dtype=np.float64).reshape(len(vectors), -1 if len(vectors) else 0)
 
@@ -57,7 +64,7 @@ def centroid_distance(embedding: Column, centers: np.ndarray) -> Column:
 
     @F.arrow_udf("double")
     def distance(vectors: pa.Array) -> pa.Array:
-        return pa.array(np.round(nearest_distance(matrix(vectors), centers), SCORE_DIGITS))
+        return pa.array(np.round(nearest_distance(matrix(vectors, centers.shape[1]), centers), SCORE_DIGITS))
 
     return distance(embedding)
 
@@ -67,6 +74,6 @@ def reconstruction_error(embedding: Column, mean: np.ndarray, axes: np.ndarray)
 
     @F.arrow_udf("double")
     def error(vectors: pa.Array) -> pa.Array:
-        return pa.array(np.round(residual_error(matrix(vectors), mean, axes), SCORE_DIGITS))
+        return pa.array(np.round(residual_error(matrix(vectors, len(mean)), mean, axes), SCORE_DIGITS))
 
     return error(embedding)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from loghelm.functions.scoring import MODELS, min_max, scaled_threshold
 from loghelm.operators.context import with_context
-from loghelm.operators.lookup import hot_keys, lookup
-from loghelm.operators.models import ModelTables, score_stats, score_vectors
+from loghelm.operators.lookup import lookup
+from loghelm.operators.models import ModelTables, dimension, score_stats, score_vectors
 from loghelm.operators.vectors import template_vectors
 from loghelm.session import materialize
+from loghelm.sources.records import split_by_dimension
 
 PARAM_FIELDS = ("threshold", "norm_threshold", "s_min", "s_max")
 
@@ -71,12 +72,11 @@ def above_cutoff(detections: DataFrame, cutoff: float) -> DataFrame:
 def decide_templates(
     lines: DataFrame, models: ModelTables, model: str = "ensemble", dim: int = 384
 ) -> tuple[DataFrame, DataFrame]:
-    """Decisions per distinct template, and the templates with a large share
-    of the lines. Templates are embedded, scored and decided once each."""
+    """Decisions per distinct template, and the lines `n` of each template.
+    Templates are embedded, scored and decided once each."""
     scored = materialize(score_vectors(template_vectors(lines, dim), models).drop("embedding"))
-    total = scored.agg(F.sum("n")).first()[0] or 0
     decided = decide(scored, load_params(models.params, scored), model)
-    return decided.drop("n"), hot_keys(scored, "template", total)
+    return decided.drop("n"), scored.select("template", "n")
 
 
 def score_lines(
@@ -89,16 +89,23 @@ def score_lines(
 ) -> DataFrame:
     """Decide every line by looking its template up. Hot templates are known
     from the counts and are split up in a shuffled lookup."""
-    decided, hot = decide_templates(lines, models, model, dim)
-    return lookup(lines, decided, "template", spread, hot=hot, **lookup_options)
+    decided, counts = decide_templates(lines, models, model, dim)
+    return lookup(lines, decided, "template", spread, counts=counts, **lookup_options)
 
 
 def score_records(records: DataFrame, models: ModelTables, model: str = "ensemble") -> DataFrame:
-    """Decide records that bring their own vector, row by row."""
-    scored = score_vectors(records, models)
+    """Decide records that bring their own vector, row by row. Records whose
+    vector does not fit the models are left to `rejected_records`."""
+    fitting, _ = split_by_dimension(records, dimension(models))
+    scored = score_vectors(fitting, models)
     return decide(scored, load_params(models.params, scored), model)
 
 
+def rejected_records(records: DataFrame, models: ModelTables) -> DataFrame:
+    """Records that `score_records` leaves out: no vector, or one of another size."""
+    return split_by_dimension(records, dimension(models))[1]
+
+
 def detect(
     lines: DataFrame,
     models: ModelTables,

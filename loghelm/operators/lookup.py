@@ -10,7 +10,6 @@ from loghelm.session import materialize
 
 BROADCAST_BYTES = 64 << 20
 ROWS_PER_SALT = 1_000_000
-MAX_HOT_KEYS = 1_000
 
 
 def table_bytes(df: DataFrame) -> int:
@@ -36,19 +35,11 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if table_bytes(df) <= limit else df
 
 
-def hot_keys(counts: DataFrame, key: str, total: int, count: str = "n") -> DataFrame:
-    """Keys with at least 1/MAX_HOT_KEYS of all rows (so at most MAX_HOT_KEYS)
-    and their row counts `n`."""
-    return counts.where(F.col(count) * MAX_HOT_KEYS >= F.lit(total)).select(key, F.col(count).alias("n"))
-
-
-def sampled_hot_keys(facts: DataFrame, key: str, fraction: float = 0.01) -> DataFrame:
-    """Likely hot keys and row counts from a row sample. They only steer how
-    rows are spread over tasks; the join result is the same whatever they are."""
+def sampled_counts(facts: DataFrame, key: str, fraction: float = 0.01) -> DataFrame:
+    """Estimated row counts `n` of the keys, from a row sample. They only steer
+    how rows are spread over tasks; the join result is the same whatever they are."""
     sample = facts.select(key).where(F.col(key).isNotNull()).sample(fraction, seed=7)
-    counts = sample.groupBy(key).agg(F.count("*").alias("n"))
-    largest = counts.where(F.col("n") >= 50).orderBy(F.desc("n")).limit(MAX_HOT_KEYS)
-    return largest.select(key, (F.col("n") / fraction).cast("long").alias("n"))
+    return sample.groupBy(key).agg((F.count("*") / fraction).cast("long").alias("n"))
 
 
 def lookup(
@@ -56,27 +47,33 @@ def lookup(
     table: DataFrame,
     key: str,
     spread: tuple[str, ...],
-    hot: DataFrame | None = None,
+    counts: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """`facts` left-joined with `table` (unique in `key`, materialized).
 
     A table measured as small is broadcast and `facts` do not move. Otherwise
-    the rows of a hot key are spread by a hash of the `spread` columns over
-    as many sub-keys as its row count needs, and its table row is repeated for
-    each; rows without a key, which match nothing, are spread freely.
+    the rows of a hot key, one of more than `rows_per_salt` rows by `counts`
+    (key, `n`; a sample where not given), are spread by a hash of the `spread`
+    columns over as many sub-keys as its row count needs, and its table row is
+    repeated for each; rows without a key, which match nothing, are spread freely.
+    Hot keys are marked by their hash, about 32 bytes per `rows_per_salt` rows of
+    `facts`; the mark table is broadcast after its size was checked.
     """
     if table_bytes(table) <= broadcast_bytes:
         return facts.join(F.broadcast(table), key, "left")
-    hot = sampled_hot_keys(facts, key) if hot is None else hot
-    salts = F.ceil(F.col("n") / rows_per_salt).cast("int").alias("__salts")
-    marks = F.broadcast(materialize(hot.select(key, salts)))  # at most MAX_HOT_KEYS rows
+    counts = sampled_counts(facts, key) if counts is None else counts
+    salts = F.ceil(F.max("n") / rows_per_salt).cast("int").alias("__salts")
+    mark = F.xxhash64(key)
+    hot = counts.where(F.col("n") > rows_per_salt).groupBy(mark.alias("__mark")).agg(salts)
+    marks = broadcast_if_small(materialize(hot))
     spread_over = F.when(F.col(key).isNull(), F.lit(1 << 30)).otherwise(F.coalesce("__salts", F.lit(1)))
-    salted_facts = facts.join(marks, key, "left").withColumn(
+    salted_facts = facts.withColumn("__mark", mark).join(marks, "__mark", "left").withColumn(
         "__salt", F.pmod(F.xxhash64(*spread), spread_over).cast("int")
     )
     copies = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
-    salted_table = table.join(marks, key, "left").withColumn("__salt", F.explode(copies))
-    joined = salted_facts.drop("__salts").join(salted_table.drop("__salts"), [key, "__salt"], "left")
+    salted_table = table.withColumn("__mark", mark).join(marks, "__mark", "left").withColumn("__salt", F.explode(copies))
+    inner = ("__salts", "__mark")
+    joined = salted_facts.drop(*inner).join(salted_table.drop(*inner), [key, "__salt"], "left")
     return joined.drop("__salt")

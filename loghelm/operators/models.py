@@ -16,7 +16,7 @@ from loghelm.operators.forest import Forest, fit_forest
 from loghelm.operators.ordering import weighted_percentiles
 from loghelm.operators.subspace import COMPONENTS, fit_pca, mean_and_axes
 from loghelm.session import materialize, parameter_table
-from loghelm.sources.records import path_exists
+from loghelm.sources.records import path_exists, split_by_dimension
 
 TABLES = ("params", "settings", "forest", "centroids", "pca")
 
@@ -54,15 +54,21 @@ def raw_scores(embedding: Column, forest: Forest, offset: float, centers, mean,
 
     @F.arrow_udf("isolation_forest double, kmeans double, autoencoder double")
     def scores(vectors: pa.Array) -> pa.Array:
-        x = matrix(vectors)
+        x = matrix(vectors, len(mean))
         columns = [forest.isolation(x) - offset, nearest_distance(x, centers), residual_error(x, mean, axes)]
         return pa.StructArray.from_arrays([pa.array(np.round(c, SCORE_DIGITS)) for c in columns], fields=list(kind))
 
     return scores(embedding)
 
 
+def dimension(models: ModelTables) -> int:
+    """Size of the vectors that the models were fitted on."""
+    return len(mean_and_axes(models.pca)[0])
+
+
 def score_vectors(vectors: DataFrame, models: ModelTables) -> DataFrame:
-    """Add one column per model with its raw score."""
+    """Add one column per model with its raw score. Vectors of another size
+    than the models' stop the job; `split_by_dimension` sets them aside."""
     centers = centers_of(models.centroids)
     mean, axes = mean_and_axes(models.pca)
     forest = Forest(models.forest.toPandas())
@@ -103,13 +109,24 @@ def fit(
     n_clusters: int = CLUSTERS,
     ae_latent_dim: int = COMPONENTS,
     percentile: float = 95.0,
+    dim: int | None = None,
 ) -> ModelTables:
     """Fit the three detectors on weighted distinct vectors (`embedding`, `n`,
-    `template` where there is one) and calibrate them on the same vectors."""
+    `template` where there is one) and calibrate them on the same vectors.
+
+    With `dim`, vectors of any other size are left out (`split_by_dimension`
+    returns them); without it, all sizes must be equal."""
     spark = vectors.sparkSession
     name = "template" if "template" in vectors.columns else "embedding"
+    if dim is not None:
+        vectors, _ = split_by_dimension(vectors, dim)
     vectors = materialize(vectors.select("embedding", "n", F.xxhash64(name).alias("key")))
-    total = vectors.agg(F.sum("n")).first()[0]
+    size = F.coalesce(F.size("embedding"), F.lit(-1))
+    total, low, high = vectors.agg(F.sum("n"), F.min(size), F.max(size)).first()
+    if not total:
+        raise ValueError("no vectors to fit")
+    if low != high or low < 1:
+        raise ValueError(f"vectors of {low} to {high} numbers; name the size in dim")
     nodes = materialize(fit_forest(vectors, total))
     centroids = fit_kmeans(vectors, n_clusters)
     pca = fit_pca(vectors, ae_latent_dim)

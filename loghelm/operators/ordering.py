@@ -100,6 +100,7 @@ def weighted_percentiles(
     """Linear-interpolated percentile of each column, a row counting `weight`
     times. Exact: a table of few rows goes through the built-in aggregate,
     whose buffer holds every distinct value; a longer one is ranked in ranges.
+    Both use one formula, so the result has the same bits either way.
     """
     if not 0 <= percent <= 100:
         raise ValueError("percentile must lie between 0 and 100")
@@ -114,11 +115,11 @@ def _ranked_percentile(df: DataFrame, value: str, weight: str, percent: float, r
     total = counted.agg(F.sum("w")).first()[0]
     if not total:
         return None
-    rank = percent / 100 * (total - 1)
-    low = math.floor(rank)
+    rank = (total - 1) * (percent / 100)
+    low, high = math.floor(rank), math.ceil(rank)
     ranked = running_totals(counted, "v", {"cum": F.col("w")}, rows_per_range=rows_per_range)
     row = ranked.agg(
         F.min(F.when(F.col("cum") > low, F.col("v"))).alias("a"),
-        F.min(F.when(F.col("cum") > min(low + 1, total - 1), F.col("v"))).alias("b"),
+        F.min(F.when(F.col("cum") > high, F.col("v"))).alias("b"),
     ).first()
-    return row["a"] if row["a"] == row["b"] else row["a"] + (row["b"] - row["a"]) * (rank - low)
+    return row["a"] if row["a"] == row["b"] else (high - rank) * row["a"] + (rank - low) * row["b"]

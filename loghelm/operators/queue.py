@@ -18,12 +18,24 @@ def search(detections: DataFrame, text: str | None) -> DataFrame:
     return detections.where(F.contains(F.lower("log_id"), F.lower(F.lit(text))))
 
 
+def two_digits(score: Column) -> Column:
+    """Score in 0..8 as text with two digits, rounded by its exact binary value
+    (0.145 lies below the tie and shows as 0.14, 0.125 is a tie and goes to the even 0.12)."""
+    unit = F.lit(1 << 60)
+    scaled = (score * F.lit(float(1 << 60))).cast("long").cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)")
+    whole = F.floor(scaled / unit.cast("decimal(20,0)")).cast("long")
+    rest = (scaled - whole.cast("decimal(20,0)") * unit.cast("decimal(20,0)")).cast("decimal(38,0)")
+    half = F.lit(1 << 59).cast("decimal(20,0)")
+    cents = whole + ((rest > half) | ((rest == half) & (whole % 2 == 1))).cast("long")
+    return F.format_string("%d.%02d", F.floor(cents / 100).cast("long"), cents % 100)
+
+
 def incident_queue(detections: DataFrame, text: str | None = None, consensus: str = "2/3 Models") -> DataFrame:
     """All anomalies in queue order as display rows."""
     queue = search(detections.where("is_anomaly"), text).orderBy(*by_score(detections))
     return queue.select(
         F.col("log_id").alias("incident_id"),
-        F.format_string("%.2f", "anomaly_score").alias("score"),
+        two_digits(F.col("anomaly_score")).alias("score"),
         F.lit(consensus).alias("consensus"),
     )
 

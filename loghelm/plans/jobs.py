@@ -11,7 +11,7 @@ from loghelm.operators.context import context_of
 from loghelm.operators.detection import detect, score_lines
 from loghelm.operators.incidents import diagnose_batch
 from loghelm.operators.labels import label_lines, label_map, preprocessing_summary
-from loghelm.operators.lookup import hot_keys, lookup
+from loghelm.operators.lookup import lookup
 from loghelm.operators.models import ModelTables, fit
 from loghelm.operators.vectors import template_vectors
 from loghelm.session import materialize
@@ -64,9 +64,8 @@ def export_records(spark: SparkSession, out_path: str, json_path: str, matrix_pa
     """The wide record tables (a vector per line), for consumers that need them."""
     lines = spark.read.parquet(f"{out_path}/lines")
     templates = spark.read.parquet(f"{out_path}/templates")
-    total = templates.agg(F.sum("n")).first()[0] or 0
-    hot = hot_keys(templates, "template", total)
-    wide = lookup(lines, templates.drop("n"), "template", ("file", "line_no"), hot=hot)
+    counts = templates.select("template", "n")
+    wide = lookup(lines, templates.drop("n"), "template", ("file", "line_no"), counts=counts)
     write_records_json(to_records(wide), json_path)
     write_matrix(wide, matrix_path)
 

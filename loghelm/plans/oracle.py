@@ -308,6 +308,13 @@ SQL = {
         CASE WHEN label IN (3, 4) THEN 0 ELSE 64 END::INT AS dim,
         CASE WHEN label IN (3, 4) THEN 0.0 ELSE round(list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))), 4) END::DOUBLE AS abs_sum
         FROM embeddings""",
+    "rejected_vectors": with_(
+        VECTOR_SCORES,
+        f"""SELECT {VEC_ID} AS log_id, e.label NOT IN (3, 4, 5) AS fits,
+        CASE WHEN e.label NOT IN (3, 4, 5) THEN round(kmeans, 6) END AS distance
+        FROM scores JOIN embeddings e ON e.vec_id = key""",
+    ),
+    "queue_score_text": "SELECT event_id, printf('%.2f', event_id % 1001 / 1000::DOUBLE) AS score FROM events",
     "csv_records": """SELECT 'log_' || lpad(vec_id::VARCHAR, 7, '0') AS log_id,
         'say "log_' || lpad(vec_id::VARCHAR, 7, '0') || '", twice' AS raw_text, 64::INT AS dim,
         round(list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))), 4) AS abs_sum FROM embeddings""",

@@ -186,6 +186,29 @@ def parsed_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return tagged.select("log_id", "fits", F.size("embedding").alias("dim"), F.round(total, 4).alias("abs_sum"))
 
 
+@query
+def rejected_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Distances of the vectors that fit the models; short, empty and long ones come back as rejects."""
+    label, vector = F.col("label"), F.col("embedding").cast("array<double>")
+    bent = (
+        F.when(label == 3, F.slice(vector, 1, DIM - 1))
+        .when(label == 4, F.array().cast("array<double>"))
+        .when(label == 5, F.concat(vector, vector))
+        .otherwise(vector)
+    )
+    table, models = view.embedding_records(spark, sf).withColumn("embedding", bent), view.embedding_models(spark, sf)
+    scored = detection.score_records(table, models).select("log_id", F.lit(True).alias("fits"), F.round("kmeans", 6).alias("distance"))
+    rest = detection.rejected_records(table, models)
+    return scored.unionByName(rest.select("log_id", F.lit(False).alias("fits"), F.lit(None).cast("double").alias("distance")))
+
+
+@query
+def queue_score_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the event log with three digits, ties included, as the queue shows them."""
+    scores = spark.read.parquet(f"{sf}/events.parquet").select("event_id", (F.col("event_id") % 1001 / 1000).alias("value"))
+    return scores.select("event_id", queue.two_digits(F.col("value")).alias("score"))
+
+
 @query
 def csv_records(spark: SparkSession, sf: str) -> DataFrame:
     """Records with the vector as JSON text in a CSV cell, read back."""

@@ -76,8 +76,9 @@ def with_metric_columns(records: DataFrame) -> DataFrame:
 
 
 def split_by_dimension(records: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
-    """Records whose vector has `dim` entries, and the rejected rest."""
-    fits = F.coalesce(F.size("embedding") == dim, F.lit(False))
+    """Records whose vector has `dim` finite entries, and the rejected rest."""
+    finite = F.forall("embedding", lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)))
+    fits = F.coalesce((F.size("embedding") == dim) & finite, F.lit(False))
     return records.where(fits), records.where(~fits)
 
 

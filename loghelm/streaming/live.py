@@ -147,9 +147,9 @@ def run_live_alerts(
             start = session.read.schema(STATE_SCHEMA).parquet(slot(batch_id - 1))
         batch = batch.withColumn("raw_id", F.monotonically_increasing_id())
         parsed = materialize(parse_lines(batch).select("stream", *order, "raw_text", "template"))
-        decided, hot = decide_templates(parsed, models, dim=dim)
+        decided, counts = decide_templates(parsed, models, dim=dim)
         placed = place_lines(parsed, start, order)
-        scored = as_live(lookup(placed, decided, "template", order, hot=hot))
+        scored = as_live(lookup(placed, decided, "template", order, counts=counts))
         fresh = materialize(scored.select("stream", "pos", "raw_text", "is_alert", "live_score", "alerted"))
         alerts, state = alerts_of(fresh, start, first_only)
         alerts.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")

@@ -157,3 +157,9 @@ def test_wide_records(spark, job):
     matrix = spark.read.parquet(str(folder / "matrix"))
     assert matrix.columns == ["embedding", "label", "log_id", "block_id"]
     assert matrix.where(F.col("block_id") == "").count() == sum(1 for t in lines if "blk_" not in t and t)
+
+
+def test_queue_text_rounds_by_the_binary_value(spark):
+    values = [k / 1000 for k in range(1001)] + [0.1449, 0.99995, 1e-5]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", queue.two_digits(F.col("v")).alias("t"))
+    assert all(r["t"] == f"{r['v']:.2f}" for r in df.collect())

@@ -71,12 +71,27 @@ def test_salted_lookup_equals_broadcast(spark):
     rows = skewed(2000) + [(10_000 + i, None, i, 0) for i in range(700)]
     facts = spark.createDataFrame(rows, "id long, k string, o long, v long")
     table = spark.createDataFrame([("hot", 1), ("k3", 2), ("unused", 3)], "k string, w int")
-    hot = spark.createDataFrame([("hot", 800)], "k string, n long")
+    counts = spark.createDataFrame([("hot", 800), ("k3", 5)], "k string, n long")
     plain = {(r["id"], r["w"]) for r in lookup(facts, table, "k", ("id",)).collect()}
-    salted = lookup(facts, table, "k", ("id",), hot=hot, broadcast_bytes=0, rows_per_salt=30)
+    salted = lookup(facts, table, "k", ("id",), counts=counts, broadcast_bytes=0, rows_per_salt=30)
     rows_out = salted.collect()
     assert len(rows_out) == len(rows)
     assert {(r["id"], r["w"]) for r in rows_out} == plain
     assert "__salt" in salted._jdf.queryExecution().executedPlan().toString()
     sampled = lookup(facts, table, "k", ("id",), broadcast_bytes=0)
     assert {(r["id"], r["w"]) for r in sampled.collect()} == plain
+
+
+def test_every_key_hot(spark):
+    facts = spark.range(9000).select("id", (F.col("id") % 300).cast("string").alias("k"))
+    table = spark.range(300).select(F.col("id").cast("string").alias("k"), F.col("id").alias("w"))
+    counts = facts.groupBy("k").agg(F.count("*").alias("n"))
+    out = lookup(facts, table, "k", ("id",), counts=counts, broadcast_bytes=0, rows_per_salt=10)
+    assert out.where(F.col("w") == F.col("id") % 300).count() == 9000
+
+
+@pytest.mark.parametrize("percent", [0, 33.3, 50, 95, 100])
+def test_percentile_has_the_same_bits_on_both_ways(spark, percent):
+    df = spark.range(50).select((F.sin("id") / 7).alias("v"), (F.col("id") % 4 + 1).alias("n"))
+    built_in = weighted_percentiles(df, ("v",), "n", percent, 50)["v"]
+    assert weighted_percentiles(df, ("v",), "n", percent, 10)["v"] == built_in

@@ -66,10 +66,11 @@ def test_no_record_file(spark, tmp_path):
 
 
 def test_dimension_check(spark):
-    df = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [1.0]), ("c", [])], "log_id string, embedding array<double>")
+    rows = [("a", [1.0, 2.0]), ("b", [1.0]), ("c", []), ("d", None), ("e", [1.0, None]), ("f", [1.0, float("nan")])]
+    df = spark.createDataFrame(rows, "log_id string, embedding array<double>")
     good, bad = split_by_dimension(df, 2)
     assert [r["log_id"] for r in good.collect()] == ["a"]
-    assert {r["log_id"] for r in bad.collect()} == {"b", "c"}
+    assert {r["log_id"] for r in bad.collect()} == set("bcdef")
 
 
 # --- feedback ---
