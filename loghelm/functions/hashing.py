@@ -23,10 +23,12 @@ transform({tokens}, token -> transform(array(md5(encode(token, 'UTF-8'))), diges
     'sign', if(substr(digest, 32, 1) IN ('1', '3', '5', '7', '9', 'b', 'd', 'f'), 1D, -1D)))[0])
 """
 
-# One entry per bin, in bin order.
+# One entry per bin, in bin order: the sorted hits are cut where the bin changes.
 BIN_SUMS = """
-transform(array_sort(array_distinct(hits.bin)), b -> named_struct(
-    'bin', b, 'total', aggregate(hits, 0D, (acc, h) -> acc + if(h.bin = b, h.sign, 0D))))
+transform(array(array_sort(hits)), sorted -> transform(array(filter(
+    transform(sorted, (h, i) -> if(i = 0 OR get(sorted, i - 1).bin <> h.bin, i, NULL)), p -> p IS NOT NULL)), starts ->
+    transform(starts, (p, j) -> named_struct('bin', get(sorted, p).bin, 'total', aggregate(
+        slice(sorted, p + 1, coalesce(get(starts, j + 1), size(sorted)) - p), 0D, (acc, h) -> acc + h.sign))))[0])[0]
 """
 
 # Divided by the norm, in single precision.

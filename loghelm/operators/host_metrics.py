@@ -31,9 +31,10 @@ def metrics_as_of(
     line = with_range(left.unionByName(right), ts, rows_per_range=rows_per_range)
 
     has_sample = F.col("__kind") == 0
-    order = F.struct(ts, "__kind")
+    # of several samples at one instant the greatest counts, so that runs repeat
+    order = F.struct(ts, "__kind", "__sample")
     per_range = line.groupBy(key, "__range").agg(
-        F.max_by(F.when(has_sample, F.col("__sample")), F.when(has_sample, F.col(ts))).alias("__sample"),
+        F.max(F.when(has_sample, F.struct(ts, "__sample")))["__sample"].alias("__sample"),
     )
     earlier = Window.partitionBy(key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_range.select(
@@ -61,10 +62,10 @@ def _struct(df: DataFrame, names) -> str:
 
 
 def latest_metrics(metrics: DataFrame, key: str = "host", ts: str = "ts") -> DataFrame:
-    """Newest sample per host."""
+    """Newest sample per host, the greatest of several at one instant."""
     values = [c for c in metrics.columns if c not in (key, ts)]
-    newest = metrics.groupBy(key).agg(F.max_by(F.struct(*values), F.col(ts)).alias("__sample"))
-    return newest.select(key, "__sample.*")
+    newest = metrics.groupBy(key).agg(F.max(F.struct(ts, *values)).alias("__sample"))
+    return newest.select(key, *[F.col(f"__sample.{v}").alias(v) for v in values])
 
 
 def with_latest_metrics(alerts: DataFrame, metrics: DataFrame, key: str = "host") -> DataFrame:

@@ -25,9 +25,10 @@ def label_lines(
     return joined.withColumn("label", encode_label(F.col("label_text")))
 
 
-def preprocessing_summary(labelled: DataFrame, dim: int) -> DataFrame:
-    """Total, vector dimension, and lines by label class (one row). Lines
-    without a block are unknown."""
+def preprocessing_summary(labelled: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Total, size of the `vectors` (0 without any), and lines by label class
+    (one row). Lines without a block are unknown."""
+    dim = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
     return labelled.agg(
         F.count("*").alias("total_records"),
         F.lit(dim).alias("embedding_dim"),

@@ -8,15 +8,23 @@ from pyspark.sql import functions as F
 from loghelm.functions.hashing import DEFAULT_DIM, hash_embedding
 from loghelm.functions.text import log_id, parse_lines
 from loghelm.operators.context import context_of
-from loghelm.operators.detection import detect, score_lines
-from loghelm.operators.incidents import diagnose_batch
-from loghelm.operators.labels import label_lines, label_map, preprocessing_summary
+from loghelm.operators.detection import detect, load_params, score_lines
+from loghelm.operators.evaluation import evaluate
+from loghelm.operators.incidents import SYSTEM_TEXT, analysis_prompt, diagnose_batch
+from loghelm.operators.labels import label_lines, label_map, preprocessing_summary, sample_first_lines
 from loghelm.operators.lookup import lookup
 from loghelm.operators.models import ModelTables, fit
 from loghelm.operators.vectors import template_vectors
 from loghelm.session import materialize
-from loghelm.sources.files import read_numbered_lines
-from loghelm.sources.records import read_block_labels, to_records, write_matrix, write_records_json
+from loghelm.sources.files import number_rows, read_lines, read_numbered_lines
+from loghelm.sources.records import (
+    read_block_labels,
+    to_records,
+    write_block_labels,
+    write_lines,
+    write_matrix,
+    write_records_json,
+)
 
 
 def parsed_log(
@@ -57,7 +65,7 @@ def preprocess(
     label_lines(parsed, materialize(labels)).write.mode("overwrite").parquet(f"{out_path}/lines")
     lines = spark.read.parquet(f"{out_path}/lines")
     template_vectors(lines, dim).write.mode("overwrite").parquet(f"{out_path}/templates")
-    return preprocessing_summary(lines, dim).first().asDict()
+    return preprocessing_summary(lines, spark.read.parquet(f"{out_path}/templates")).first().asDict()
 
 
 def export_records(spark: SparkSession, out_path: str, json_path: str, matrix_path: str) -> None:
@@ -89,6 +97,36 @@ def detect_log(
     return detect(lines, ModelTables.load(spark, model_path), model, limit, dim)
 
 
+def sample_job_files(
+    spark: SparkSession, raw_path: str | list[str], label_path: str, out_path: str, num_lines: int = 25_000
+) -> dict[str, int]:
+    """Write the first raw lines of each log and the labels of their blocks into
+    `out_path/log` and `out_path/labels`. Returns the summary."""
+    lines = number_rows(read_lines(spark, raw_path), F.lit(True))
+    labels = materialize(label_map(read_block_labels(spark, label_path)))
+    sample, blocks, summary = sample_first_lines(lines, labels, num_lines)
+    order = ("file", "line_no")
+    write_lines(materialize(sample).repartitionByRange(*order).sortWithinPartitions(*order), f"{out_path}/log")
+    write_block_labels(blocks, f"{out_path}/labels")
+    return summary.first().asDict()
+
+
+def evaluation_report(spark: SparkSession, out_path: str, model_path: str, dim: int = DEFAULT_DIM) -> DataFrame:
+    """Quality of the three detectors and of the vote on a preprocessed and
+    labelled log, one row each."""
+    models = ModelTables.load(spark, model_path)
+    scored = score_lines(spark.read.parquet(f"{out_path}/lines"), models, dim=dim)
+    thresholds = {m: p["threshold"] for m, p in load_params(models.params).items()}
+    return evaluate(scored, thresholds)
+
+
+def prompt_table(detections: DataFrame, metrics: Column | None = None) -> DataFrame:
+    """What a model is asked about each anomaly: instructions and question.
+    `metrics` is a map of host figures by name."""
+    prompt = analysis_prompt(F.col("log_id"), F.col("context_window"), F.col("anomaly_score"), metrics)
+    return detections.where("is_anomaly").select("log_id", F.lit(SYSTEM_TEXT).alias("system"), prompt.alias("prompt"))
+
+
 def incident_reports(
     spark: SparkSession, out_path: str, model_path: str, answers: DataFrame | None = None,
     limit: int | None = None, dim: int = DEFAULT_DIM,

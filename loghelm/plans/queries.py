@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from loghelm.operators import clusters, context, detection, evaluation, forest,
 from loghelm.operators import labels as labelling
 from loghelm.operators import models as detectors
 from loghelm.operators import ordering, queue, subspace, triage, vectors
+from loghelm.plans import jobs
 from loghelm.plans import log_view as view
 from loghelm.session import fresh_path, materialize, parameter_table
 from loghelm.sources import records
@@ -116,7 +120,7 @@ def labelled_lines_salted(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def preprocessing_summary(spark: SparkSession, sf: str) -> DataFrame:
     lines = labelling.label_lines(view.parsed_lines(spark, sf), view.block_labels(spark, sf))
-    return labelling.preprocessing_summary(lines, DIM)
+    return labelling.preprocessing_summary(lines, vectors.template_vectors(lines, DIM))
 
 
 @query
@@ -223,6 +227,30 @@ def csv_records(spark: SparkSession, sf: str) -> DataFrame:
     return back.select("log_id", "raw_text", F.size("embedding").alias("dim"), F.round(total, 4).alias("abs_sum"))
 
 
+@query
+def jsonl_text_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Records as JSON lines whose vector is a text that holds a JSON array."""
+    path = fresh_path(spark, "jsonl-records")
+    row = F.struct("log_id", F.lit("t").alias("timestamp"), F.to_json("embedding").alias("embedding"))
+    view.embedding_records(spark, sf).select(F.to_json(row)).write.text(path)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + F.abs(v))
+    back = records.read_records(spark, path, "jsonl")
+    return back.select("log_id", F.size("embedding").alias("dim"), F.round(total, 4).alias("abs_sum"))
+
+
+@query
+def loaded_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A data folder with a CSV and a JSON-lines table: the CSV table is the one read."""
+    path = fresh_path(spark, "data")
+    rows = view.embedding_records(spark, sf).select(
+        "log_id", F.lit("t").alias("timestamp"), F.lit("from csv").alias("raw_text"), F.lit("s").alias("source"),
+        F.to_json("embedding").alias("embedding"), F.lit(None).cast("string").alias("metrics"),
+    )
+    rows.write.csv(f"{path}/{records.CSV_NAME}", header=True, escape='"')
+    rows.withColumn("raw_text", F.lit("from json")).write.json(f"{path}/{records.JSONL_NAME}")
+    return records.read_records(spark, path).select("log_id", "raw_text", F.size("embedding").alias("dim"))
+
+
 @query
 def evaluation_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors and labels written as the evaluation table, read back."""
@@ -308,6 +336,26 @@ def autoencoder_decisions(spark: SparkSession, sf: str) -> DataFrame:
     return _decision(spark, sf, "autoencoder")
 
 
+@query
+def fallback_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges and normalised thresholds that the parameter table lacks come from the scored batch."""
+    models = view.embedding_models(spark, sf)
+    bare = models.params.withColumns({c: F.lit(None).cast("double") for c in ("norm_threshold", "s_min", "s_max")})
+    table = view.embedding_records(spark, sf)
+    scored = materialize(detectors.score_vectors(table, models))
+    decided = detection.decide(scored, detection.load_params(bare, scored))
+    return decided.select("log_id", "votes", "is_anomaly", "anomaly_score", "threshold_used")
+
+
+@query
+def stored_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Parameters of models that were saved and loaded."""
+    path = fresh_path(spark, "models")
+    view.embedding_models(spark, sf).save(path)
+    params = detectors.ModelTables.load(spark, path).params
+    return params.select("model", *[F.round(c, 6).alias(c) for c in detection.PARAM_FIELDS])
+
+
 # --- the event log, detected ------------------------------------------------
 
 
@@ -461,6 +509,27 @@ def anomaly_reports(spark: SparkSession, sf: str) -> DataFrame:
     return reports.select("log_id", "severity", joined("retrieved_context").alias("known_pattern"))
 
 
+@query
+def two_log_batch_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """The event log dealt to two logs: the first 40 anomalies by log and place in it."""
+    lines = view.stored_lines(spark, sf)
+    dealt = lines.withColumn("file", F.format_string("log-%d", F.col("line_no") % 2)).withColumn(
+        "pos", F.floor(F.col("line_no") / 2)
+    )
+    found = detection.detect(dealt, view.line_models(lines), dim=DIM)
+    return incidents.diagnose_batch(found, limit=40).select("log_id")
+
+
+@query
+def prompt_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts of the anomalies; the instructions by whether they ask for the report's fields."""
+    prompts = jobs.prompt_table(_detected(spark, sf))
+    asks = F.lit(True)
+    for field in ("explanation", "severity", "recommended_actions"):
+        asks = asks & F.col("system").contains(field)
+    return prompts.select("log_id", "prompt", asks.alias("asks_for_fields"))
+
+
 @query
 def answered_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Reports from supplied answers; lines without a usable one use the rules."""
@@ -585,6 +654,83 @@ def fitted_detections(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("log_id", "anomaly_score", "is_anomaly", "threshold_used", joined("context_window").alias("context"))
 
 
+@query
+def forest_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """What any isolation forest keeps: rows at the root, in the leaves, at every split, and the depth."""
+    nodes = materialize(fitted_forest(spark, sf))
+    child = lambda side: nodes.select("tree", F.col("node").alias(side), F.col("n").alias(f"{side}_n"))
+    full = nodes.join(child("left"), ["tree", "left"], "left").join(child("right"), ["tree", "right"], "left")
+    inner = F.col("feature") >= 0
+    kept = F.coalesce(F.col("left_n") + F.col("right_n") == F.col("n"), F.lit(False))
+    return full.groupBy("tree").agg(
+        F.max(F.when(F.col("node") == 0, F.col("n"))).cast("long").alias("root_rows"),
+        F.sum(F.when(~inner, F.col("n"))).cast("long").alias("leaf_rows"),
+        F.count_if(inner & ~kept).alias("broken_splits"),
+        (F.max("depth") <= 8).alias("depth_kept"),
+    )
+
+
+@query
+def center_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fitted centre is the mean of the vectors nearest to it."""
+    vecs = materialize(vectors.distinct_vectors(view.embedding_records(spark, sf)))
+    centers = clusters.centers_of(clusters.fit_kmeans(vecs))
+
+    @F.pandas_udf("int")
+    def nearest(batch):
+        x = np.stack(batch.to_numpy())
+        squares = np.stack([((x - c) ** 2).sum(axis=1) for c in centers])
+        return batch.__class__(squares.argmin(axis=0))
+
+    cells = vecs.select(nearest("embedding").alias("cluster"), "n", F.posexplode("embedding").alias("i", "v"))
+    means = cells.groupBy("cluster", "i").agg(F.sum("n").alias("n"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
+    fitted = [(c, i, float(v)) for c, row in enumerate(centers) for i, v in enumerate(row)]
+    off = means.join(spark.createDataFrame(fitted, "cluster int, i int, center double"), ["cluster", "i"])
+    return off.agg(
+        F.count_distinct("cluster").alias("n_centers"),
+        F.sum(F.when(F.col("i") == 0, F.col("n"))).alias("n_members"),
+        (F.max(F.abs(F.col("mean") - F.col("center"))) < 1e-3).alias("centers_are_means"),
+    )
+
+
+@query
+def axis_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean, variance kept by the axes plus the rest, and how far the axes are from orthonormal."""
+    vecs = materialize(vectors.distinct_vectors(view.embedding_records(spark, sf)))
+    mean, axes = subspace.mean_and_axes(subspace.fit_pca(vecs, 32))
+
+    @F.pandas_udf("double")
+    def kept(batch):
+        return batch.__class__((((np.stack(batch.to_numpy()) - mean) @ axes.T) ** 2).sum(axis=1))
+
+    spread = kept("embedding") + reconstruction_error(F.col("embedding"), mean, axes) * len(mean)
+    weighted = vecs.select("n", spread.alias("v")).agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("v"))
+    variance = weighted.select(F.lit("variance").alias("what"), F.lit(0).alias("i"), F.round("v", 5).alias("value"))
+    skew = float(np.abs(axes @ axes.T - np.eye(len(axes))).max())
+    rows = [("mean", i, float(v)) for i, v in enumerate(mean)] + [("skew", 0, skew)]
+    given = spark.createDataFrame(rows, "what string, i int, value double")
+    return variance.unionByName(given.withColumn("value", F.abs(F.round("value", 5))))
+
+
+@query
+def detection_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """Fitted thresholds against the scores of all lines: each is their 95th percentile,
+    zero for the forest, and flags at least one line in twenty."""
+    vecs = materialize(vectors.template_vectors(view.stored_lines(spark, sf), DIM))
+    models = detectors.fit(vecs, ae_latent_dim=16)
+    scored = materialize(detectors.score_vectors(vecs, models).select("n", *detection.MODELS))
+    cells = scored.select("n", F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("score")) for m in detection.MODELS])))
+    joined = cells.join(models.params.select("model", "threshold"), "model")
+    above = F.sum(F.when(F.col("score") >= F.col("threshold"), F.col("n")))
+    off = F.abs(F.percentile("score", 0.95, F.col("n")) - F.max("threshold"))
+    return joined.groupBy("model").agg(
+        F.sum("n").alias("n_lines"),
+        (above >= 0.05 * F.sum("n") - 1).alias("flags_a_twentieth"),
+        (off < 1e-9).alias("threshold_is_percentile"),
+        ((F.first("model") != "isolation_forest") | (F.abs(F.max("threshold")) < 1e-9)).alias("forest_at_zero"),
+    )
+
+
 # --- streams -----------------------------------------------------------------
 
 
@@ -618,6 +764,42 @@ def live_first_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return _live(spark, sf, first_only=True)
 
 
+@query
+def scored_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line scored on its own, the way a stream without state does it."""
+    models = view.line_models(view.parsed_lines(spark, sf))
+    scored = live.score_events(view.log_lines(view.spread(view.table(spark, sf, "events"))), models, DIM)
+    return scored.select("line_no", "votes", F.round("live_score", 6).alias("live_score"), "is_alert", "is_highlighted")
+
+
+def _live_files(spark: SparkSession, sf: str, **options) -> DataFrame:
+    """Alerts of a folder with one text file per host, found in several triggers."""
+    logs, out, state, mark = (fresh_path(spark, f"live-{part}") for part in ("logs", "alerts", "state", "checkpoint"))
+    lines = view.log_lines(view.table(spark, sf, "events"))
+    by_host = lines.repartition("stream").sortWithinPartitions("stream", "line_no")
+    by_host.select("stream", "value").write.partitionBy("stream").text(logs)
+    models = view.line_models(view.parsed_lines(spark, sf))
+    files = live.tail_directory(spark, f"{logs}/stream=*", max_files=8, stream_pattern="stream=([^/]+)/")
+    live.run_live_alerts(files, models, out, state, mark, dim=DIM, **options).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query
+def live_text_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of text files that appear in a folder."""
+    return _live_files(spark, sf).select(
+        "log_id", "stream", "anomaly_score", "threshold_used", joined("context_window").alias("context")
+    )
+
+
+@query
+def live_alert_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts with their report and the newest metrics of their host."""
+    samples = view.host_metrics(spark, sf).withColumn("stream", F.concat(F.lit("host-"), F.col("host") % 20)).drop("host")
+    found = _live_files(spark, sf, reports=True, metrics=samples)
+    return found.select("log_id", "severity", "explanation", "cpu_percent", "memory_percent")
+
+
 @query
 def live_verdict_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Triage counts kept up to date by a stream of feedback lines."""

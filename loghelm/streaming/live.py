@@ -11,6 +11,8 @@ from loghelm.functions.scoring import MODELS
 from loghelm.functions.text import HIGHLIGHT_WORDS, drop_undecodable, has_any_word, is_blank, parse_lines
 from loghelm.operators.context import with_trailing_context
 from loghelm.operators.detection import decide, decide_templates, load_params
+from loghelm.operators.host_metrics import with_latest_metrics
+from loghelm.operators.incidents import with_rule_report
 from loghelm.operators.lookup import lookup
 from loghelm.operators.models import ModelTables, score_vectors
 from loghelm.operators.ordering import dense_positions
@@ -105,6 +107,14 @@ def alerts_of(
     return alerts, _state_after(carried.unionByName(fresh), size)
 
 
+def report_alerts(alerts: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
+    """Alerts with the report of the rules and, where samples of host metrics
+    (`stream`, `ts`, values) are given, the newest one of their stream."""
+    ruled = with_rule_report(alerts, "report")
+    reported = ruled.select(*alerts.columns, *[f"report.{c}" for c in ("severity", "explanation", "recommended_actions")])
+    return reported if metrics is None else with_latest_metrics(reported, metrics, "stream")
+
+
 def _state_after(lines: DataFrame, size: int) -> DataFrame:
     """The last `size` lines per stream (counted from its newest position, no
     sort of the stream) and whether it has alerted."""
@@ -126,13 +136,17 @@ def run_live_alerts(
     first_only: bool = False,
     dim: int = 384,
     trigger: dict | None = None,
+    reports: bool = False,
+    metrics: DataFrame | None = None,
 ) -> StreamingQuery:
     """Start the live job on a stream of (`stream`, `value`, order columns).
 
     Every micro-batch writes its alerts to its own folder and the state to
     one of two slots, both by overwriting: a batch that is run again after a
     failure starts from the same state and leaves the same result. `seed`
-    gives the last lines of each stream before the start. The trigger is
+    gives the last lines of each stream before the start. With `reports` each
+    alert brings its report and the newest of the `metrics`, a table that is read
+    anew in every batch. The trigger is
     `{"processingTime": "300 milliseconds"}` or the like, by default all that
     is there, once.
     """
@@ -152,6 +166,8 @@ def run_live_alerts(
         scored = as_live(lookup(placed, decided, "template", order, counts=counts))
         fresh = materialize(scored.select("stream", "pos", "raw_text", "is_alert", "live_score", "alerted"))
         alerts, state = alerts_of(fresh, start, first_only)
+        if reports:
+            alerts = report_alerts(alerts, metrics)
         alerts.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         state.write.mode("overwrite").parquet(slot(batch_id))
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from loghelm.functions.scoring import MODELS, scaled_threshold
 from loghelm.operators import queue
 from loghelm.operators.detection import above_cutoff, decide, load_params
-from loghelm.plans.jobs import detect_log, export_records, incident_reports, preprocess, train
+from loghelm.plans.jobs import detect_log, evaluation_report, export_records, incident_reports, preprocess, prompt_table, sample_job_files, train
 from loghelm.schemas import MODEL_PARAMS, SEVERITIES
 from loghelm.session import parameter_table
 from loghelm.sources.records import read_records
@@ -123,6 +123,33 @@ def test_preprocessing_summary(job):
     assert summary["unknown_records"] == summary["total_records"] - anomalous
 
 
+def test_sample_files(spark, job):
+    folder, lines, _, _, _ = job
+    out = str(folder / "sample")
+    summary = sample_job_files(spark, str(folder / "a.log"), str(folder / "labels.csv"), out, num_lines=20)
+    first = lines[:20]
+    assert summary["sampled_lines"] == 20
+    assert [r["value"] for r in spark.read.text(f"{out}/log").collect()] == first
+    assert summary["anomaly_lines"] == sum(1 for t in first if "blk_1 " in t or "blk_2 " in t)
+
+
+def test_evaluation_report(spark, job):
+    _, _, out, model, summary = job
+    rows = evaluation_report(spark, out, model, dim=32).collect()
+    assert len(rows) == 4
+    known = summary["normal_records"] + summary["anomaly_records"]
+    assert {r["tn"] + r["fp"] + r["fn"] + r["tp"] for r in rows} == {known}
+
+
+def test_prompt_table(spark, job):
+    _, _, out, model, _ = job
+    found = detect_log(spark, out, model, dim=32)
+    rows = prompt_table(found, F.create_map(F.lit("cpu_percent"), F.lit(71.5))).collect()
+    assert len(rows) == found.where("is_anomaly").count()
+    for r in rows:
+        assert r["log_id"] in r["prompt"] and "CPU=71.5%" in r["prompt"] and "recommended_actions" in r["system"]
+
+
 def test_detection_contract(spark, job):
     _, lines, out, model, _ = job
     found = detect_log(spark, out, model, limit=50, dim=32).orderBy("pos").collect()

@@ -79,8 +79,9 @@ def test_labelled_lines_and_summary(spark):
     labelled = label_lines(lines, labels)
     got = [(r["label_text"], r["label"]) for r in labelled.orderBy("line_no").collect()]
     assert got == [("Anomaly", 1), ("Anomaly", 1), ("Unknown", -1), ("strange", -1), ("Unknown", -1)]
-    summary = preprocessing_summary(labelled, 384).first()
-    assert tuple(summary) == (5, 384, 0, 2, 3)
+    vectors = spark.createDataFrame([([0.0, 1.0, 0.0],)], "embedding array<double>")
+    assert tuple(preprocessing_summary(labelled, vectors).first()) == (5, 3, 0, 2, 3)
+    assert preprocessing_summary(labelled, vectors.limit(0)).first()["embedding_dim"] == 0
 
 
 def test_sample_of_first_lines(spark):

@@ -7,7 +7,7 @@ from loghelm.functions.text import parse_lines
 from loghelm.operators.detection import score_lines
 from loghelm.operators.models import fit
 from loghelm.operators.vectors import template_vectors
-from loghelm.streaming.live import as_live, quiet_period, run_live_alerts, running_verdicts, score_events, seed_state, tail_directory
+from loghelm.streaming.live import as_live, quiet_period, report_alerts, run_live_alerts, running_verdicts, score_events, seed_state, tail_directory
 
 DIM = 16
 
@@ -93,6 +93,20 @@ def test_stream_scores_equal_batch_scores(spark, models, tmp_path):
     assert streamed == {tuple(r) for r in batch.collect()}
 
 
+def test_reports_of_alerts(spark):
+    alerts = spark.createDataFrame(
+        [("live_a_1", "a", 0.75, ["worker", "no heap space"]), ("live_b_1", "b", 0.5, ["quiet"])],
+        "log_id string, stream string, anomaly_score double, context_window array<string>",
+    )
+    samples = [("a", 1, 10.0, 20.0), ("a", 5, 30.0, 40.0), ("a", 5, 35.0, 1.0), ("c", 9, 1.0, 1.0)]
+    metrics = spark.createDataFrame(samples, "stream string, ts long, cpu_percent double, memory_percent double")
+    rows = {r["log_id"]: r for r in report_alerts(alerts, metrics).collect()}
+    assert (rows["live_a_1"]["severity"], rows["live_a_1"]["cpu_percent"], rows["live_a_1"]["memory_percent"]) == ("critical", 35.0, 1.0)
+    assert (rows["live_b_1"]["severity"], rows["live_b_1"]["cpu_percent"]) == ("medium", None)
+    assert "0.5000" in rows["live_b_1"]["explanation"]
+    assert report_alerts(alerts).columns[-3:] == ["severity", "explanation", "recommended_actions"]
+
+
 def test_running_verdicts(spark, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()

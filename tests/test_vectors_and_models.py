@@ -70,6 +70,19 @@ def as_arrays(vectors):
     return np.array([r["embedding"] for r in rows]), np.array([r["n"] for r in rows])
 
 
+def test_long_texts_hash_like_short_ones(spark):
+    words = [f"w{i % 700}" for i in range(20_000)]
+    counts = {}
+    for w in words:
+        h = hashlib.md5(w.encode()).hexdigest()
+        b = int(h, 16) % 384
+        counts[b] = counts.get(b, 0) + (1 if int(h, 16) % 2 else -1)
+    whole = np.zeros(384)
+    for b, v in counts.items():
+        whole[b] = v
+    assert np.allclose(embed(spark, " ".join(words), 384), whole / np.linalg.norm(whole), atol=1e-6)
+
+
 def test_average_path():
     assert [float(v) for v in average_path([0, 1, 2])] == [0.0, 0.0, 1.0]
     assert float(average_path(256)) == pytest.approx(10.2448, abs=1e-3)
