@@ -1,18 +1,21 @@
 """Language model scoring by a probabilistic suffix tree.
 
-Contexts are strings of up to two words. A string counts as a node only if it is
-at least `p_min` of all training tokens (and `MIN_COUNT` times) there, so a level
-of the tree has at most 1 / p_min nodes whatever the corpus, and nodes of a level
-are counted only where their parts are nodes. A context is retained if its
-next-symbol distribution diverges from that of its longest retained suffix by at
-least `GAIN` nats over all its occurrences. Distributions are smoothed towards
-the suffix: symbols seen often enough after a context get a share of their own,
-all others the suffix's share, scaled to sum to one; at the root, all words with
-half a count added. A text is scored with the longest suffix state at each token.
+Contexts are strings of up to `DEPTH` words. A string counts as a node if it is
+there `MIN_COUNT` times, whatever the size of the corpus, and nodes of a level are
+counted only where their parts are nodes. A context is retained if its next-symbol
+distribution diverges from that of its longest retained suffix by at least `GAIN`
+nats over all its occurrences. Distributions are smoothed towards the suffix:
+symbols that are nodes after a context get a share of their own, all others the
+suffix's share, scaled to sum to one; at the root, all words with half a count
+added. A text is scored with the longest suffix state at each token. Levels are
+added until one has no nodes or `DEPTH` is reached.
 
 Texts become stored blocks of word numbers. The counts of a block's distinct words
 are asked for by hash range and answered per block, so the corpus counts of all
-words are exact and no word table goes to one place.
+words are exact and no word table goes to one place. The nodes of a level are
+counted alike, by ranges of the strings' hashes: a block asks for the strings it
+holds. One of the blocks that hold a node sends it on to the range of its context,
+which tests the context and answers the blocks that hold it.
 
 Cases: a null or empty text is its end token; unknown words share one entry of
 half a count; rows that repeat are counted and scored each; without training
@@ -21,20 +24,21 @@ texts all scores follow the formulas with zero counts.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loghelm.llm.common import BLANKED, byte_texts, document_words, fold, ids_back, longs, slices, store
+from loghelm.llm.common import BLANKED, byte_texts, document_words, fold, ids_back, longs, mix64, slices, store
 
 BLOCK_BYTES = 12 << 20
-P_MIN = 1e-5
 MIN_COUNT = 8
+#: Most words of a context.
+DEPTH = 4
 GAIN = 20.0
 #: Weight of the suffix's distribution in a context's own shares.
 SMOOTH = 4.0
@@ -70,7 +74,7 @@ def text_blocks(docs: DataFrame, held_out: Column) -> DataFrame:
     return store(own.mapInArrow(run, BLOCK_SCHEMA), "blocks")
 
 
-def corpus_counts(blocks: DataFrame, total: int, least: int) -> DataFrame:
+def corpus_counts(blocks: DataFrame, least: int) -> DataFrame:
     """Stored answers: rows (block, bucket, counts) with the corpus counts of the
     block's words of that hash range; per range one row with `distinct` and the
     words that occur at least `least` times (`heads`, `head_counts`)."""
@@ -120,78 +124,18 @@ def corpus_counts(blocks: DataFrame, total: int, least: int) -> DataFrame:
     return store(made, "counts")
 
 
-class SuffixTree:
-    """Nodes as sorted keys. Words are numbers of `heads`; a pair (a, b) has the
-    key a * len(heads) + b, a triple (pair number) * len(heads) + c."""
+def deflate(values: np.ndarray) -> bytes:
+    """Numbers packed byte plane by byte plane."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
 
-    def __init__(self, heads: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        order = np.argsort(heads)
-        self.heads, self.counts = heads[order], counts[order]
-        self.n = max(len(heads), 1)
-        self.total, self.distinct = total, distinct
-        self.root = (self.counts + 0.5) / (total + 0.5 * (distinct + 1))
-        none = np.zeros(0, np.int64)
-        self.pairs, self.pair_counts, self.triples, self.triple_counts = none, none, none, none
-        self.level1: tuple[np.ndarray, ...] = ()
-        self.level2: tuple[np.ndarray, ...] = ()
-
-    def word_numbers(self, words: np.ndarray) -> np.ndarray:
-        return find(self.heads, words)
-
-    def _level(self, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, totals: np.ndarray, parent) -> tuple:
-        """Retained contexts: (kept per context, share of the rest, share of entries).
-        `context` numbers ascend; `totals` by context; `parent(context, symbol)`
-        gives the suffix's shares."""
-        below = parent(context, symbol)
-        m = totals[context]
-        share = (n + SMOOTH * below) / (m + SMOOTH)
-        size = len(totals)
-        own, low = np.bincount(context, share, size), np.bincount(context, below, size)
-        rest = np.maximum(1 - own, 1e-12) / np.maximum(1 - low, 1e-12)
-        gain = np.bincount(context, n * np.log(share / below), size)
-        gone = np.maximum(totals - np.bincount(context, n, size), 0)
-        gain = gain + gone * np.log(rest)
-        return (gain >= GAIN) & (np.bincount(context, minlength=size) > 0) & (own < 1) & (low < 1), rest, share
-
-    def fit_pairs(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.pairs, self.pair_counts = keys[order], counts[order]
-        a, b = np.divmod(self.pairs, self.n)
-        self.level1 = self._level(a, b, self.pair_counts, self.counts.astype(np.float64), lambda _a, s: self.root[s])
-
-    def fit_triples(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.triples, self.triple_counts = keys[order], counts[order]
-        pair, c = np.divmod(self.triples, self.n)
-        self.level2 = self._level(
-            pair,
-            c,
-            self.triple_counts,
-            self.pair_counts.astype(np.float64),
-            lambda p, s: self.after_word(self.pairs[p] % self.n, s, self.root[s]),
-        )
 
-    def after_word(self, a: np.ndarray, symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """Shares of symbols after a context of one word (-1: none)."""
-        if not len(self.pairs):
-            return root
-        kept, rest, share = self.level1
-        state = (a >= 0) & kept[np.maximum(a, 0)]
-        entry = find(self.pairs, np.where(symbol >= 0, a * self.n + symbol, -1))
-        out = np.where(state, rest[np.maximum(a, 0)] * root, root)
-        return np.where(state & (entry >= 0), share[np.maximum(entry, 0)], out)
-
-    def after_pair(self, a: np.ndarray, b: np.ndarray, symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """Shares with the longest retained suffix of (a, b) as the state."""
-        lower = self.after_word(b, symbol, root)
-        if not len(self.triples):
-            return lower
-        kept, rest, share = self.level2
-        pair = find(self.pairs, np.where((a >= 0) & (b >= 0), a * self.n + b, -1))
-        state = (pair >= 0) & kept[np.maximum(pair, 0)]
-        entry = find(self.triples, np.where(symbol >= 0, pair * self.n + symbol, -1))
-        out = np.where(state, rest[np.maximum(pair, 0)] * lower, lower)
-        return np.where(state & (entry >= 0), share[np.maximum(entry, 0)], out)
+def inflate(data: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    if not size:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True), np.uint8)
+    return planes.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -202,61 +146,265 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-class Block:
-    """A stored block: word numbers of all tokens, and the two tokens before each."""
+def joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of the strings that are a context and a word."""
+    return mix64(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
-    def __init__(self, lengths: bytes, words: bytes, codes: bytes, tree: SuffixTree):
-        self.lengths = np.frombuffer(lengths, np.int32).astype(np.int64)
-        self.codes = np.frombuffer(codes, np.int32)
-        numbers = tree.word_numbers(np.frombuffer(words, np.uint64))
-        self.symbol = numbers[self.codes] if len(self.codes) else np.zeros(0, np.int64)
-        at = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        self.one = np.where(at >= 1, np.roll(self.symbol, 1), -1)
-        self.two = np.where(at >= 2, np.roll(self.symbol, 2), -1)
 
-    def train(self, held: bytes) -> np.ndarray:
-        return np.repeat(np.frombuffer(held, np.uint8) == 0, self.lengths)
+def own_share(n: np.ndarray, total: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Share of a symbol that is a node after its context, `below` by the suffix."""
+    return (n + SMOOTH * below) / (total + SMOOTH)
 
 
-def _count_nodes(blocks: DataFrame, tree: SuffixTree, depth: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the nodes of a level: at most 1 / p_min of them."""
+def shares(n: np.ndarray, total: np.ndarray, rest: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Shares after contexts: `rest` is what a context leaves to symbols that are
+    no nodes after it, 0 if it is not retained."""
+    return np.where(rest > 0, np.where(n > 0, own_share(n, total, below), rest * below), below)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def retained(context: np.ndarray, n: np.ndarray, total: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and the share of their rest, 0 if not retained; from their nodes."""
+    order = np.lexsort((below, n, context))
+    context, n, total, below = context[order], n[order], total[order], below[order]
+    every, first, group = np.unique(context, return_index=True, return_inverse=True)
+    size, m = len(every), total[first]
+    share = own_share(n, total, below)
+    own, low = np.bincount(group, share, size), np.bincount(group, below, size)
+    rest = np.maximum(1 - own, 1e-12) / np.maximum(1 - low, 1e-12)
+    gain = np.bincount(group, n * np.log(share / below), size)
+    gain = gain + np.maximum(m - np.bincount(group, n, size), 0) * np.log(rest)
+    return every, np.where((gain >= GAIN) & (own < 1) & (low < 1), rest, 0.0)
+
+
+class SuffixTree:
+    """What all blocks share, the stored answers to them, and a look at the nodes
+    of a small tree in one process. Words are numbers of `heads`."""
+
+    def __init__(self, total: int, distinct: int, least: int, counted: DataFrame):
+        self.total, self.distinct, self.least = total, distinct, least
+        self.counted = counted
+        self.levels: list[DataFrame] = []
+
+    def __reduce__(self):
+        return SuffixTree, (self.total, self.distinct, self.least, None)
+
+    def base(self, counts: np.ndarray) -> np.ndarray:
+        return (counts + 0.5) / (self.total + 0.5 * (self.distinct + 1))
+
+    @cached_property
+    def _heads(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = self.counted.where("block IS NULL").select("heads", "head_counts").collect()
+        heads = np.frombuffer(b"".join(r["heads"] for r in rows), np.uint64)
+        order = np.argsort(heads)
+        return heads[order], np.frombuffer(b"".join(r["head_counts"] for r in rows), np.int64)[order]
+
+    @property
+    def heads(self) -> np.ndarray:
+        return self._heads[0]
+
+    @property
+    def n(self) -> int:
+        return max(len(self.heads), 1)
+
+    @property
+    def root(self) -> np.ndarray:
+        return self.base(self._heads[1])
+
+    @cached_property
+    def _nodes(self) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        """By level: its strings and counts (kind 0), its contexts and rests (kind 1)."""
+        out = {}
+        for i, level in enumerate(self.levels):
+            rows = level.where("block IS NULL").collect()
+            for kind, number in ((0, np.int64), (1, np.float64)):
+                own = [(inflate(r["keys"], np.uint64), inflate(r["made"], number)) for r in rows if r["kind"] == kind]
+                keys = np.concatenate([np.zeros(0, np.uint64), *[o[0] for o in own]])
+                order = np.argsort(keys)
+                out[i + 1 - kind, kind] = keys[order], np.concatenate([np.zeros(0, number), *[o[1] for o in own]])[order]
+        return out
+
+    def _found(self, depth: int, kind: int, wanted: np.ndarray) -> np.ndarray:
+        keys, made = self._nodes.get((depth, kind), (np.zeros(0, np.uint64), np.zeros(0)))
+        at = find(keys, wanted)
+        return np.where(at >= 0, made[np.maximum(at, 0)] if len(made) else 0, 0)
+
+    def kept(self, depth: int) -> np.ndarray:
+        """Whether each context of so many words is retained."""
+        return self._nodes[depth, 1][1] > 0 if (depth, 1) in self._nodes else np.zeros(0, bool)
+
+    @property
+    def level2(self) -> tuple[np.ndarray]:
+        return (self.kept(2),)
+
+    def after(self, context: list[np.ndarray], symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
+        """Shares of symbols with the longest retained suffix of the context words as
+        the state (-1: none), the first word first."""
+        heads = np.append(self.heads, np.uint64(0))
+        counts = np.append(self._heads[1], 0)
+        out = root
+        for depth in range(1, len(context) + 1):
+            own = context[-depth:]
+            there = np.logical_and.reduce([w >= 0 for w in own])
+            key, total = heads[own[0]], counts[own[0]]
+            for i, w in enumerate(own[1:], 1):
+                key = joined(key, heads[w])
+                total = self._found(i, 0, key)
+            n = np.where(symbol >= 0, self._found(depth, 0, joined(key, heads[symbol])), 0)
+            out = shares(n, total, np.where(there, self._found(depth, 1, key), 0.0), out)
+        return out
+
+    def after_pair(self, a: np.ndarray, b: np.ndarray, symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
+        return self.after([a, b], symbol, root)
+
+
+class Block:
+    """A stored block on its way down the levels."""
+
+    def __init__(self, row: dict, tree: SuffixTree):
+        self.lengths = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
+        self.held = np.frombuffer(row["held"], np.uint8) > 0
+        self.tree = tree
+        self.answers: dict[tuple[int, int], list] = {}
+        for a in sorted(row["answers"], key=lambda a: a["bucket"]):
+            self.answers.setdefault((a["level"], a["kind"]), []).append(a["made"])
+        codes = np.frombuffer(row["codes"], np.int32)
+        self.words = np.frombuffer(row["words"], np.uint64)[codes]
+        counts = [np.frombuffer(m, np.int64) for m in self.answers.pop((0, 0), [])]
+        self.own = np.concatenate([np.zeros(0, np.int64), *counts])[codes]
+        self.base = tree.base(self.own)
+
+    def _answer(self, level: int, kind: int, number: type) -> np.ndarray:
+        return np.concatenate([np.zeros(0, number), *[inflate(m, number) for m in self.answers.get((level, kind), [])]])
+
+    def descend(self, level: int, ask: bool) -> tuple:
+        """Shares after the answers of the levels before `level`; if `ask`, what level
+        `level` asks: its strings and their training counts, the contexts of the
+        level before, and the nodes of these that this block sends on."""
+        at = np.arange(len(self.words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        train = np.repeat(~self.held, self.lengths)
+        key, count, share = self.words, np.where(self.own >= self.tree.least, self.own, 0), self.base
+        contexts, nodes = np.zeros(0, np.uint64), [np.zeros(0, k) for k in NODE]
+        for depth in range(1, level + 1):
+            context, total = np.roll(key, 1), np.where(at >= 1, np.roll(count, 1), 0)
+            valid = np.flatnonzero(total > 0)
+            key = joined(context, self.words)
+            possible = valid[count[valid] > 0]
+            strings, first, place = np.unique(key[possible], return_index=True, return_inverse=True)
+            if depth == level:
+                n = np.bincount(place[train[possible]], minlength=len(strings)) if ask else None
+                return share, strings, n, contexts, nodes
+            made = self._answer(depth, 0, np.int64)
+            count = np.zeros(len(key), np.int64)
+            count[possible] = (made >> 1)[place]
+            every, number = np.unique(context[valid], return_inverse=True)
+            if ask and depth == level - 1:
+                sent = possible[first[(made & 1 > 0) & (made > 1)]]
+                contexts, nodes = every, [context[sent], count[sent], total[sent], share[sent]]
+            else:
+                rest = self._answer(depth + 1, 1, np.float64)[number]
+                share = share.copy()
+                share[valid] = shares(count[valid], total[valid], rest, share[valid])
+        raise AssertionError
+
+
+NODE = (np.uint64, np.int64, np.int64, np.float64)
+ASK_SCHEMA = "kind int, bucket long, block string, keys binary, n binary, nodes array<binary>"
+ANSWER_SCHEMA = "level int, kind int, bucket long, block string, keys binary, made binary"
+
+
+def with_answers(blocks: DataFrame, tree: SuffixTree) -> DataFrame:
+    """The blocks with all answers that they have so far."""
+    made = tree.counted.where("block IS NOT NULL").select(
+        "block", F.lit(0).alias("level"), F.lit(0).alias("kind"), "bucket", F.col("counts").alias("made")
+    )
+    for level in tree.levels:
+        made = made.unionByName(level.where("block IS NOT NULL").select(made.columns))
+    made = made.groupBy("block").agg(F.collect_list(F.struct("level", "kind", "bucket", "made")).alias("answers"))
+    return blocks.select("block", "ids", "held", "lengths", "words", "codes").join(made, "block")
+
+
+def count_level(blocks: DataFrame, tree: SuffixTree, level: int, last: bool) -> DataFrame:
+    """Stored answers of a level: (kind 0) the counts of a block's strings of level + 1
+    words, 0 if no node, doubled, plus one for the block that sends the node on;
+    (kind 1) the rests of its contexts of level - 1 words. Rows without a block hold
+    the nodes and contexts of a range. The last one asks for no strings."""
+    buckets = blocks.count() + 1
+    least = tree.least
+
+    def bucket_of(keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.float64) / 2.0**64 * buckets).astype(np.int64).clip(0, buckets - 1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for held, lengths, words, codes in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                block = Block(lengths, words, codes, tree)
-                one, two, symbol = block.one, block.two, block.symbol
-                mask = block.train(held) & (symbol >= 0) & (one >= 0)
-                if depth == 1:
-                    keys = one[mask] * tree.n + symbol[mask]
-                else:
-                    mask &= two >= 0
-                    one, two, symbol = one[mask], two[mask], symbol[mask]
-                    pair = find(tree.pairs, two * tree.n + one)
-                    mask = (pair >= 0) & (find(tree.pairs, one * tree.n + symbol) >= 0)
-                    keys = pair[mask] * tree.n + symbol[mask]
-                keys, n = np.unique(keys, return_counts=True)
-                for a in range(0, len(keys), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 100_000]), pa.array(n[a : a + 100_000])], ["key", "n"])
-
-    made = blocks.select("held", "lengths", "words", "codes").mapInArrow(run, "key long, n long")
-    kept = made.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    return kept.column("key").to_numpy().astype(np.int64), kept.column("n").to_numpy().astype(np.int64)
-
-
-def fit(blocks: DataFrame, p_min: float = P_MIN, min_count: int = MIN_COUNT) -> tuple[SuffixTree, DataFrame]:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                _, strings, n, contexts, nodes = Block(row, tree).descend(level, True)
+                rows = []
+                if not last:
+                    bucket = bucket_of(strings)
+                    for b in np.unique(bucket).tolist():
+                        a, z = np.searchsorted(bucket, [b, b + 1])
+                        rows.append((0, b, row["block"], deflate(strings[a:z]), deflate(n[a:z]), None))
+                bucket = bucket_of(contexts)
+                order = np.argsort(nodes[0], kind="stable")
+                nodes = [v[order] for v in nodes]
+                sent = bucket_of(nodes[0])
+                for b in np.unique(bucket).tolist():
+                    a, z = np.searchsorted(bucket, [b, b + 1])
+                    c, y = np.searchsorted(sent, [b, b + 1])
+                    rows.append((1, b, row["block"], deflate(contexts[a:z]), None, [deflate(v[c:y]) for v in nodes]))
+                for at in range(0, len(rows), 200):
+                    part = list(zip(*rows[at : at + 200]))
+                    kinds = (pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.binary()))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(part, kinds)], [f.split()[0] for f in ASK_SCHEMA.split(", ")]
+                    )
+
+    def answer(key: tuple, group: pa.Table) -> pa.Table:
+        kind, bucket = key[0].as_py(), key[1].as_py()
+        asked = [inflate(k, np.uint64) for k in group.column("keys").to_pylist()]
+        ends = np.cumsum([len(k) for k in asked])[:-1]
+        if kind == 0:
+            every, first, place = np.unique(np.concatenate(asked), return_index=True, return_inverse=True)
+            summed = np.bincount(place, np.concatenate([inflate(n, np.int64) for n in group.column("n").to_pylist()]), len(every))
+            summed = np.where(summed >= least, summed, 0).astype(np.int64)
+            made = summed[place] * 2
+            made[first] += 1
+            every, values = every[summed > 0], summed[summed > 0]
+        else:
+            sent = [[inflate(v, k) for v, k in zip(row, NODE)] for row in group.column("nodes").to_pylist()]
+            every, values = retained(*[np.concatenate([s[i] for s in sent]) for i in range(len(NODE))])
+            at = find(every, np.concatenate(asked))
+            made = np.where(at >= 0, values[np.maximum(at, 0)] if len(values) else 0.0, 0.0)
+        parts = [deflate(p) for p in np.split(made, ends)]
+        rows = len(parts) + 1
+        return pa.table(
+            {
+                "level": pa.array([level] * rows, pa.int32()),
+                "kind": pa.array([kind] * rows, pa.int32()),
+                "bucket": pa.array([bucket] * rows, pa.int64()),
+                "block": pa.array([*group.column("block").to_pylist(), None], pa.string()),
+                "keys": pa.array([*[None] * len(parts), deflate(every)], pa.binary()),
+                "made": pa.array([*parts, deflate(values)], pa.binary()),
+            }
+        )
+
+    asked = with_answers(blocks, tree).mapInArrow(ask, ASK_SCHEMA)
+    return store(asked.groupBy("kind", "bucket").applyInArrow(answer, ANSWER_SCHEMA), f"level-{level}")
+
+
+def fit(blocks: DataFrame, min_count: int = MIN_COUNT, depth: int = DEPTH) -> tuple[SuffixTree, DataFrame]:
     """The tree of the training texts, and the stored corpus counts."""
     total = blocks.agg(F.sum("n_train")).first()[0] or 0
-    least = max(math.ceil(p_min * total), min_count)
-    counted = corpus_counts(blocks, total, least)
-    rows = counted.where("block IS NULL").select("distinct", "heads", "head_counts").collect()
-    heads = np.frombuffer(b"".join(r["heads"] for r in rows), np.uint64)
-    head_counts = np.frombuffer(b"".join(r["head_counts"] for r in rows), np.int64)
-    tree = SuffixTree(heads, head_counts, total, sum(r["distinct"] for r in rows))
-    if len(heads):
-        tree.fit_pairs(*_count_nodes(blocks, tree, 1, least))
-    if len(tree.pairs):
-        tree.fit_triples(*_count_nodes(blocks, tree, 2, least))
+    counted = corpus_counts(blocks, min_count)
+    distinct = counted.agg(F.sum("distinct")).first()[0] or 0
+    tree = SuffixTree(total, distinct, min_count, counted)
+    for level in range(1, depth + 2):
+        made = count_level(blocks, tree, level, last=level > depth)
+        tree.levels.append(made)
+        # an empty packed column has only its size
+        if made.where("kind = 0 AND block IS NULL AND octet_length(keys) > 8").isEmpty():
+            break
     return tree, counted
 
 
@@ -267,43 +415,37 @@ SCORE_SCHEMA = (
 
 def score_blocks(blocks: DataFrame, counted: DataFrame, tree: SuffixTree) -> DataFrame:
     """Scores of all texts of the blocks."""
+    levels = len(tree.levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                counts = [np.frombuffer(a["counts"], np.int64) for a in sorted(row["answers"], key=lambda a: a["bucket"])]
-                block = Block(row["lengths"], row["words"], row["codes"], tree)
-                own = np.concatenate(counts)[block.codes]
-                base = (own + 0.5) / (tree.total + 0.5 * (tree.distinct + 1))
-                share = tree.after_pair(block.two, block.one, block.symbol, base)
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                block = Block(row, tree)
+                share = block.descend(levels, False)[0]
                 starts = np.cumsum(block.lengths) - block.lengths
-                held = np.frombuffer(row["held"], np.uint8) > 0
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids_back(np.frombuffer(row["ids"], np.int64)),
-                        pa.array(held),
+                        pa.array(block.held),
                         pa.array(block.lengths),
-                        pa.array(np.add.reduceat((own > 0).astype(np.int64), starts)),
-                        pa.array(np.full(len(held), tree.total)),
-                        pa.array(np.add.reduceat(np.log10(base), starts)),
+                        pa.array(np.add.reduceat((block.own > 0).astype(np.int64), starts)),
+                        pa.array(np.full(len(block.held), tree.total)),
+                        pa.array(np.add.reduceat(np.log10(block.base), starts)),
                         pa.array(np.add.reduceat(np.log10(share), starts)),
                     ],
                     [f.split()[0] for f in SCORE_SCHEMA.split(", ")],
                 )
 
-    answers = counted.where("block IS NOT NULL").groupBy("block").agg(
-        F.collect_list(F.struct("bucket", "counts")).alias("answers")
-    )
-    own = blocks.select("block", "ids", "held", "lengths", "words", "codes").join(answers, "block")
-    return own.mapInArrow(run, SCORE_SCHEMA)
+    return with_answers(blocks, tree).mapInArrow(run, SCORE_SCHEMA)
 
 
 def suffix_tree_scores(
-    docs: DataFrame, held_out: Column | None = None, p_min: float = P_MIN, min_count: int = MIN_COUNT
+    docs: DataFrame, held_out: Column | None = None, min_count: int = MIN_COUNT, depth: int = DEPTH
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     blocks = text_blocks(docs, fold("doc_id", 5) == 1 if held_out is None else held_out)
-    tree, counted = fit(blocks, p_min, min_count)
+    tree, counted = fit(blocks, min_count, depth)
     return score_blocks(blocks, counted, tree)
 
 

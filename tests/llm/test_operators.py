@@ -350,6 +350,32 @@ def test_suffix_tree_learns_and_sums_to_one(spark):
     assert sum(r["score"] for r in rows) > 0.6 * sum(r["base_score"] for r in rows)
 
 
+def test_suffix_tree_keeps_rare_strings_and_long_contexts(spark, monkeypatch):
+    """Strings seen MIN_COUNT times are nodes in a corpus of any size, contexts go past
+    two words, and blocks and ranges do not change the scores."""
+    rng = random.Random(8)
+    noise = [" ".join(f"w{rng.randrange(300)}" for _ in range(400)) for _ in range(2600)]
+    # what follows "q r s" depends on the word before it
+    phrases = [f"start{i} q r s end{i}" for i in range(40)] * 9
+    docs = documents(spark, noise + phrases + ["start1 q r s end1", "start1 q r s end2"])
+    held = F.col("doc_id") >= len(noise) + len(phrases)
+
+    def scores(block_bytes):
+        monkeypatch.setattr(suffix_tree_lm, "BLOCK_BYTES", block_bytes)
+        blocks = suffix_tree_lm.text_blocks(docs, held)
+        tree, counted = suffix_tree_lm.fit(blocks)
+        return tree, rows_by_id(suffix_tree_lm.score_blocks(blocks, counted, tree), "score")
+
+    tree, got = scores(12 << 20)
+    assert tree.total > 1_000_000 and tree.least == suffix_tree_lm.MIN_COUNT
+    assert tree.kept(4).sum() == 40
+    right, wrong = got[len(noise) + len(phrases)][0], got[len(noise) + len(phrases) + 1][0]
+    # at 1e-5 of the tokens the 9 occurrences would be no nodes, and two words can not tell the ends apart
+    assert right > wrong + 0.5
+    _, parted = scores(300_000)
+    assert all(parted[i][0] == pytest.approx(got[i][0], abs=1e-9) for i in got)
+
+
 # --- 9 ---
 
 
