@@ -3,9 +3,12 @@
 Lexicon: words, and word stems of four to six letters, that occur in toxic
 training documents far more often than chance allows. They form a trie; a
 token's Levenshtein automaton runs down the trie and accepts whole words within
-`max_edits` edits (none for short words), stems only exactly.
+`max_edits` edits, a swap of neighbours as one (none for short words), stems only
+exactly.
 
-Each (term, edits) has the share of toxic documents among those it hits. A hit
+Each (term, edits) has the share of toxic documents among those it hits; with edits,
+a share that few training hits tell is drawn to what the term's exact hits are
+worth, times what hits with edits are worth beside exact ones over all terms. A hit
 is seen in its window of words: quotation marks around it or a reporting word
 beside it speak for quotation, a direct address for abuse; what each of these
 signs is worth is learned from the training hits. A logistic model joins a
@@ -45,6 +48,8 @@ EVIDENCE, SHARE = 14.0, 0.5
 WINDOW = 6
 STRONGEST = 4
 MEMO_TOKENS = 200_000
+#: Worth of a hit with edits beside an exact one, until training hits tell.
+EDITED = 0.5
 
 REPORTING = frozenset("said says wrote writes called calls quote quoted quotes word term slur insult alleged reported".split())
 DIRECT = frozenset("you your yours youre u ur du dein deine tu ton ta eres vous votre".split())
@@ -55,11 +60,15 @@ _TOKEN = re.compile("[^\\s" + re.escape(".,;:!?()[]{}<>…·¡¿" + QUOTES) + "]
 
 class LevenshteinAutomaton:
     """Deterministic automaton of all strings within `edits` of a word, its states
-    (rows of clipped edit distances) made as they are reached."""
+    (rows of clipped edit distances) made as they are reached. With `swaps`, two
+    neighbours that changed places are one edit: a second part of the state holds the
+    distances that a swap under way will have."""
 
-    def __init__(self, word: str, edits: int):
-        self.word, self.edits = word, edits
+    def __init__(self, word: str, edits: int, swaps: bool = False):
+        self.word, self.edits, self.swaps = word, edits, swaps
         self.start = tuple(min(i, edits + 1) for i in range(len(word) + 1))
+        if swaps:
+            self.start += (edits + 1,) * len(word)
         self.moves: dict[tuple, tuple] = {}
 
     def step(self, state: tuple, char: str) -> tuple:
@@ -68,7 +77,10 @@ class LevenshteinAutomaton:
             most = self.edits + 1
             row = [min(state[0] + 1, most)]
             for i, c in enumerate(self.word):
-                row.append(min(state[i] + (c != char), row[i] + 1, state[i + 1] + 1, most))
+                swapped = state[len(self.word) + 1 + i] if self.swaps and i and self.word[i - 1] == char else most
+                row.append(min(state[i] + (c != char), row[i] + 1, state[i + 1] + 1, swapped, most))
+            if self.swaps:
+                row += [min(state[i - 1] + 1, most) if i and c == char else most for i, c in enumerate(self.word)]
             self.moves[key] = tuple(row)
         return self.moves[key]
 
@@ -76,7 +88,7 @@ class LevenshteinAutomaton:
         return min(state) <= self.edits
 
     def distance(self, state: tuple) -> int:
-        return state[-1]
+        return state[len(self.word)]
 
 
 def _cut_forms(word: str) -> list[str]:
@@ -86,8 +98,8 @@ def _cut_forms(word: str) -> list[str]:
 class Lexicon:
     """Trie of words and stems (`stem*`), with a memo of tokens."""
 
-    def __init__(self, terms: list[str], max_edits: int = MAX_EDITS):
-        self.max_edits = max_edits
+    def __init__(self, terms: list[str], max_edits: int = MAX_EDITS, swaps: bool = False):
+        self.max_edits, self.swaps = max_edits, swaps
         self.root: dict = {}
         self.stems: set[str] = set()
         self.words: set[str] = set()
@@ -102,7 +114,7 @@ class Lexicon:
                 node = node.setdefault(char, {})
             node["end"] = term
             if len(term) >= FUZZY_LENGTH and max_edits == 1:
-                # words one edit apart share a form with at most one letter cut out
+                # words one edit or one swap apart share a form with at most one letter cut out
                 self.cut.update(_cut_forms(term))
         self.stem_sizes = sorted({len(s) for s in self.stems})
         self.memo: dict[str, tuple] = {}
@@ -121,7 +133,7 @@ class Lexicon:
         if token in self.words:
             found[token] = 0
         elif self.max_edits and len(token) >= FUZZY_LENGTH - self.max_edits and self._may_match(token):
-            automaton = LevenshteinAutomaton(token, self.max_edits)
+            automaton = LevenshteinAutomaton(token, self.max_edits, self.swaps)
             todo = [(self.root, automaton.start)]
             while todo:
                 node, state = todo.pop()
@@ -211,10 +223,11 @@ class Model:
     logistic weights that join a document's hits."""
 
     def __init__(self, terms: list[str], share: float, edits: int):
-        self.lexicon = Lexicon(sorted(terms), edits)
+        self.lexicon = Lexicon(sorted(terms), edits, swaps=True)
         self.counts: dict[tuple[str, int], tuple[int, int]] = {}
         self.prior = min(max(share, 1e-6), 1 - 1e-6)
         self.signs = {"quoted": -1.0, "reported": -0.5, "direct": 0.5}
+        self.edited = EDITED
         self.weights: np.ndarray | None = None
         self.floor = share
 
@@ -225,6 +238,22 @@ class Model:
                 found[token] = hit
         return found
 
+    def lift(self, a: float, b: float, expected: float = 0.0) -> float:
+        """Log odds that a toxic and b clean hits add, drawn to `expected`."""
+        odds = math.log(self.prior / (1 - self.prior))
+        p = (a + 2 / (1 + math.exp(-odds - expected))) / (a + b + 2)
+        return math.log(p / (1 - p)) - odds
+
+    def learn_edited(self) -> None:
+        """What a hit with edits is worth beside an exact one, over all terms."""
+        edited = [(t, a, b) for (t, edits), (a, b) in sorted(self.counts.items()) if edits]
+        n = sum(a + b for _, a, b in edited)
+        exact = sum((a + b) * max(self.lift(*self.counts.get((t, 0), (0, 0))), 0.0) for t, a, b in edited)
+        if exact > 0:
+            learned = self.lift(sum(a for _, a, _ in edited), sum(b for _, _, b in edited)) / (exact / n)
+            trust = n / (n + 20)
+            self.edited = trust * min(max(learned, 0.0), 1.0) + (1 - trust) * EDITED
+
     def strength(self, hit: tuple[tuple[str, int], ...], left_out: int | None) -> float:
         """Log odds that a hit adds, by its term of fewest edits and most worth;
         `left_out` is the label of a training document, whose own count is taken off."""
@@ -233,8 +262,8 @@ class Model:
             a, b = self.counts.get((term, edits), (0, 0))
             if left_out is not None:
                 a, b = max(a - left_out, 0), max(b - 1 + left_out, 0)
-            p = (a + 2 * self.prior) / (a + b + 2)
-            best = max(best or (-edits, -9.0), (-edits, math.log(p / (1 - p)) - math.log(self.prior / (1 - self.prior))))
+            expected = self.edited**edits * max(self.lift(*self.counts.get((term, 0), (0, 0))), 0.0) if edits else 0.0
+            best = max(best or (-edits, -9.0), (-edits, self.lift(a, b, expected)))
         return max(best[1], 0.0)
 
     def evidence(self, text: str, left_out: int | None = None) -> list[float]:
@@ -298,6 +327,7 @@ def fit(sample: DataFrame, max_edits: int = MAX_EDITS, max_terms: int = MAX_TERM
     made = made.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = {r["name"]: (r["toxic"], r["clean"]) for r in made.collect()}
     model.counts = {(n[1:], int(n[0])): v for n, v in counts.items() if n[0] != "-"}
+    model.learn_edited()
     hit = counts.get("-any", (0, 0))
     for sign, prior in model.signs.items():
         a, b = counts.get(f"-{sign}", (0, 0))

@@ -279,6 +279,42 @@ def test_toxicity(spark):
     assert {r["score"] for r in lexicon.toxicity_scores(docs.limit(3), labels.limit(0)).collect()} == {0.0}
 
 
+def test_swaps_are_one_edit():
+    rng = random.Random(3)
+    words = lexicon.Lexicon(["abcdefg", "bacabc"], 1, swaps=True)
+    for term in words.words:
+        for k in range(len(term) - 1):
+            token = term[:k] + term[k + 1] + term[k] + term[k + 2 :]
+            assert words.search(token) == ((term, 1),), token
+    assert words.search("bacdegf") == () and words.search("bcadefg") == ()
+    for _ in range(300):
+        token = "".join(rng.choice("abc") for _ in range(rng.randint(5, 7)))
+        near = {t for t in words.words if edit_distance(t, token) <= 1}
+        assert near <= {t for t, _ in words.search(token)}
+
+
+def test_unseen_misspelling_is_toxic(spark):
+    """No training document has a misspelling, and no stem matches these."""
+    training = ["grumblefoot", "slimehead", "dunderpate"]
+    unseen = ["gurmblefoot", "sximehead", "dnderpate"]
+
+    def make(rng, bad):
+        words = prose(rng, 30).split()
+        if bad:
+            held = zlib.crc32(str(made[0]).encode()) % 4 == 2
+            words.insert(rng.randrange(len(words)), rng.choice(unseen if held else training))
+        made[0] += 4 if bad else 0
+        return " ".join(words)
+
+    made = [0]
+    docs, labels, marks = labelled(spark, make, "toxic")
+    rows = {r["doc_id"]: r for r in lexicon.toxicity_scores(docs, labels).collect()}
+    held = [r for i, r in rows.items() if r["held_out"] and i < len(marks)]
+    assert any(marks[r["doc_id"]] for r in held) and all(r["predicted"] == marks[r["doc_id"]] for r in held)
+    kept = {r["doc_id"] for r in lexicon.drop_toxic(docs, labels).collect()}
+    assert not any(marks[i] for i in kept if i < len(marks))
+
+
 def test_window_signs():
     seen = lexicon.signs('they said "you idiot" and left; idiot again', {"idiot"})
     assert seen == {"idiot": {"reported", "direct"} & seen["idiot"]}
