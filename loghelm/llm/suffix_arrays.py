@@ -16,9 +16,10 @@ the bytes under covered strings are removed.
    common prefix of at least `SPAN` bytes are equal windows; all but the first
    in corpus order are covered.
 4. Merging. The cells of an anchor with very many of them are dealt to several
-   shards. Each of these cuts its sorted distinct windows into ranges by binary
-   search, and the ranges of all shards are merged by binary search, again
-   keeping the first occurrence.
+   shards. Windows sampled from their sorted distinct windows cut an anchor's
+   windows into ranges, as many as its windows need; the shards' windows are cut at
+   these by binary search, and the ranges of all shards are merged by binary
+   search, again keeping the first occurrence.
 5. The covered spans of a document meet its text, which is cut.
 
 Cases: a null text is empty; texts shorter than `SPAN` lose nothing; matches
@@ -30,13 +31,14 @@ rows.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +64,9 @@ BUCKET_BYTES = 4 << 20
 SHARD_BYTES = 2 << 20
 #: Cells of one anchor in one shard.
 HOT_CELLS = 10_000
+#: Sorted windows of a shard in one row, and such rows that one range holds on average.
+RUN_WINDOWS = 4096
+RANGE_RUNS = 8
 
 ANCHOR = np.dtype([("key", "<u8"), ("doc", "<i8"), ("first", "<i4"), ("size", "<i4")])
 CELL = np.dtype([("key", "<u8"), ("first", "<i4"), ("size", "<i4")])
@@ -443,20 +448,15 @@ def _runs(places: np.ndarray, starts: np.ndarray, docs: list[int], firsts: list[
 SHARD_SCHEMA = FOUND_SCHEMA + ", piece int"
 
 
-def shard_spans(found: DataFrame, span: int = SPAN, shard_bytes: int = SHARD_BYTES, hot_cells: int = HOT_CELLS) -> DataFrame:
+def shard_spans(
+    found: DataFrame, span: int = SPAN, shard_bytes: int = SHARD_BYTES, hot_cells: int = HOT_CELLS, run_windows: int = RUN_WINDOWS
+) -> DataFrame:
     """id, spans that the shards and their merging find among the stored cells."""
     own = found.where("cell IS NOT NULL").select("key", "cell", "id", "first")
     total = own.agg(F.sum(F.octet_length("cell"))).first()[0] or 0
     shards = total // shard_bytes + 1
     counts = own.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_cells)
-    head = F.conv(F.hex(F.substring("cell", 1, 7)), 16, 10).cast("long")
-    steps = [i / 64 for i in range(1, 64)]
-    hot = store(
-        own.join(counts, "key").groupBy("key").agg(
-            F.count("*").alias("n"), F.percentile_approx(head, steps, 1000).alias("cuts")
-        ),
-        "hot-anchors",
-    )
+    hot = store(counts, "hot-anchors")
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         anchor = key[1].as_py()
@@ -471,8 +471,9 @@ def shard_spans(found: DataFrame, span: int = SPAN, shard_bytes: int = SHARD_BYT
         _runs(windows[again], starts, docs, firsts, span, covered)
         out = [b.append_column("piece", pa.nulls(b.num_rows, pa.int32())) for b in _spans(covered)]
         if anchor is not None:
-            cuts = np.array(sorted(set(group.column("cuts")[0].as_py())), dtype=np.int64)
-            out += _sorted_ranges(anchor, windows[~again], strings, starts, docs, firsts, cuts, span)
+            # the first sampled place differs by shard, or small shards would only ever show their least windows
+            offset = zlib.crc32(f"{anchor} {key[2].as_py()}".encode()) % run_windows
+            out += _sorted_runs(anchor, windows[~again], strings, starts, docs, firsts, offset, run_windows, span)
         return pa.Table.from_batches(out, schema=SHARD_TYPE) if out else SHARD_TYPE.empty_table()
 
     split = own.join(hot.withColumnRenamed("key", "hot_key"), F.col("key") == F.col("hot_key"), "left")
@@ -480,9 +481,9 @@ def shard_spans(found: DataFrame, span: int = SPAN, shard_bytes: int = SHARD_BYT
         F.col("n").isNotNull(), F.pmod(F.xxhash64("id", "first"), F.ceil(F.col("n") / hot_cells))
     ).otherwise(F.lit(0))
     shard = F.when(F.col("n").isNotNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)))
-    dealt = split.select("key", "cell", "id", "first", "cuts", "hot_key", shard.alias("shard"), salt.alias("salt"))
+    dealt = split.select("key", "cell", "id", "first", "hot_key", shard.alias("shard"), salt.alias("salt"))
     made = store(dealt.groupBy("shard", "hot_key", "salt").applyInArrow(run, SHARD_SCHEMA), "spans")
-    merged = made.where("piece IS NOT NULL").groupBy("key", "piece").applyInArrow(merge_ranges(span), "id long, spans binary")
+    merged = window_ranges(made, span).groupBy("key", "piece").applyInArrow(merge_ranges(span), "id long, spans binary")
     return made.where("piece IS NULL").select("id", "spans").unionByName(merged)
 
 
@@ -498,19 +499,22 @@ SHARD_TYPE = pa.schema(
 )
 
 
-def _sorted_ranges(
-    anchor: int, windows: np.ndarray, strings: list[bytes], starts: np.ndarray, docs: list[int], firsts: list[int], cuts: np.ndarray, span: int
+def _sorted_runs(
+    anchor: int, windows: np.ndarray, strings: list[bytes], starts: np.ndarray, docs: list[int], firsts: list[int], offset: int, run_windows: int, span: int
 ) -> list[pa.RecordBatch]:
-    """The sorted distinct windows of a shard, cut into ranges at `cuts`. Each
-    range is one row: the windows in `cell`, their documents and places in `spans`."""
+    """The sorted distinct windows of a shard in runs. Each run is one row: the
+    windows in `cell`, their documents and places in `spans`; `piece` is 1 if its first
+    window is a sample (one for `run_windows`), else 0."""
     text = b"".join(strings)
     string = np.searchsorted(starts, windows, side="right") - 1
     doc = np.array(docs, dtype=np.int64)[string]
     place = np.array(firsts, dtype=np.int64)[string] + windows - starts[string]
-    head = np.array([int.from_bytes(text[w : w + 7], "big") for w in windows.tolist()], dtype=np.int64)
-    bounds = [0, *np.searchsorted(head, cuts).tolist(), len(windows)]
+    bounds = [*range(offset, len(windows), run_windows), len(windows)]
+    sampled = [1] * (len(bounds) - 1)
+    if bounds[0]:
+        bounds, sampled = [0, *bounds], [0, *sampled]
     out = []
-    for piece, (a, b) in enumerate(zip(bounds, bounds[1:])):
+    for piece, a, b in zip(sampled, bounds, bounds[1:]):
         if a < b:
             own = b"".join(text[w : w + span] for w in windows[a:b].tolist())
             where = np.stack([doc[a:b], place[a:b]]).astype("<i8").tobytes()
@@ -523,6 +527,45 @@ def _sorted_ranges(
     return out
 
 
+def window_ranges(made: DataFrame, span: int = SPAN, range_runs: int = RANGE_RUNS) -> DataFrame:
+    """key, piece, cell, spans: the runs of all shards, cut at every `range_runs`-th of
+    the sampled windows of their key. Equal windows get the same piece."""
+    runs = made.where("piece IS NOT NULL").select("key", "cell", "spans", "piece")
+    head = F.substring("cell", 1, span)
+    place = F.row_number().over(Window.partitionBy("key").orderBy("head"))
+    cuts = runs.where("piece = 1").select("key", head.alias("head")).withColumn("place", place)
+    cuts = cuts.where(F.col("place") % range_runs == 0).groupBy("key").agg(F.sort_array(F.collect_set("head")).alias("cuts"))
+    last = F.expr(f"substring(cell, octet_length(cell) - {span - 1}, {span})")
+    none = F.array().cast("array<binary>")
+    own = runs.join(F.broadcast(cuts), "key", "left").withColumn("cuts", F.coalesce("cuts", none))
+    own = own.select(
+        "key",
+        F.size(F.filter("cuts", lambda c: c <= head)).alias("before"),
+        F.filter("cuts", lambda c: (c > head) & (c <= last)).alias("inside"),
+        "cell",
+        "spans",
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, before, inside, cell, where in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+                windows, places = np.frombuffer(cell, f"S{span}"), np.frombuffer(where, "<i8").reshape(2, -1)
+                at = np.searchsorted(windows, np.array(inside, f"S{span}")).tolist()
+                bounds = [0, *at, len(windows)]
+                rows = [(before + i, a, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([key] * len(rows), pa.int64()),
+                        pa.array([r[0] for r in rows], pa.int32()),
+                        pa.array([cell[a * span : b * span] for _, a, b in rows], pa.binary()),
+                        pa.array([places[:, a:b].tobytes() for _, a, b in rows], pa.binary()),
+                    ],
+                    ["key", "piece", "cell", "spans"],
+                )
+
+    return own.mapInArrow(run, "key long, piece int, cell binary, spans binary")
+
+
 def merge_ranges(span: int):
     """Merge the sorted windows of all shards for one range, two at a time."""
 

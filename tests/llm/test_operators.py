@@ -67,6 +67,34 @@ def test_suffix_arrays(spark, corpus, hot_cells):
     assert [got[i] for i in range(len(corpus))] == brute_repeats(corpus)
 
 
+def test_hot_passage_end_is_merged_in_bounded_ranges(spark, monkeypatch):
+    """Many documents share a passage, each followed by other text."""
+    rng = random.Random(12)
+    shared = "".join(rng.choice("abcdefghij") for _ in range(130))
+    texts = ["".join(rng.choice("klmn") for _ in range(20)) + shared + "".join(rng.choice("opqrstuv") for _ in range(150)) for _ in range(300)]
+    docs = documents(spark, texts).repartition(4)
+    numbered = suffix_arrays.unique_ids(docs)
+    found = suffix_arrays.cut_cells(numbered, suffix_arrays.repeated_cells(numbered))
+    ranges, cut_at = [], suffix_arrays.window_ranges
+
+    def kept(*args):
+        ranges.append(cut_at(*args))
+        return ranges[0]
+
+    monkeypatch.setattr(suffix_arrays, "window_ranges", kept)
+    spans = suffix_arrays.shard_spans(found, hot_cells=20, run_windows=16)
+    spans = spans.unionByName(found.where("spans IS NOT NULL").select("id", "spans"))
+    packed = {}
+    for r in spans.collect():
+        packed.setdefault(r["id"], []).append(bytes(r["spans"]))
+    for i, want in enumerate(brute_repeats(texts)):
+        gone = suffix_arrays.merged_spans(packed.get(i, []))
+        left = suffix_arrays.cut(texts[i].encode(), gone)
+        assert (len(gone), hashlib.sha256(left).hexdigest()) == want[2:]
+    sizes = [r["n"] for r in ranges[0].groupBy("key", "piece").agg((F.sum(F.octet_length("cell")) / 100).alias("n")).collect()]
+    assert sum(sizes) > 5000 and max(sizes) < 1000
+
+
 def test_suffix_array_and_prefixes():
     rng = random.Random(1)
     strings = list({bytes(rng.choice(b"ab\0") for _ in range(rng.randint(1, 40))) for _ in range(60)})
