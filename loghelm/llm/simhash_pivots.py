@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loghelm.llm.common import blank_words, byte_texts, doc_text, popcount, store
+from loghelm.llm.suffix_arrays import unique_ids
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -190,9 +191,13 @@ def simhash_components(
 
 
 def keep_one_per_component(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its component, rows of equal
-    id and text once; rows without an id stay."""
-    found = simhash_components(docs, shingle, max_bits)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return rows.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each component: that of the smallest id, of equal ids the one of the
+    smallest text; a row without an id only if no row of its component has one."""
+    numbered = unique_ids(docs.withColumn("__text", F.col("text")))
+    # numbers of rows without an id start at 0; they go behind all others
+    numbered = numbered.withColumn("id", F.when(F.col("doc_id").isNull(), F.col("id") + F.lit(1 << 62)).otherwise(F.col("id")))
+    found = simhash_components(numbered.select(F.col("id").alias("doc_id"), "text"), shingle, max_bits)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("id"))
+    rows = numbered.join(kept, "id", "left_semi")
+    own = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text": F.col("rest.__text").alias("text")}
+    return rows.select(*[own.get(c, F.col(f"rest.{c}")) for c in docs.columns])

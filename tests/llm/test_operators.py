@@ -493,6 +493,17 @@ def test_simhash(spark, corpus):
     assert {r["doc_id"] for r in kept.collect()} == set(roots)
 
 
+def test_one_row_per_component_with_null_ids(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, 60) for _ in range(4)]
+    rows = [(7, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (2, texts[3]), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    made = simhash_pivots.keep_one_per_component(docs)
+    assert made.schema == docs.schema
+    got = sorted(((r["doc_id"], r["text"] or "", r["lang"]) for r in made.collect()), key=str)
+    assert got == sorted([(7, texts[0], "en"), (None, texts[1], "en"), (4, texts[2], "en"), (2, texts[3], "en"), (None, "", "en")], key=str)
+
+
 def test_chains_of_fingerprints(spark):
     rng = random.Random(9)
     values = [rng.getrandbits(64) for _ in range(40)]
