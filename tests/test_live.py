@@ -13,7 +13,7 @@ DIM = 16
 
 
 def log(stream, n, faults):
-    return [f"2026-10-06T14:00:00Z [ERROR] [svc]: HikariPool-1 lost {stream} {i}" if i in faults else f"{stream} line {i} ok step{i % 5}" for i in range(n)]
+    return [f"2024-02-03T08:20:11Z [ERROR] [svc]: HikariPool-1 lost {stream} {i}" if i in faults else f"{stream} line {i} ok step{i % 5}" for i in range(n)]
 
 
 LOGS = {"web": log("web", 40, {3, 17, 39}), "db": log("db", 23, {0, 11}), "idle": log("idle", 6, set())}
