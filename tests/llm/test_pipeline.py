@@ -45,7 +45,7 @@ def test_stages(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("pages", "documents", "benchmark"):
+    for table in ("pages", "documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = QUERIES[name](spark, SF)
     result = con.execute(SQL[name])
