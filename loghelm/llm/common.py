@@ -3,7 +3,9 @@ access by Arrow, word splitting on bytes, and packed number columns."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,12 @@ class TaskCache(dict):
         return TaskCache, ()
 
 
+def worker_memo() -> dict:
+    """A dictionary that lives as long as its Python worker, over many tasks: functions
+    come to a task with a copy of this package, so it hangs on a module of its own."""
+    return sys.modules.setdefault("_loghelm_worker_memo", ModuleType("_loghelm_worker_memo")).__dict__
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them back: later steps start
     from files that outlive any executor."""
@@ -149,8 +157,52 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and byte offset of each word between blanks (byte 32)."""
+#: The word numbers below are polynomials modulo this prime, 2**31 - 1, at two places.
+_PRIME = np.uint64(0x7FFFFFFF)
+_PLACES = (1_103_515_245, 1_664_525_003)
+_PRIME_LETTERS = np.random.default_rng(11).integers(1, 2**31 - 1, (2, 256), dtype=np.uint64)
+_prime_powers = TaskCache()
+
+
+def prime_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For both places, their powers modulo the prime and those of the inverse."""
+    size = max(_CHUNK, n) + 1
+    if size not in _prime_powers:
+        made = []
+        for place in _PLACES:
+            both = []
+            for base in (place, pow(place, -1, int(_PRIME))):
+                steps = np.ones(1, np.uint64)
+                while len(steps) < size:
+                    steps = np.concatenate((steps, steps * np.uint64(pow(base, len(steps), int(_PRIME))) % _PRIME))
+                both.append(steps[:size])
+            made.append((both[0], both[1]))
+        if len(_prime_powers) > 1:
+            _prime_powers.clear()
+        _prime_powers[size] = made
+    return _prime_powers[size]
+
+
+def prime_numbers(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """62-bit numbers of the substrings [start, end), spread over 64 bits.
+
+    The letters' values are drawn below a prime, so equal numbers of different words
+    come by chance alone (2**-62 a pair), not by the shape of the words, as they do
+    modulo a power of two.
+    """
+    out = np.zeros(len(starts), np.uint64)
+    for letters, (up, down) in zip(_PRIME_LETTERS, prime_powers(len(codes))):
+        terms = letters[codes] * up[: len(codes)]
+        terms = (terms & _PRIME) + (terms >> np.uint64(31))
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(terms, out=sums[1:])
+        out = (out << np.uint64(31)) | ((sums[ends] - sums[starts]) % _PRIME * down[starts] % _PRIME)
+    return mix64(out)
+
+
+def word_hashes(data: bytes, prime: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and byte offset of each word between blanks (byte 32); with `prime`, the
+    numbers of `prime_numbers`."""
     hashes, offsets, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
     while at < len(data):
         to = min(len(data), at + _CHUNK)
@@ -164,7 +216,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         inside[1:-1] = codes != 32
         edges = np.flatnonzero(np.diff(inside))
         starts, ends = edges[::2], edges[1::2]
-        hashes.append(span_hashes(prefix_sums(codes), starts, ends))
+        hashes.append(prime_numbers(codes, starts, ends) if prime else span_hashes(prefix_sums(codes), starts, ends))
         offsets.append(starts + at)
         at = to
     return np.concatenate(hashes), np.concatenate(offsets)
@@ -174,9 +226,9 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 BLANKED = bytes(32 if b in b"\t\n\v\f\r" else LOWER[b] for b in range(256))
 
 
-def document_words(texts: list[bytes], translation: bytes) -> tuple[np.ndarray, np.ndarray]:
+def document_words(texts: list[bytes], translation: bytes, prime: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in order, and the number of words of each text."""
-    hashes, offsets = word_hashes(b" ".join(texts).translate(translation))
+    hashes, offsets = word_hashes(b" ".join(texts).translate(translation), prime)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     upto = np.searchsorted(offsets, ends)
     return hashes, np.diff(upto, prepend=0)

@@ -3,6 +3,7 @@
 The index is stored as segments. A segment holds whole documents: its distinct
 terms in order and, for each term, the ascending word positions at which it
 occurs; a free position between two documents keeps phrases from crossing them.
+A term is a word's number of 126 bits, of two hashes of different kinds.
 Test items are searched in blocks of bounded size. For every window of an item
 the postings of its rarest term in the segment, moved back by the term's place
 in the window, are intersected with the moved postings of the next rarest term,
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loghelm.llm.common import ALNUM, byte_texts, doc_text, document_words, ids_back, longs, slices, store
+from loghelm.llm.suffix_arrays import unique_ids
 
 WINDOW = 10
 #: Text bytes of a segment of the index (a longer document is a segment of its own).
@@ -34,11 +36,31 @@ SEGMENT_BYTES = 8 << 20
 #: Text bytes of the items that are searched at once.
 ITEM_BYTES = 8 << 20
 
+#: Both hashes of a word, compared one after the other.
+TERM = np.dtype([("a", np.uint64), ("b", np.uint64)])
 INDEX_SCHEMA = "segment string, docs array<bigint>, words array<int>, terms binary, counts binary, steps binary"
 HIT = "struct<item_id: string, window_no: int, start: int, length: int, phrase: boolean>"
 FOUND_SCHEMA = f"segment string, row int, doc_id bigint, n_words bigint, hits array<{HIT}>"
 
 
+def text_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of all texts in order, and the number of words of each text."""
+    a, words = document_words(texts, ALNUM, prime=True)
+    b, _ = document_words(texts, ALNUM)
+    terms = np.empty(len(a), TERM)
+    terms["a"], terms["b"] = a, b
+    return terms, words
+
+
+def term_order(terms: np.ndarray) -> np.ndarray:
+    """The order of the terms, equal ones in the order given."""
+    order = np.argsort(terms["a"], kind="stable")
+    a, b = terms["a"][order], terms["b"][order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():  # two words of one first hash
+        return np.lexsort((terms["b"], terms["a"]))
+    return order
+
+
 def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """The stored positional index of `docs`, one row per segment."""
 
@@ -46,12 +68,12 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
         for batch in batches:
             texts, ids = byte_texts(batch, "text"), longs(batch, "doc_id")
             for a, b in slices(texts, segment_bytes):
-                hashes, words = document_words(texts[a:b], ALNUM)
-                places = np.arange(len(hashes), dtype=np.int64) + np.repeat(np.arange(b - a), words)
-                order = np.argsort(hashes, kind="stable")
-                hashes, places = hashes[order], places[order]
-                first = np.flatnonzero(np.diff(hashes, prepend=hashes[:1] + np.uint64(1)))
-                counts = np.diff(first, append=len(hashes))
+                terms, words = text_terms(texts[a:b])
+                places = np.arange(len(terms), dtype=np.int64) + np.repeat(np.arange(b - a), words)
+                order = term_order(terms)
+                terms, places = terms[order], places[order]
+                first = np.flatnonzero(np.concatenate((np.ones(min(len(terms), 1), bool), terms[1:] != terms[:-1])))
+                counts = np.diff(first, append=len(terms))
                 steps = np.diff(places, prepend=0)
                 steps[first] = places[first]
                 yield pa.RecordBatch.from_arrays(
@@ -59,7 +81,7 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
                         pa.array([uuid.uuid4().hex]),
                         pa.array([ids_back(ids[a:b])], pa.list_(pa.int64())),
                         pa.array([words.astype(np.int32)], pa.list_(pa.int32())),
-                        pa.array([hashes[first].tobytes()], pa.binary()),
+                        pa.array([terms[first].tobytes()], pa.binary()),
                         pa.array([counts.astype(np.int32).tobytes()], pa.binary()),
                         pa.array([steps.astype(np.int32).tobytes()], pa.binary()),
                     ],
@@ -73,7 +95,7 @@ class Segment:
     """Postings of one segment."""
 
     def __init__(self, terms: bytes, counts: bytes, steps: bytes):
-        self.terms = np.frombuffer(terms, np.uint64)
+        self.terms = np.frombuffer(terms, TERM)
         self.counts = np.frombuffer(counts, np.int32)
         self.ends = np.cumsum(self.counts, dtype=np.int64)
         self.steps = np.frombuffer(steps, np.int32)
@@ -82,8 +104,18 @@ class Segment:
         """Number of each wanted term in the segment, -1 if it has none."""
         if not len(self.terms):
             return np.full(len(wanted), -1)
-        at = np.minimum(np.searchsorted(self.terms, wanted), len(self.terms) - 1)
-        return np.where(self.terms[at] == wanted, at, -1)
+        firsts = self.terms["a"]
+        at = np.searchsorted(firsts, wanted["a"])
+        found = np.full(len(wanted), -1)
+        while True:  # one step, but for words of one first hash
+            near = np.flatnonzero(at < len(firsts))
+            near = near[firsts[at[near]] == wanted["a"][near]]
+            if not len(near):
+                return found
+            same = self.terms["b"][at[near]] == wanted["b"][near]
+            found[near[same]] = at[near[same]]
+            at[near[same]] = len(firsts)
+            at[near[~same]] += 1
 
     def postings(self, term: int) -> np.ndarray:
         end = self.ends[term]
@@ -92,8 +124,12 @@ class Segment:
 
 def item_windows(texts: list[bytes], window: int) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]:
     """Distinct terms of the items, and (item, window number, term numbers)."""
-    hashes, words = document_words(texts, ALNUM)
-    terms, numbers = np.unique(hashes, return_inverse=True)
+    every, words = text_terms(texts)
+    order = term_order(every)
+    begins = np.concatenate((np.zeros(min(len(every), 1), bool), every[order][1:] != every[order][:-1]))
+    numbers = np.empty(len(every), np.int64)
+    numbers[order] = np.cumsum(begins)
+    terms = every[order][np.concatenate((np.ones(min(len(every), 1), bool), begins[1:]))]
     out, at = [], 0
     for item, n in enumerate(words.tolist()):
         size = min(window, n)
@@ -240,10 +276,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs` without any window of the items; rows that share the id of
-    a row with one go as well."""
-    bad = contamination(docs, items, window).where("contaminated").select("doc_id").distinct()
-    hit = docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
-    return hit.select(docs.columns)
-
-
+    """The rows of `docs` without any window of the items. Rows are told apart by a
+    number, so a row without an id, or of an id that others have, is judged alone."""
+    numbered = store(unique_ids(docs.withColumn("__text", F.col("text"))), "numbered")
+    found = contamination(numbered.select(F.col("id").alias("doc_id"), "text"), items, window)
+    bad = found.where("contaminated").select(F.col("doc_id").alias("id"))
+    clean = numbered.join(bad, "id", "left_anti")
+    own = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text": F.col("rest.__text").alias("text")}
+    return clean.select(*[own.get(c, F.col(f"rest.`{c}`").alias(c)) for c in docs.columns])

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from loghelm.llm import best_fit, lexicon, nbsvm, positional_index, prefix_forest, simhash_pivots, suffix_arrays, suffix_tree_lm, token_files, url_terms
+from loghelm.llm import best_fit, common, lexicon, nbsvm, positional_index, prefix_forest, simhash_pivots, suffix_arrays, suffix_tree_lm, token_files, url_terms
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, key string, id string"
 WORDS = "the of and to in red blue green stone river cloud paper light moving quiet answer ñandú größe été".split()
@@ -366,6 +366,29 @@ def test_token_files(spark, corpus):
     assert token_files.encoded_documents(docs.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("memo", [0, 7, 60, 10**6])
+def test_encoder_with_a_small_memory(memo):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder, rng = token_files.Encoder(path, memo), random.Random(memo)
+    for _ in range(12):
+        texts = [" ".join(rng.choices([*WORDS, "x,", "no.1", "a\nb", "Red;", "\n", "", "语"], k=rng.randint(0, 30))) for _ in range(9)]
+        ids, sizes = coder.encode(texts)
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        assert [p.tolist() for p in parts] == [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert len(coder.known.sizes) <= memo + 200
+
+
+def test_token_files_of_one_id(spark):
+    """Rows without an id, and rows of one id, come back in the order of their tokens."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [f"text number {i % 9} again" for i in range(60)]
+    docs = documents(spark, texts).withColumn("doc_id", F.when(F.col("doc_id") < 40, F.lit(7)).cast("long")).repartition(5)
+    rows = sorted(token_files.encoded_documents(docs, path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [None] * 20 + [7] * 40
+    ends = [r["start"] + r["n_tokens"] for r in rows]
+    assert [r["start"] for r in rows] == [0, *ends[:-1]]
+
+
 def test_code_round_trip():
     rng = np.random.default_rng(5)
     ranks = np.concatenate([rng.integers(0, 2**b, 37) for b in (3, 8, 9, 16, 17, 24, 25, 32)]).astype(np.uint32)
@@ -399,19 +422,114 @@ def test_suffix_tree(spark, corpus):
     assert suffix_tree_lm.suffix_tree_scores(docs.limit(0)).count() == 0
 
 
-def test_suffix_tree_learns_and_sums_to_one(spark):
-    docs = documents(spark, ["x a b c y a b d"] * 60 + ["b c d a y x x b"] * 10)
-    blocks = suffix_tree_lm.text_blocks(docs, F.lit(False))
-    tree, counted = suffix_tree_lm.fit(blocks)
-    assert tree.level2[0].any() and len(tree.heads) == tree.distinct
-    unknown = 0.5 / (tree.total + 0.5 * (tree.distinct + 1))
-    symbols = np.append(np.arange(tree.n), -1)
-    root = np.append(tree.root, unknown)
-    for a, b in itertools.product(range(-1, tree.n), repeat=2):
-        share = tree.after_pair(np.full(len(symbols), a), np.full(len(symbols), b), symbols, root)
-        assert share.min() > 0 and share.sum() == pytest.approx(1)
-    rows = suffix_tree_lm.score_blocks(blocks, counted, tree).collect()
-    assert sum(r["score"] for r in rows) > 0.6 * sum(r["base_score"] for r in rows)
+class BruteTree:
+    """The suffix tree in dictionaries of word tuples."""
+
+    def __init__(self, texts, least, depth):
+        self.least, self.depth = least, depth
+        self.tokens = [[*t.lower().split(), None] for t in texts]
+        self.seen, self.next = {}, {}
+        for own in self.tokens:
+            for i in range(len(own)):
+                for k in range(1, min(depth + 1, i + 1) + 1):
+                    string = tuple(own[i - k + 1 : i + 1])
+                    self.seen[string] = self.seen.get(string, 0) + 1
+                    self.next.setdefault(string[:-1], set()).add(string[-1])
+        self.n = sum(c for s, c in self.seen.items() if len(s) == 1)
+        self.v = sum(1 for s in self.seen if len(s) == 1)
+        self.rests = {}
+
+    def node(self, string):
+        n = self.seen.get(string, 0)
+        return n if n >= self.least else 0
+
+    def base(self, word):
+        return (self.seen.get((word,), 0) + 0.5) / (self.n + 0.5 * (self.v + 1))
+
+    def own(self, context, word):
+        return (self.node((*context, word)) + suffix_tree_lm.SMOOTH * self.share(context[1:], word)) / (self.node(context) + suffix_tree_lm.SMOOTH)
+
+    def rest(self, context):
+        """What a retained context leaves to symbols that are no nodes after it, else 0."""
+        if context not in self.rests:
+            words = [w for w in self.next.get(context, ()) if self.node((*context, w))]
+            n = {w: self.node((*context, w)) for w in words}
+            share = {w: self.own(context, w) for w in words}
+            below = {w: self.share(context[1:], w) for w in words}
+            left, low = 1 - sum(share.values()), 1 - sum(below.values())
+            rest = max(left, 1e-12) / max(low, 1e-12)
+            gain = sum(n[w] * math.log(share[w] / below[w]) for w in words)
+            gain += max(self.node(context) - sum(n.values()), 0) * math.log(rest)
+            kept = self.node(context) and words and gain >= suffix_tree_lm.GAIN and left > 0 and low > 0
+            self.rests[context] = rest if kept else 0.0
+        return self.rests[context]
+
+    def share(self, context, word):
+        if not context:
+            return self.base(word)
+        below, rest = self.share(context[1:], word), self.rest(context)
+        if not rest:
+            return below
+        return self.own(context, word) if self.node((*context, word)) else rest * below
+
+    def score(self, text):
+        own = [*text.lower().split(), None]
+        return sum(math.log10(self.share(tuple(own[max(0, i - self.depth) : i]), w)) for i, w in enumerate(own))
+
+
+@pytest.mark.parametrize(("least", "depth"), [(2, 4), (3, 2), (8, 4)])
+def test_suffix_tree_equals_dictionaries(spark, least, depth):
+    rng = random.Random(least)
+    lines = ["x a b c y a b d", "b c d a y x x b", "the red stone by the blue river", "a red stone by the green river"]
+    texts = [" ".join([rng.choice(lines), *rng.choices(WORDS, k=rng.randint(0, 9)), rng.choice(lines)]) for _ in range(160)]
+    train, held = texts[:120], [*texts[120:], "unseen words only", "", "x a b unseen c y"]
+    tree = BruteTree(train, least, depth)
+    docs = documents(spark, train + held).repartition(3)
+    rows = suffix_tree_lm.suffix_tree_scores(docs, F.col("doc_id") >= len(train), least, depth).collect()
+    assert len(rows) == len(train) + len(held)
+    for r in rows:
+        assert r["score"] == pytest.approx(tree.score((train + held)[r["doc_id"]]), abs=1e-9)
+    kept = [c for c, rest in tree.rests.items() if rest]
+    assert kept and max(map(len, kept)) >= min(depth, 2)
+    for context in kept[:20]:
+        symbols = [s[0] for s in tree.seen if len(s) == 1]
+        unknown = tree.share(context, "never seen")
+        assert sum(tree.share(context, w) for w in symbols) + unknown == pytest.approx(1)
+    gained = sum(r["score"] - r["base_score"] for r in rows if r["held_out"])
+    assert gained > 0
+
+
+def doubled_words():
+    """Two words that a polynomial modulo a power of two cannot tell apart, whatever its base."""
+    a, b = b"p", b"q"
+    for _ in range(10):
+        a, b = a + b, b + a
+    return a.decode(), b.decode()
+
+
+def test_words_of_one_shape_are_different_words(spark):
+    one, other = doubled_words()
+    docs = documents(spark, [one + " x", other + " x"])
+    items = spark.createDataFrame([("i", other)], "item_id string, text string")
+    got = rows_by_id(positional_index.contamination(docs, items, window=1), "n_hit", "contaminated")
+    assert got == {0: (0, False), 1: (1, True)}
+    scores = rows_by_id(suffix_tree_lm.suffix_tree_scores(docs, F.col("doc_id") == 1), "n_known")
+    assert scores == {0: (3,), 1: (2,)}
+
+
+def test_terms_of_one_first_hash_stay_apart(spark, monkeypatch):
+    """The second hash decides where the first says nothing."""
+    monkeypatch.setattr(common, "prime_numbers", lambda codes, starts, ends: (ends - starts).astype(np.uint64))
+    texts = ["bb aa cc aa dd", "aa dd", "cc bb"]
+    terms, words = positional_index.text_terms([t.encode() for t in texts])
+    assert len(np.unique(terms["a"])) == 1 and len(np.unique(terms["b"])) == 4
+    numbers, windows = positional_index.item_windows([b"aa dd", b"zz"], 2)
+    order = positional_index.term_order(terms)
+    first = np.flatnonzero(np.concatenate(([True], terms[order][1:] != terms[order][:-1])))
+    segment = positional_index.Segment(terms[order][first].tobytes(), np.diff(first, append=len(terms)).astype(np.int32).tobytes(), b"")
+    found = segment.find(numbers)
+    assert sorted((found >= 0).tolist()) == [False, True, True]
+    assert all(segment.terms[i] == n for i, n in zip(found, numbers) if i >= 0)
 
 
 def test_suffix_tree_keeps_rare_strings_and_long_contexts(spark, monkeypatch):
@@ -432,7 +550,8 @@ def test_suffix_tree_keeps_rare_strings_and_long_contexts(spark, monkeypatch):
 
     tree, got = scores(12 << 20)
     assert tree.total > 1_000_000 and tree.least == suffix_tree_lm.MIN_COUNT
-    assert tree.kept(4).sum() == 40
+    contexts = tree.levels[4].where("kind = 1 AND block IS NULL").select("made").collect()
+    assert sum((suffix_tree_lm.inflate(r["made"], np.float64) > 0).sum() for r in contexts) == 40
     right, wrong = got[len(noise) + len(phrases)][0], got[len(noise) + len(phrases) + 1][0]
     # at 1e-5 of the tokens the 9 occurrences would be no nodes, and two words can not tell the ends apart
     assert right > wrong + 0.5

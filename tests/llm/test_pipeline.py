@@ -42,6 +42,40 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"]: r["length"] for r in packed.collect()} == words
 
 
+def stored(spark, path, docs, toxic, items):
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(toxic, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+
+
+def test_rows_without_an_id_and_of_one_id_are_judged_alone(spark, tmp_path):
+    rng = random.Random(9)
+    item = prose(rng, 14)
+    texts = [prose(rng, 60) for _ in range(12)]
+    texts[1] += " " + item  # no id, contaminated
+    texts[4] += " " + item  # shares an id with a clean row
+    texts[7] = texts[6]
+    ids = [None, None, None, 5, 5, 6, 7, 8, 9, 9, 10, 11]
+    rows = [(i, t, "en", "s", len(t)) for i, t in zip(ids, texts)] + [(12, None, None, None, None), (None, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stored(spark, tmp_path, docs, [(5, 1, 0)], [(1, item), (2, None), (None, item[:9])])
+    rows = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = corpus_pipeline.store(stage(spark, rows, str(tmp_path)), name)
+        assert rows.schema == docs.schema
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "") for r in rows.collect())
+    clean = [(i is not None, i or 0, t) for k, (i, t) in enumerate(zip(ids, texts)) if k not in (1, 4, 7)]
+    # of the two rows without a text, equal to each other, the one with an id stays
+    assert got == sorted([*clean, (True, 12, "")])
+    assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == 8
+
+
+def test_empty_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    stored(spark, tmp_path, spark.createDataFrame([], schema), [], [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
