@@ -168,24 +168,24 @@ def burst(sequences: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, DataFram
     words (of the shared turns), ends (of the entry that stops at the bottom),
     n_children, ups. The root is a burst head in any case.
     """
-    total = sequences.agg(F.sum("n").alias("n"), F.min("conv").alias("conv")).first()
+    turnless = F.max(F.when(F.octet_length("ids") == 0, F.col("ends"))).alias("ends")
+    total = sequences.agg(F.sum("n").alias("n"), F.min("conv").alias("conv"), turnless).first()
     root = F.unhex(F.lit("00" * ID_BYTES))
     named = sequences.where(F.octet_length("ids") > 0)
     entries = _under(named, F.lit(1), F.array(root), F.lit(total["conv"]).cast("long"))
-    stopped = sequences.where(F.octet_length("ids") == 0).select(root.alias("head"), "ends")
     tops = [
         sequences.sparkSession.range(1).select(
             root.alias("head"), F.lit(0).alias("at"), F.lit(0).alias("bottom"), F.lit(None).cast("long").alias("parent"),
             F.lit(total["conv"]).cast("long").alias("conv"), F.lit(total["n"]).cast("long").alias("n"),
-            F.array(F.lit(0)).alias("words"), F.array(root).alias("ups"),
+            F.array(F.lit(0)).alias("words"), F.lit(total["ends"]).cast("binary").alias("ends"), F.array(root).alias("ups"),
         )
     ]
-    settled, ends, children = [], [stopped], []
+    settled, children = [], []
     while True:
         found = store(
             entries.groupBy("head").agg(
                 F.count("*").alias("size"), F.sum("n").alias("n"), F.min("conv").alias("conv"),
-                F.min("ids").alias("lo"), F.max("ids").alias("hi"), F.min_by("words", "ids").alias("words"),
+                F.min("ids").alias("lo"), F.max("ids").alias("hi"), F.min_by("words", "ids").alias("words"), F.min_by("ends", "ids").alias("ends"),
                 F.first("at").alias("at"), F.first("ups").alias("ups"), F.first("parent").alias("parent"),
             ),
             "containers",
@@ -196,16 +196,17 @@ def burst(sequences: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, DataFram
             settled.append(entries)
             break
         shared = F.slice("words", F.col("at"), F.col("bottom") - F.col("at") + 1)
-        large = store(large.select("head", "at", "bottom", "parent", "conv", "n", shared.alias("words"), "ups", "size"), "burst")
+        # an entry that stops where the shared turns do is the least one
+        stops = F.when(_depth("lo") == F.col("bottom"), F.col("ends")).alias("ends")
+        large = store(large.select("head", "at", "bottom", "parent", "conv", "n", shared.alias("words"), stops, "ups", "size"), "burst")
         tops.append(large.drop("size"))
         marks = store(large.select("head", "bottom", F.col("conv").alias("above")), "marks")
         marked = lookup(entries, marks, "head", ("conv",), large.select("head", F.col("size").alias("n")))
         settled.append(marked.where("bottom IS NULL").select(entries.columns))
-        ends.append(marked.where(_depth() == F.col("bottom")).select("head", "ends"))
         below = marked.where(_depth() > F.col("bottom"))
         ups = F.concat("ups", F.array("head"))
         entries = store(_under(below, F.col("bottom") + 1, ups, F.col("above")), "entries")
-    heads = _all(tops).join(_all(ends), "head", "left").join(_all(children), "head", "left")
+    heads = store(_all(tops), "tops").join(_all(children), "head", "left")
     return _all(settled), store(heads.fillna({"n_children": 0}), "heads")
 
 
