@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +55,7 @@ def text_blocks(docs: DataFrame, held_out: Column) -> DataFrame:
             texts, ids = byte_texts(batch, "text"), longs(batch, "doc_id")
             held = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)
             for a, b in slices(texts, BLOCK_BYTES):
-                hashes, lengths = document_words(texts[a:b], BLANKED)
+                hashes, lengths = document_words(texts[a:b], BLANKED, prime=True)
                 hashes = np.where(hashes == END, END + np.uint64(1), hashes)
                 hashes = np.insert(hashes, np.cumsum(lengths), END)
                 lengths = lengths + 1
@@ -177,8 +176,7 @@ def retained(context: np.ndarray, n: np.ndarray, total: np.ndarray, below: np.nd
 
 
 class SuffixTree:
-    """What all blocks share, the stored answers to them, and a look at the nodes
-    of a small tree in one process. Words are numbers of `heads`."""
+    """What all blocks share, and the stored answers to them."""
 
     def __init__(self, total: int, distinct: int, least: int, counted: DataFrame):
         self.total, self.distinct, self.least = total, distinct, least
@@ -191,71 +189,6 @@ class SuffixTree:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.total + 0.5 * (self.distinct + 1))
 
-    @cached_property
-    def _heads(self) -> tuple[np.ndarray, np.ndarray]:
-        rows = self.counted.where("block IS NULL").select("heads", "head_counts").collect()
-        heads = np.frombuffer(b"".join(r["heads"] for r in rows), np.uint64)
-        order = np.argsort(heads)
-        return heads[order], np.frombuffer(b"".join(r["head_counts"] for r in rows), np.int64)[order]
-
-    @property
-    def heads(self) -> np.ndarray:
-        return self._heads[0]
-
-    @property
-    def n(self) -> int:
-        return max(len(self.heads), 1)
-
-    @property
-    def root(self) -> np.ndarray:
-        return self.base(self._heads[1])
-
-    @cached_property
-    def _nodes(self) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
-        """By level: its strings and counts (kind 0), its contexts and rests (kind 1)."""
-        out = {}
-        for i, level in enumerate(self.levels):
-            rows = level.where("block IS NULL").collect()
-            for kind, number in ((0, np.int64), (1, np.float64)):
-                own = [(inflate(r["keys"], np.uint64), inflate(r["made"], number)) for r in rows if r["kind"] == kind]
-                keys = np.concatenate([np.zeros(0, np.uint64), *[o[0] for o in own]])
-                order = np.argsort(keys)
-                out[i + 1 - kind, kind] = keys[order], np.concatenate([np.zeros(0, number), *[o[1] for o in own]])[order]
-        return out
-
-    def _found(self, depth: int, kind: int, wanted: np.ndarray) -> np.ndarray:
-        keys, made = self._nodes.get((depth, kind), (np.zeros(0, np.uint64), np.zeros(0)))
-        at = find(keys, wanted)
-        return np.where(at >= 0, made[np.maximum(at, 0)] if len(made) else 0, 0)
-
-    def kept(self, depth: int) -> np.ndarray:
-        """Whether each context of so many words is retained."""
-        return self._nodes[depth, 1][1] > 0 if (depth, 1) in self._nodes else np.zeros(0, bool)
-
-    @property
-    def level2(self) -> tuple[np.ndarray]:
-        return (self.kept(2),)
-
-    def after(self, context: list[np.ndarray], symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """Shares of symbols with the longest retained suffix of the context words as
-        the state (-1: none), the first word first."""
-        heads = np.append(self.heads, np.uint64(0))
-        counts = np.append(self._heads[1], 0)
-        out = root
-        for depth in range(1, len(context) + 1):
-            own = context[-depth:]
-            there = np.logical_and.reduce([w >= 0 for w in own])
-            key, total = heads[own[0]], counts[own[0]]
-            for i, w in enumerate(own[1:], 1):
-                key = joined(key, heads[w])
-                total = self._found(i, 0, key)
-            n = np.where(symbol >= 0, self._found(depth, 0, joined(key, heads[symbol])), 0)
-            out = shares(n, total, np.where(there, self._found(depth, 1, key), 0.0), out)
-        return out
-
-    def after_pair(self, a: np.ndarray, b: np.ndarray, symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
-        return self.after([a, b], symbol, root)
-
 
 class Block:
     """A stored block on its way down the levels."""
@@ -267,43 +200,56 @@ class Block:
         self.answers: dict[tuple[int, int], list] = {}
         for a in sorted(row["answers"], key=lambda a: a["bucket"]):
             self.answers.setdefault((a["level"], a["kind"]), []).append(a["made"])
-        codes = np.frombuffer(row["codes"], np.int32)
-        self.words = np.frombuffer(row["words"], np.uint64)[codes]
+        #: distinct words, and the number of the word at each place
+        self.strings, self.codes = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["codes"], np.int32)
         counts = [np.frombuffer(m, np.int64) for m in self.answers.pop((0, 0), [])]
-        self.own = np.concatenate([np.zeros(0, np.int64), *counts])[codes]
+        self.own = np.concatenate([np.zeros(0, np.int64), *counts])[self.codes]
         self.base = tree.base(self.own)
 
     def _answer(self, level: int, kind: int, number: type) -> np.ndarray:
         return np.concatenate([np.zeros(0, number), *[inflate(m, number) for m in self.answers.get((level, kind), [])]])
 
-    def descend(self, level: int, ask: bool) -> tuple:
+    def descend(self, level: int, ask: bool, last: bool = False) -> tuple:
         """Shares after the answers of the levels before `level`; if `ask`, what level
-        `level` asks: its strings and their training counts, the contexts of the
-        level before, and the nodes of these that this block sends on."""
-        at = np.arange(len(self.words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        `level` asks: its strings and their training counts (none if it is the last),
+        the contexts of the level before, and the nodes of these that this block sends on.
+
+        Strings go by their numbers: the context of a place is the string that ends
+        at the place before, so each level sorts its new strings and nothing else.
+        """
+        at = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
         train = np.repeat(~self.held, self.lengths)
-        key, count, share = self.words, np.where(self.own >= self.tree.least, self.own, 0), self.base
-        contexts, nodes = np.zeros(0, np.uint64), [np.zeros(0, k) for k in NODE]
+        strings, codes = self.strings, self.codes
+        count, share = np.where(self.own >= self.tree.least, self.own, 0), self.base
+        contexts, nodes, nothing = np.zeros(0, np.uint64), [np.zeros(0, k) for k in NODE], np.zeros(0, np.int64)
         for depth in range(1, level + 1):
-            context, total = np.roll(key, 1), np.where(at >= 1, np.roll(count, 1), 0)
+            total = np.where(at >= 1, np.roll(count, 1), 0)
             valid = np.flatnonzero(total > 0)
-            key = joined(context, self.words)
+            context = np.roll(codes, 1)
+            if depth == level and (last or not ask):
+                return share, np.zeros(0, np.uint64), nothing, contexts, nodes
             possible = valid[count[valid] > 0]
-            strings, first, place = np.unique(key[possible], return_index=True, return_inverse=True)
+            after = joined(strings[context[possible]], self.strings[self.codes[possible]])
+            longer, place = np.unique(after, return_inverse=True)
             if depth == level:
-                n = np.bincount(place[train[possible]], minlength=len(strings)) if ask else None
-                return share, strings, n, contexts, nodes
+                return share, longer, np.bincount(place[train[possible]], minlength=len(longer)), contexts, nodes
             made = self._answer(depth, 0, np.int64)
-            count = np.zeros(len(key), np.int64)
+            count = np.zeros(len(codes), np.int64)
             count[possible] = (made >> 1)[place]
-            every, number = np.unique(context[valid], return_inverse=True)
+            there = np.zeros(len(strings), bool)
+            there[context[valid]] = True
             if ask and depth == level - 1:
-                sent = possible[first[(made & 1 > 0) & (made > 1)]]
-                contexts, nodes = every, [context[sent], count[sent], total[sent], share[sent]]
+                some = np.empty(len(longer), np.int64)
+                some[place] = possible
+                sent = some[(made & 1 > 0) & (made > 1)]
+                contexts, nodes = strings[there], [strings[context[sent]], count[sent], total[sent], share[sent]]
             else:
-                rest = self._answer(depth + 1, 1, np.float64)[number]
+                number = np.cumsum(there, dtype=np.int32) - 1
+                rest = self._answer(depth + 1, 1, np.float64)[number[context[valid]]]
                 share = share.copy()
                 share[valid] = shares(count[valid], total[valid], rest, share[valid])
+            strings, codes = longer, np.full(len(codes), -1, np.int32)
+            codes[possible] = place
         raise AssertionError
 
 
@@ -338,7 +284,7 @@ def count_level(blocks: DataFrame, tree: SuffixTree, level: int, last: bool) ->
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                _, strings, n, contexts, nodes = Block(row, tree).descend(level, True)
+                _, strings, n, contexts, nodes = Block(row, tree).descend(level, True, last)
                 rows = []
                 if not last:
                     bucket = bucket_of(strings)
