@@ -183,15 +183,15 @@ def prime_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return _prime_powers[size]
 
 
-def prime_numbers(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """62-bit numbers of the substrings [start, end), spread over 64 bits.
+def prime_numbers(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, places: int = 2) -> np.ndarray:
+    """Numbers of 31 bits a place of the substrings [start, end), spread over 64 bits.
 
     The letters' values are drawn below a prime, so equal numbers of different words
-    come by chance alone (2**-62 a pair), not by the shape of the words, as they do
+    come by chance alone (2**-62 a pair for two places), not by the shape of the words, as they do
     modulo a power of two.
     """
     out = np.zeros(len(starts), np.uint64)
-    for letters, (up, down) in zip(_PRIME_LETTERS, prime_powers(len(codes))):
+    for letters, (up, down) in zip(_PRIME_LETTERS[:places], prime_powers(len(codes))):
         terms = letters[codes] * up[: len(codes)]
         terms = (terms & _PRIME) + (terms >> np.uint64(31))
         sums = np.zeros(len(codes) + 1, np.uint64)
@@ -205,7 +205,8 @@ def word_hashes(data: bytes, prime: bool = False) -> tuple[np.ndarray, np.ndarra
     numbers of `prime_numbers`."""
     hashes, offsets, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
     while at < len(data):
-        to = min(len(data), at + _CHUNK)
+        # with `prime`, pieces whose arrays stay in the processor's cache
+        to = min(len(data), at + (_CHUNK >> 3 if prime else _CHUNK))
         if to < len(data):
             cut = data.rfind(b" ", at, to)
             if cut < 0 and (cut := data.find(b" ", to)) < 0:

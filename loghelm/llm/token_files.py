@@ -14,13 +14,15 @@ repeated ids are kept, ordered by their token ids; an empty table gives no file
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import json
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -28,20 +30,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loghelm.llm.common import TaskCache, doc_text, ids_back, longs, slices, store
+from loghelm.llm.common import doc_text, ids_back, longs, prefix_sums, prime_numbers, slices, span_hashes, store, worker_memo
 
 END_ID = 0
 #: Ids after which a file is closed.
 FILE_IDS = 4_000_000
 #: Distinct text pieces whose ids a worker remembers.
-MEMO_PIECES = 500_000
+MEMO_PIECES = 1_000_000
 MAGIC = b"FRV1"
 HEADER = "<4sIQQ"
 
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 MARKS = ".,;:!?"
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -57,45 +58,80 @@ _BYTE_LETTERS = _byte_letters()
 _LETTERS = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
-class _Codes(dict):
-    """Numbers of text pieces; a new one gets the next number and is noted with
-    the blank before it, unless it begins a line."""
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a copy with twice the room if `size` values do not fit."""
+    return values if size <= len(values) else np.concatenate((values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)))
 
-    def __init__(self, owner: Encoder, lead: str):
-        super().__init__()
-        self.owner, self.lead = owner, lead
 
-    def __missing__(self, piece: str) -> int:
-        number = self[piece] = self.owner.count
-        self.owner.count += 1
-        self.owner.new.append(piece if piece[:1] == "\n" else self.lead + piece)
-        return number
+class _Numbers:
+    """Numbers of byte strings that are known by two hashes of different kinds, 95 bits
+    together: a hash table in arrays, probed for all strings at once."""
+
+    def __init__(self):
+        self.a, self.b = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.count = 0
+        self.slots = np.full(1 << 12, -1, np.int32)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The number of each string, -1 for a new one."""
+        mask = np.uint64(len(self.slots) - 1)
+        out, left, at = np.full(len(a), -1, np.int64), np.arange(len(a)), (a & mask).astype(np.int64)
+        while len(left):
+            number = self.slots[at]
+            used = number >= 0
+            left, at, number = left[used], at[used], number[used]
+            same = (self.a[number] == a[left]) & (self.b[number] == b[left])
+            out[left[same]] = number[same]
+            left, at = left[~same], at[~same] + 1 & int(mask)
+        return out
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Number new distinct strings on from `count`."""
+        need = self.count + len(a)
+        self.a, self.b = grown(self.a, need), grown(self.b, need)
+        self.a[self.count : need], self.b[self.count : need] = a, b
+        left = np.arange(self.count, need)
+        self.count = need
+        if 2 * need > len(self.slots):
+            self.slots = np.full(1 << (4 * need).bit_length(), -1, np.int32)
+            left = np.arange(need)
+        mask = len(self.slots) - 1
+        at = (self.a[left] & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]  # of several for one slot the last stays
+            out = self.slots[at] != left
+            left, at = left[out], at[out] + 1 & mask
 
 
 class _Ids:
     """Ids of numbered texts, one after the other."""
 
     def __init__(self):
-        self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.ends, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.count = 0
 
     def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes) - sizes))
-        self.sizes = np.concatenate((self.sizes, sizes))
-        self.flat = np.concatenate((self.flat, flat))
+        size, used = self.count + len(sizes), int(self.ends[self.count])
+        self.ends, self.flat = grown(self.ends, size + 1), grown(self.flat, used + len(flat))
+        self.ends[self.count + 1 : size + 1] = used + np.cumsum(sizes)
+        self.flat[used : used + len(flat)] = flat
+        self.count = size
 
     def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts in order, and where each text ends."""
-        sizes = self.sizes[codes]
+        starts = self.ends[codes]
+        sizes = self.ends[codes + 1] - starts
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[codes] - ends + sizes, sizes) + np.arange(total)], ends
+        return self.flat[np.repeat(starts - ends + sizes, sizes) + np.arange(total)], ends
 
 
 class Encoder:
     """Ids of texts by a tokenizer file. With a byte-level file, a blank or line end between two visible
     characters always begins a new pre-token, and so does a mark after a letter
-    that ends such a piece. Texts are cut there and the ids of the pieces are
-    looked up among those already encoded. Other files get whole texts."""
+    that ends such a piece. Texts are cut there, their pieces are hashed all at once, and
+    the ids of the pieces are looked up among those already encoded. Other files get whole texts."""
 
     def __init__(self, path: str, memo: int = MEMO_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -113,42 +149,43 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.first, self.later = _Codes(self, ""), _Codes(self, " ")
-        self.count, self.new = 0, []
-        self.known = _Ids()
-        self.cores: dict[str, int] = {}
-        self.core_ids = _Ids()
+        self.numbers, self.known = _Numbers(), _Ids()
+        self.cores, self.core_ids = {}, _Ids()
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, texts: list[str]) -> list[list[int]]:
-        """Ids of short texts. Plain words are one pre-token and go to the model at once."""
-        simple = [(t.isascii() and t.lstrip(" ").isalpha() and t[1:2] != " ") or _LETTERS.fullmatch(t) is not None for t in texts]
-        others = iter(self.whole([t for t, plain in zip(texts, simple) if not plain]))
-        model, letters = self.tokenizer.model.tokenize, _BYTE_LETTERS
-        return [
-            next(others)
-            if not plain
-            else [t.id for t in model(text.replace(" ", "Ġ") if text.isascii() else text.encode().decode("latin-1").translate(letters))]
-            for text, plain in zip(texts, simple)
-        ]
-
-    def learn(self) -> None:
-        """Encode the new pieces: line end, core and mark on their own."""
-        pieces, self.new = self.new, []
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of short texts and the number of each. Plain words are one pre-token
+        and go to the model at once."""
+        flags = [(t.isalpha() or (t[:1] == " " and t[1:].isalpha())) if t.isascii() else _LETTERS.fullmatch(t) is not None for t in texts]
+        plain = np.array(flags, bool)
+        others = self.whole(list(compress(texts, (~plain).tolist())))
+        letters = _BYTE_LETTERS
+        given = [t.replace(" ", "Ġ") if t.isascii() else t.encode().decode("latin-1").translate(letters) for t in compress(texts, flags)]
+        model = self.tokenizer.model.tokenize
+        made = [[t.id for t in model(text)] for text in given]
+        sizes = np.empty(len(texts), np.int64)
+        sizes[plain] = np.fromiter(map(len, made), np.int64, len(made))
+        sizes[~plain] = np.fromiter(map(len, others), np.int64, len(others))
+        out, mine = np.empty(int(sizes.sum()), np.uint32), np.repeat(plain, sizes)
+        out[mine] = np.fromiter(chain.from_iterable(made), np.uint32, int(mine.sum()))
+        out[~mine] = np.fromiter(chain.from_iterable(others), np.uint32, len(out) - int(mine.sum()))
+        return out, sizes
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encode new pieces: line end, core and mark on their own."""
         if not pieces:
             return
         lines = np.fromiter((p[:1] == "\n" and p[1:2].strip() != "" for p in pieces), bool, len(pieces))
-        cores = [p[1:] if line else p for p, line in zip(pieces, lines)]
+        cores = [p[1:] if line else p for p, line in zip(pieces, lines.tolist())] if lines.any() else pieces
         marks = [c[-1] if c[-1:] in self.marks and c[-2:-1].isalpha() else "" for c in cores]
         cores = [c[:-1] if m else c for c, m in zip(cores, marks)]
         fresh = [c for c in dict.fromkeys(cores) if c not in self.cores]
         self.cores.update(zip(fresh, range(len(self.cores), len(self.cores) + len(fresh))))
-        made = self.words(fresh)
-        sizes = np.fromiter(map(len, made), np.int64, len(made))
-        self.core_ids.add(np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes)
-        flat, ends = self.core_ids.take(np.fromiter(map(self.cores.__getitem__, cores), np.int64, len(cores)))
+        self.core_ids.add(*self.words(fresh))
+        codes = np.fromiter(map(self.cores.__getitem__, cores), np.int64, len(cores))
+        flat, ends = self.core_ids.take(codes)
         marked = np.fromiter(map(bool, marks), bool, len(marks))
         at, starts = np.flatnonzero(marked), np.concatenate(([0], ends[:-1]))
         # a mark stands before the line end of the piece after it
@@ -156,51 +193,93 @@ class Encoder:
         extra = [self.marks[marks[i]][0] for i in at.tolist()] + [self.line_end[0]] * int(lines.sum())
         self.known.add(np.insert(flat, places, np.array(extra, np.uint32)), np.diff(ends, prepend=0) + marked + lines)
 
-    def pieces(self, text: str) -> list[str]:
-        """The text cut at blanks, which all but the first piece have lost, and
-        before line ends, which are kept."""
+    def plain(self, text: str) -> bool:
+        """Whether every blank and line end lies between two visible characters or at
+        an end of the text, so that it can be cut at all of them."""
         flat = text.replace("\n", " ")
-        if "  " not in flat and flat.isprintable():  # no blank of another kind, none beside another
-            return text.replace("\n", " \n").split(" ")
-        return _CUT.split(text)
+        return "  " not in flat and flat.isprintable() and not any(s in text for s in self.special)
+
+    def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the pieces of plain texts, new ones learned, and how many pieces
+        each text has. A piece loses the blank before it and keeps a line end."""
+        data = [t.encode() for t in texts]
+        sizes = np.fromiter(map(len, data), np.int64, len(data)) + 1
+        # a blank behind each text ends its last piece
+        codes = np.frombuffer(b" ".join([*data, b""]), np.uint8)
+        cuts = np.flatnonzero((codes == 32) | (codes == 10))
+        ends = np.cumsum(sizes)
+        last = np.searchsorted(cuts, ends - 1)
+        counts = np.diff(last, prepend=-1)
+        starts = np.empty(len(cuts), np.int64)
+        starts[1:] = cuts[:-1] + (codes[cuts[:-1]] == 32)
+        firsts = last - counts + 1
+        starts[firsts] = ends - sizes
+        # a first piece has no blank before it, nor has one that starts with a line end
+        lead = np.zeros(len(cuts), np.uint64)
+        lead[firsts] = np.uint64(0x9E3779B97F4A7C15)
+        a, b = span_hashes(prefix_sums(codes), starts, cuts) ^ lead, prime_numbers(codes, starts, cuts, 1)
+        numbers = self.numbers.find(a, b)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            order = new[np.lexsort((b[new], a[new]))]
+            begins = np.concatenate(([True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])))
+            numbers[order] = self.numbers.count + np.cumsum(begins) - 1
+            some = order[begins]
+            raw = codes.tobytes()
+            bare = (lead[some] > 0) | (codes[starts[some]] == 10)
+            self.learn([
+                (raw[s:e] if alone else b" " + raw[s:e]).decode()
+                for s, e, alone in zip(starts[some].tolist(), cuts[some].tolist(), bare.tolist())
+            ])
+            self.numbers.add(a[some], b[some])
+        return numbers, counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
+        collects = gc.isenabled()
+        gc.disable()  # lists without cycles by the million: looking for cycles takes a fifth of the time
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not self.byte_level:
             made = self.whole(texts)
             sizes = np.fromiter(map(len, made), np.int64, len(made))
             return np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes
-        odd = {i: self.whole([t])[0] for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        cut = [[""] if i in odd else self.pieces(t) for i, t in enumerate(texts)]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        if self.count > self.memo:
+        if self.numbers.count > self.memo:
             self.forget()
-        firsts = np.fromiter((self.first[c[0]] for c in cut), np.int64, len(cut))
-        later = chain.from_iterable(islice(c, 1, None) for c in cut)
-        laters = np.fromiter(map(self.later.__getitem__, later), np.int64, int(counts.sum()) - len(cut))
-        self.learn()
-        codes = np.insert(laters, np.cumsum(counts - 1) - (counts - 1), firsts)
+        plain = [self.plain(t) for t in texts]
+        odd = np.flatnonzero(~np.array(plain, bool))
+        codes, counts = self.pieces(list(compress(texts, plain)))
         ids, ends = self.known.take(codes)
         upto = np.concatenate(([0], ends))[np.cumsum(counts)]
         lengths = np.diff(upto, prepend=0)
-        if odd:
-            parts = np.split(ids, upto[:-1])
-            for i, own in odd.items():
-                parts[i] = np.asarray(own, np.uint32)
-            ids, lengths = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        if len(odd):
+            own = self.whole([texts[i] for i in odd.tolist()])
+            before = odd - np.arange(len(odd))  # plain texts in front of each
+            extra = np.fromiter(map(len, own), np.int64, len(own))
+            flat = np.fromiter(chain.from_iterable(own), np.uint32, int(extra.sum()))
+            ids = np.insert(ids, np.repeat(np.concatenate(([0], upto))[before], extra), flat)
+            lengths = np.insert(lengths, before, extra)
         return ids, lengths
 
 
-_encoders = TaskCache()
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
-def text_runs(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """The worker's encoder of a tokenizer file, with the pieces it has met in
+    earlier tasks."""
+    with open(path, "rb") as file:
+        key = hashlib.sha256(file.read()).hexdigest()
+    kept = worker_memo().setdefault("encoders", {})
+    if key not in kept:
+        kept.clear()
+        kept[key] = Encoder(path)
+    return kept[key]
+
+
+def text_runs(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[tuple[np.ndarray, list[str]]]:
     """Ids and texts in runs of about `most` characters."""
     for batch in batches:
         ids, texts = longs(batch, "doc_id"), batch.column(1).to_pylist()
@@ -329,7 +408,9 @@ def write_files(encoded: DataFrame, kind: np.dtype, by_rank: np.ndarray, file_id
             yield close()
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("ids")]
-    ordered = encoded.repartitionByRange(order[0]).sortWithinPartitions(*order)
+    # rows of one id are parted by the start of their ids, which orders them as `ids` does
+    ranges = encoded.repartitionByRange(order[0], F.substring("ids", 1, 64))
+    ordered = ranges.sortWithinPartitions(*order)
     return store(ordered.mapInArrow(run, "part int, file_no int, n_ids long, payload binary"), "token-files")
 
 

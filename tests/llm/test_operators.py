@@ -375,7 +375,7 @@ def test_encoder_with_a_small_memory(memo):
         ids, sizes = coder.encode(texts)
         parts = np.split(ids, np.cumsum(sizes)[:-1])
         assert [p.tolist() for p in parts] == [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        assert len(coder.known.sizes) <= memo + 200
+        assert coder.known.count <= memo + 200
 
 
 def test_token_files_of_one_id(spark):
