@@ -740,11 +740,11 @@ def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _live(spark: SparkSession, sf: str, first_only: bool) -> DataFrame:
-    out, state, mark = (fresh_path(spark, f"live-{part}") for part in ("alerts", "state", "checkpoint"))
+    out, mark = (fresh_path(spark, f"live-{part}") for part in ("alerts", "checkpoint"))
     models = view.line_models(view.parsed_lines(spark, sf))
     lines = view.log_lines(_events_stream(spark, sf))
     job = live.run_live_alerts(
-        lines, models, out, state, mark, order=("line_no",), first_only=first_only, dim=DIM
+        lines, models, out, mark, order=("line_no",), first_only=first_only, dim=DIM
     )
     job.awaitTermination()
     return spark.read.parquet(out).select(
@@ -774,13 +774,13 @@ def scored_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _live_files(spark: SparkSession, sf: str, **options) -> DataFrame:
     """Alerts of a folder with one text file per host, found in several triggers."""
-    logs, out, state, mark = (fresh_path(spark, f"live-{part}") for part in ("logs", "alerts", "state", "checkpoint"))
+    logs, out, mark = (fresh_path(spark, f"live-{part}") for part in ("logs", "alerts", "checkpoint"))
     lines = view.log_lines(view.table(spark, sf, "events"))
     by_host = lines.repartition("stream").sortWithinPartitions("stream", "line_no")
     by_host.select("stream", "value").write.partitionBy("stream").text(logs)
     models = view.line_models(view.parsed_lines(spark, sf))
     files = live.tail_directory(spark, f"{logs}/stream=*", max_files=8, stream_pattern="stream=([^/]+)/")
-    live.run_live_alerts(files, models, out, state, mark, dim=DIM, **options).awaitTermination()
+    live.run_live_alerts(files, models, out, mark, dim=DIM, **options).awaitTermination()
     return spark.read.parquet(out)
 
 

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loghelm.functions.hashing import hash_embedding
 from loghelm.functions.scoring import MODELS
 from loghelm.functions.text import HIGHLIGHT_WORDS, drop_undecodable, has_any_word, is_blank, parse_lines
-from loghelm.operators.context import with_trailing_context
-from loghelm.operators.detection import decide, decide_templates, load_params
+from loghelm.operators.detection import decide, load_params
 from loghelm.operators.host_metrics import with_latest_metrics
 from loghelm.operators.incidents import with_rule_report
 from loghelm.operators.lookup import lookup
 from loghelm.operators.models import ModelTables, score_vectors
-from loghelm.operators.ordering import dense_positions
 from loghelm.operators.triage import verdict_counts
 from loghelm.session import materialize
 from loghelm.sources.records import parse_feedback
@@ -23,7 +28,10 @@ from loghelm.sources.records import parse_feedback
 # Fixed values of a live alert.
 LIVE_THRESHOLD = 0.50
 CONTEXT_SIZE = 5
-STATE_SCHEMA = "stream STRING, pos BIGINT, raw_text STRING, alerted BOOLEAN"
+#: Time without lines after which a stream is forgotten.
+IDLE = "7 days"
+STATE_SCHEMA = "count BIGINT, held ARRAY<STRING>, alerted BOOLEAN"
+ALERT_SCHEMA = "stream STRING, pos BIGINT, raw_text STRING, live_score DOUBLE, context_window ARRAY<STRING>"
 # Order of a stream's lines; `raw_id` is the scan order within a batch.
 LINE_ORDER = ("file_time", "file", "split_start", "raw_id")
 
@@ -47,6 +55,20 @@ def tail_directory(
     return lines.where(~is_blank(F.col("value")))
 
 
+def _scan_order(lines: DataFrame) -> DataFrame:
+    """Add `raw_id`, the order in which a task reads the rows (streams have no
+    built-in function for it)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            made = pa.array(range(number, number + batch.num_rows), pa.int64())
+            number += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "raw_id"])
+
+    return lines.mapInArrow(run, T.StructType([*lines.schema.fields, T.StructField("raw_id", T.LongType())]))
+
+
 def as_live(scored: DataFrame) -> DataFrame:
     """Alert flag and score of decided lines: a line alerts on two votes or on
     an alert word, and its score is the largest raw score."""
@@ -66,35 +88,60 @@ def score_events(lines: DataFrame, models: ModelTables, dim: int = 384) -> DataF
     return as_live(decide(score_vectors(parsed, models).drop("embedding"), load_params(models.params)))
 
 
-def place_lines(lines: DataFrame, before: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Number the lines of each stream on from its last line so far, and mark
-    the streams that have alerted. `lines` is materialized."""
-    last = before.groupBy("stream").agg((F.max("pos") + 1).alias("base"), F.bool_or("alerted").alias("alerted"))
-    ranked = dense_positions(lines, order, ("stream",), out="rank")
-    return lookup(ranked, last, "stream", order).withColumns(
-        {"pos": F.col("rank") + F.coalesce("base", F.lit(0)), "alerted": F.coalesce("alerted", F.lit(False))}
+def stateful_alerts(
+    scored: DataFrame, order: tuple[str, ...], first_only: bool = False, size: int = CONTEXT_SIZE, idle: str = IDLE
+) -> DataFrame:
+    """Alerts of a stream of scored lines (`stream`, `seeded`, order columns, `raw_text`,
+    `is_alert`, `live_score`), each with the last `size` lines of its stream.
+
+    The engine keeps, per stream, the number of its lines, the last of them and
+    whether it has alerted: a batch touches the streams that have lines in it and
+    no others, and a stream that says nothing for the time `idle` is forgotten. A
+    task sorts the lines of one stream in one batch; the source's limit per
+    trigger bounds them. Seeded rows come first and do not alert.
+    """
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    by = ["seeded", "seed_pos", *order]
+
+    def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        count, held, alerted = state.get if state.exists else (0, [], False)
+        rows = pd.concat(list(frames), ignore_index=True)
+        ascending = [c != "seeded" for c in by]
+        rows = rows.sort_values(by, ascending=ascending, kind="stable", ignore_index=True)
+        given = int(rows["seeded"].sum())
+        if given:
+            # a seed carries its own positions
+            count = int(rows["seed_pos"].iloc[:given].max()) + 1 - given
+        texts = [*held, *rows["raw_text"].tolist()]
+        found = rows.index[rows["is_alert"] & ~rows["seeded"]].tolist()
+        if first_only:
+            found = [] if alerted else found[:1]
+        ends = [len(held) + i + 1 for i in found]
+        state.update((count + len(rows), texts[-size:], bool(alerted or len(found) > 0 or rows["is_alert"].any())))
+        state.setTimeoutDuration(idle_ms)
+        if found:
+            yield pd.DataFrame(
+                {
+                    "stream": key[0],
+                    "pos": [count + i for i in found],
+                    "raw_text": [texts[e - 1] for e in ends],
+                    "live_score": rows["live_score"].iloc[found].tolist(),
+                    "context_window": [texts[max(0, e - size) : e] for e in ends],
+                }
+            )
+
+    rows = scored.select("stream", "seeded", "seed_pos", *order, "raw_text", "is_alert", "live_score")
+    return rows.groupBy("stream").applyInPandasWithState(
+        advance, ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
-def alerts_of(
-    fresh: DataFrame, before: DataFrame, first_only: bool = False, size: int = CONTEXT_SIZE
-) -> tuple[DataFrame, DataFrame]:
-    """Alerts of placed and scored lines, and the state after them.
-
-    `before` holds the last lines of each stream so far. The context windows
-    run over chunks of a stream, so a stream with a large share of the lines is
-    worked on by many tasks.
-    """
-    columns = ["stream", "pos", "raw_text", "is_alert", "live_score", "alerted"]
-    carried = before.withColumns({"is_alert": F.lit(False), "live_score": F.lit(0.0)}).select(*columns)
-    fresh = fresh.select(*columns)
-    windows = with_trailing_context(carried.unionByName(fresh), ("stream",), size)
-    alerts = windows.where("is_alert")
-    if first_only:
-        first = alerts.where(~F.col("alerted")).groupBy("stream")
-        fields = F.struct("pos", "raw_text", "live_score", "context_window")
-        alerts = first.agg(F.min_by(fields, "pos").alias("a")).select("stream", "a.*")
-    alerts = alerts.select(
+def as_alerts(found: DataFrame) -> DataFrame:
+    """Found alerts in the columns of the detection contract."""
+    return found.select(
         F.concat_ws("_", F.lit("live"), "stream", F.col("pos").cast("string")).alias("log_id"),
         "stream",
         "pos",
@@ -104,7 +151,6 @@ def alerts_of(
         F.lit(LIVE_THRESHOLD).alias("threshold_used"),
         "context_window",
     )
-    return alerts, _state_after(carried.unionByName(fresh), size)
 
 
 def report_alerts(alerts: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
@@ -115,21 +161,10 @@ def report_alerts(alerts: DataFrame, metrics: DataFrame | None = None) -> DataFr
     return reported if metrics is None else with_latest_metrics(reported, metrics, "stream")
 
 
-def _state_after(lines: DataFrame, size: int) -> DataFrame:
-    """The last `size` lines per stream (counted from its newest position, no
-    sort of the stream) and whether it has alerted."""
-    ends = lines.groupBy("stream").agg(
-        F.max("pos").alias("end"), F.bool_or(F.col("is_alert") | F.col("alerted")).alias("alerted")
-    )
-    kept = lookup(lines.drop("alerted"), ends, "stream", ("pos",))
-    return kept.where(F.col("pos") > F.col("end") - size).select("stream", "pos", "raw_text", "alerted")
-
-
 def run_live_alerts(
     lines: DataFrame,
     models: ModelTables,
     out_path: str,
-    state_path: str,
     checkpoint_path: str,
     order: tuple[str, ...] = LINE_ORDER,
     seed: DataFrame | None = None,
@@ -138,49 +173,66 @@ def run_live_alerts(
     trigger: dict | None = None,
     reports: bool = False,
     metrics: DataFrame | None = None,
+    idle: str = IDLE,
 ) -> StreamingQuery:
     """Start the live job on a stream of (`stream`, `value`, order columns).
 
-    Every micro-batch writes its alerts to its own folder and the state to
-    one of two slots, both by overwriting: a batch that is run again after a
-    failure starts from the same state and leaves the same result. `seed`
-    gives the last lines of each stream before the start. With `reports` each
-    alert brings its report and the newest of the `metrics`, a table that is read
-    anew in every batch. The trigger is
+    Lines are scored without state, then meet the state of their stream, which
+    the engine keeps under the checkpoint; the alerts go to `out_path` exactly
+    once. `seed` gives the last lines of each stream before the start (`seed_state`).
+    With `reports` each alert brings its report and the newest of the `metrics`,
+    a table that is read anew in every batch. The trigger is
     `{"processingTime": "300 milliseconds"}` or the like, by default all that
     is there, once.
     """
-    spark = lines.sparkSession
-    slot = lambda batch: f"{state_path}/slot={batch % 2}"
+    scored = score_events(_scan_order(lines) if "raw_id" in order else lines, models, dim)
+    no_pos = F.lit(None).cast("long").alias("seed_pos")
+    fresh = scored.select("stream", F.lit(False).alias("seeded"), no_pos, *order, "raw_text", "is_alert", "live_score")
+    if seed is not None:
+        fresh = fresh.unionByName(_seeded(seed, fresh, order, f"{checkpoint_path}-seed"))
+    alerts = as_alerts(stateful_alerts(fresh, order, first_only, idle=idle))
+    writer = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path)
+    writer = writer.trigger(**(trigger or {"availableNow": True}))
+    if not reports:
+        return _started(lines.sparkSession, writer.format("parquet").option("path", out_path), trigger)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        if batch_id == 0:
-            start = session.createDataFrame([], STATE_SCHEMA) if seed is None else seed
-        else:
-            start = session.read.schema(STATE_SCHEMA).parquet(slot(batch_id - 1))
-        batch = batch.withColumn("raw_id", F.monotonically_increasing_id())
-        parsed = materialize(parse_lines(batch).select("stream", *order, "raw_text", "template"))
-        decided, counts = decide_templates(parsed, models, dim=dim)
-        placed = place_lines(parsed, start, order)
-        scored = as_live(lookup(placed, decided, "template", order, counts=counts))
-        fresh = materialize(scored.select("stream", "pos", "raw_text", "is_alert", "live_score", "alerted"))
-        alerts, state = alerts_of(fresh, start, first_only)
-        if reports:
-            alerts = report_alerts(alerts, metrics)
-        alerts.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-        state.write.mode("overwrite").parquet(slot(batch_id))
-
-    writer = lines.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+        report_alerts(materialize(batch), metrics).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
+    return _started(lines.sparkSession, writer.foreachBatch(on_batch), trigger)
+
+
+def _started(spark: SparkSession, writer: DataStreamWriter, trigger: dict | None) -> StreamingQuery:
+    """Start a job with time-outs. One that stops when all is read must not wait for
+    them with batch after batch without data: they pass in its next batch."""
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    if not trigger or "availableNow" in trigger:
+        spark.conf.set(key, "false")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
+def _seeded(seed: DataFrame, fresh: DataFrame, order: tuple[str, ...], path: str) -> DataFrame:
+    """The seed as rows of the first batch, in order of their positions."""
+    seed.write.mode("ignore").parquet(path)
+    rows = seed.sparkSession.readStream.schema(seed.schema).parquet(path)
+    kinds = {f.name: f.dataType for f in fresh.schema}
+    return rows.select(
+        "stream", F.lit(True).alias("seeded"), F.col("pos").alias("seed_pos"),
+        *(F.lit(None).cast(kinds[c]).alias(c) for c in order),
+        "raw_text", F.lit(False).alias("is_alert"), F.lit(0.0).alias("live_score"),
+    )
 
 
 def seed_state(lines: DataFrame, size: int = CONTEXT_SIZE) -> DataFrame:
-    """State from the lines (`stream`, `pos`, `raw_text`) that are there already."""
-    quiet = lines.select(
-        "stream", "pos", "raw_text", F.lit(False).alias("is_alert"), F.lit(0.0).alias("live_score"), F.lit(False).alias("alerted")
-    )
-    return _state_after(quiet, size)
+    """The last `size` of the lines (`stream`, `pos`, `raw_text`) that are there
+    already, by the newest position of each stream (no sort of the stream)."""
+    ends = materialize(lines.groupBy("stream").agg(F.max("pos").alias("end")))
+    kept = lookup(lines, ends, "stream", ("pos",))
+    return kept.where(F.col("pos") > F.col("end") - size).select("stream", "pos", "raw_text")
 
 
 def running_verdicts(feedback_lines: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def test_alerts_over_several_batches(spark, models, tmp_path, first_only):
     """Files arrive between runs; context and positions carry over."""
     inbox = tmp_path / "in"
     inbox.mkdir()
-    paths = [str(tmp_path / p) for p in ("out", "state", "checkpoint")]
+    paths = [str(tmp_path / p) for p in ("out", "checkpoint")]
     for part in range(4):
         for stream, lines in LOGS.items():
             size = -(-len(lines) // 4)
@@ -70,7 +70,7 @@ def test_seeded_start(spark, models, tmp_path):
     inbox.mkdir()
     for stream, lines in LOGS.items():
         put(inbox, stream, 0, lines[10:] or [""])
-    paths = [str(tmp_path / p) for p in ("out", "state", "checkpoint")]
+    paths = [str(tmp_path / p) for p in ("out", "checkpoint")]
     run_live_alerts(tail_directory(spark, str(inbox)), models, *paths, seed=seed, dim=DIM).awaitTermination()
     rows = spark.read.parquet(paths[0]).collect()
     assert {r["log_id"].replace("idle", "") for r in rows} == set(expected(start=10))
@@ -78,6 +78,45 @@ def test_seeded_start(spark, models, tmp_path):
     assert by_id["live_db_11"] == LOGS["db"][7:12]
 
 
+def test_silent_streams_are_forgotten(spark, models, tmp_path):
+    """A stream without lines for the idle time starts anew; one that goes on keeps its place.
+    The state lies under the checkpoint alone."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    paths = [str(tmp_path / p) for p in ("out", "checkpoint")]
+    run = lambda: run_live_alerts(tail_directory(spark, str(inbox)), models, *paths, dim=DIM, idle="4 seconds").awaitTermination()
+    put(inbox, "web", 0, LOGS["web"][:4])
+    put(inbox, "db", 0, LOGS["db"][:2])
+    run()
+    time.sleep(5)
+    put(inbox, "idle", 0, ["tick"])  # a batch in which the others time out
+    run()
+    put(inbox, "web", 1, LOGS["web"][17:18])
+    run()
+    rows = {r["log_id"]: r["context_window"] for r in spark.read.parquet(paths[0]).collect()}
+    assert set(rows) == {"live_web_3", "live_db_0", "live_web_0"} - ({"live_db_1"} if "lost" not in LOGS["db"][1] else set())
+    assert rows["live_web_0"] == LOGS["web"][17:18] and rows["live_web_3"] == LOGS["web"][:4]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["checkpoint", "in", "out"]
+
+
+def test_restart_after_a_failed_batch(spark, models, tmp_path):
+    """A batch that is run again after its state was written leaves each alert once."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    paths = [str(tmp_path / p) for p in ("out", "checkpoint")]
+    run = lambda: run_live_alerts(tail_directory(spark, str(inbox)), models, *paths, dim=DIM).awaitTermination()
+    put(inbox, "web", 0, LOGS["web"][:20])
+    run()
+    put(inbox, "web", 1, LOGS["web"][20:])
+    run()
+    last = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))[-1]
+    for kept in (last, last.parent / f".{last.name}.crc"):
+        kept.unlink(missing_ok=True)
+    run()
+    rows = spark.read.parquet(paths[0]).collect()
+    assert sorted(r["log_id"] for r in rows) == sorted(k for k in expected() if "web" in k)
+
+
 def test_stream_scores_equal_batch_scores(spark, models, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()
