@@ -28,7 +28,8 @@ def label_lines(
 def preprocessing_summary(labelled: DataFrame, vectors: DataFrame) -> DataFrame:
     """Total, size of the `vectors` (0 without any), and lines by label class
     (one row). Lines without a block are unknown."""
-    dim = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    some = vectors.select(F.size("embedding").alias("dim")).first()  # all have one size: the rest is not embedded
+    dim = 0 if some is None else some["dim"]
     return labelled.agg(
         F.count("*").alias("total_records"),
         F.lit(dim).alias("embedding_dim"),

@@ -532,6 +532,7 @@ SQL["scored_events"] = with_(
     regexp_matches(lower(raw_text), '{SHOWN}') AS is_highlighted FROM found""",
 )
 SQL["live_text_alerts"] = SQL["live_alerts"]
+SQL["growing_file_alerts"] = SQL["live_alerts"]
 SQL["live_alert_reports"] = with_(
     f"""{LIVE}, {SAMPLES}, newest AS (SELECT 'host-' || (host % 20) AS stream, cpu_percent, memory_percent FROM samples
         QUALIFY row_number() OVER (PARTITION BY host % 20 ORDER BY ts DESC, cpu_percent DESC, memory_percent DESC) = 1),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
 from dataclasses import replace
+from itertools import groupby
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from loghelm.functions.hashing import hash_embedding
@@ -18,7 +22,7 @@ from loghelm.operators import ordering, queue, subspace, triage, vectors
 from loghelm.plans import jobs
 from loghelm.plans import log_view as view
 from loghelm.session import fresh_path, materialize, parameter_table
-from loghelm.sources import records
+from loghelm.sources import growing, records
 from loghelm.sources.files import read_numbered_lines
 from loghelm.streaming import live
 
@@ -792,6 +796,52 @@ def live_text_alerts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _append_by_stream(lines: DataFrame, folder: str) -> None:
+    """Append the lines to one text file per stream, the last one without its end, which
+    the next call puts there. A task that runs again cuts its files back first."""
+
+    def write(rows: Iterator[Row]) -> None:
+        for stream, own in groupby(rows, key=lambda r: r["stream"]):
+            path, mark = f"{folder}/{stream}.log", f"{folder}/.{stream}.end"
+            before = int(open(mark).read()) if os.path.exists(mark) else 0
+            with open(path, "r+b" if before else "wb") as file:
+                file.truncate(before)
+                file.seek(before)
+                for i, row in enumerate(own):
+                    file.write((b"\n" if before or i else b"") + row["value"].encode())
+
+    lines.repartition("stream").sortWithinPartitions("stream", "line_no").select("stream", "value").foreachPartition(write)
+
+
+@query
+def growing_file_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of files that are appended to between two runs of the live job, the last
+    line of each cut in between."""
+    logs, out, mark = (fresh_path(spark, f"live-{part}") for part in ("logs", "alerts", "checkpoint"))
+    folder = re.sub("^file:/+", "/", logs)
+    os.makedirs(folder, exist_ok=True)
+    models = view.line_models(view.parsed_lines(spark, sf))
+    lines = view.log_lines(view.table(spark, sf, "events"))
+    middle = F.col("line_no") < (lines.agg(F.max("line_no")).first()[0] or 0) // 2
+    for part in (lines.where(middle), lines.where(~middle)):
+        _append_by_stream(part, folder)
+        for name in os.listdir(folder):
+            if name.endswith(".log"):
+                with open(f"{folder}/.{name[:-4]}.end", "w") as file:
+                    file.write(str(os.path.getsize(f"{folder}/{name}")))
+        tail = growing.tail_growing(spark, f"file://{folder}")
+        live.run_live_alerts(tail, models, out, mark, order=growing.GROWING_ORDER, dim=DIM).awaitTermination()
+    for name in os.listdir(folder):
+        if name.endswith(".log"):
+            with open(f"{folder}/{name}", "ab") as file:
+                file.write(b"\n")
+    tail = growing.tail_growing(spark, f"file://{folder}")
+    live.run_live_alerts(tail, models, out, mark, order=growing.GROWING_ORDER, dim=DIM).awaitTermination()
+    return spark.read.parquet(out).select(
+        "log_id", "stream", "anomaly_score", "threshold_used", joined("context_window").alias("context")
+    )
+
+
 @query
 def live_alert_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts with their report and the newest metrics of their host."""
