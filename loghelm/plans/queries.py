@@ -748,8 +748,9 @@ def _live(spark: SparkSession, sf: str, first_only: bool) -> DataFrame:
     models = view.line_models(view.parsed_lines(spark, sf))
     lines = view.log_lines(_events_stream(spark, sf))
     job = live.run_live_alerts(
-        lines, models, out, mark, order=("line_no",), first_only=first_only, dim=DIM
-    )
+        lines, models, out, mark, order=("line_no",), first_only=first_only, dim=DIM,
+        scoring_tasks=spark.sparkContext.defaultParallelism,
+    )
     job.awaitTermination()
     return spark.read.parquet(out).select(
         "log_id", "stream", "anomaly_score", "threshold_used",

@@ -174,6 +174,7 @@ def run_live_alerts(
     reports: bool = False,
     metrics: DataFrame | None = None,
     idle: str = IDLE,
+    scoring_tasks: int | None = None,
 ) -> StreamingQuery:
     """Start the live job on a stream of (`stream`, `value`, order columns).
 
@@ -181,11 +182,14 @@ def run_live_alerts(
     the engine keeps under the checkpoint; the alerts go to `out_path` exactly
     once. `seed` gives the last lines of each stream before the start (`seed_state`).
     With `reports` each alert brings its report and the newest of the `metrics`,
-    a table that is read anew in every batch. The trigger is
+    a table that is read anew in every batch. Every line is embedded on its own;
+    `scoring_tasks` deals the lines out for that where a source gives few, large
+    tasks. The trigger is
     `{"processingTime": "300 milliseconds"}` or the like, by default all that
     is there, once.
     """
-    scored = score_events(_scan_order(lines) if "raw_id" in order else lines, models, dim)
+    placed = _scan_order(lines) if "raw_id" in order else lines
+    scored = score_events(placed.repartition(scoring_tasks) if scoring_tasks else placed, models, dim)
     no_pos = F.lit(None).cast("long").alias("seed_pos")
     fresh = scored.select("stream", F.lit(False).alias("seeded"), no_pos, *order, "raw_text", "is_alert", "live_score")
     if seed is not None:
