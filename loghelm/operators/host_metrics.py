@@ -20,7 +20,8 @@ def metrics_as_of(
 ) -> DataFrame:
     """Add the latest sample of the same host not younger than the incident.
 
-    Both tables are laid on one time line per host and cut into time ranges.
+    Both tables are laid on one time line per host and cut into ranges, an instant with
+    many rows into several.
     A range starts with the last sample before it (one row per host and
     range), so ranges of a busy host are filled side by side.
     """
@@ -28,7 +29,9 @@ def metrics_as_of(
     own = [c for c in incidents.columns if c not in (key, ts)]
     left = incidents.select(key, ts, F.lit(1).alias("__kind"), F.struct(*own).alias("__own"), F.lit(None).cast(_struct(metrics, values)).alias("__sample"))
     right = metrics.select(key, ts, F.lit(0).alias("__kind"), F.lit(None).cast(_struct(incidents, own)).alias("__own"), sample)
-    line = with_range(left.unionByName(right), ts, rows_per_range=rows_per_range)
+    # incidents of one instant may stand in any order, so a hash parts them
+    both = left.unionByName(right).withColumn("__tie", F.xxhash64("__own"))
+    line = with_range(both, (ts, "__kind", "__sample", "__tie"), rows_per_range=rows_per_range).drop("__tie")
 
     has_sample = F.col("__kind") == 0
     # of several samples at one instant the greatest counts, so that runs repeat

@@ -1,3 +1,4 @@
+import datetime
 import random
 
 import numpy as np
@@ -5,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loghelm.operators.lookup import lookup
-from loghelm.operators.ordering import dense_positions, running_totals, weighted_percentiles
+from loghelm.operators.host_metrics import metrics_as_of
+from loghelm.operators.ordering import dense_positions, running_totals, weighted_percentiles, with_range
 
 
 def skewed(n=600, seed=1):
@@ -40,6 +42,45 @@ def test_positions_are_dense(spark, keys):
     assert got == expected
 
 
+def test_one_first_value_is_cut_into_many_ranges(spark):
+    rows = spark.range(4000).select(F.lit("2025-01-01").cast("timestamp").alias("t"), "id").repartition(7)
+    sizes = [r["count"] for r in with_range(rows, ("t", "id"), rows_per_range=100).groupBy("__range").count().collect()]
+    assert 30 <= len(sizes) <= 60 and max(sizes) <= 300
+    places = dense_positions(rows, ("t", "id"), rows_per_range=100)
+    assert places.where("pos <> id").count() == 0
+
+
+FIRST_VALUES = {
+    "long": [None, -5, 2**60, 2**60 + 1, 7],
+    "double": [None, float("-inf"), float("inf"), float("nan"), 0.5],
+    "string": [None, "", "a", "b", "9"],
+    "date": [None, datetime.date(1960, 1, 1), datetime.date(2025, 1, 1)],
+}
+
+
+@pytest.mark.parametrize("kind", FIRST_VALUES)
+@pytest.mark.parametrize("rows_per_range", [5, 40])
+def test_ties_of_every_kind_keep_the_order(spark, kind, rows_per_range):
+    rng = random.Random(3)
+    rows = [(rng.choice(FIRST_VALUES[kind]), rng.choice([None, "x", "y", "z"]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, f"a {kind}, b string, c long").repartition(3)
+    expected = [r["c"] for r in df.coalesce(1).sortWithinPartitions("a", "b", "c").collect()]
+    places = dense_positions(df, ("a", "b", "c"), rows_per_range=rows_per_range)
+    assert [r["c"] for r in places.orderBy("pos").collect()] == expected
+    assert sorted(r["pos"] for r in places.collect()) == list(range(400))
+
+
+def test_many_incidents_and_samples_of_one_instant(spark):
+    at = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    schema = "host string, ts timestamp, cpu_percent double, memory_percent double"
+    metrics = spark.range(300).select(F.lit("h").alias("host"), at.alias("ts"), F.col("id").cast("double").alias("cpu_percent"), F.lit(1.0).alias("memory_percent"))
+    incidents = spark.range(500).select(F.concat(F.lit("i"), "id").alias("log_id"), F.lit("h").alias("host"), at.alias("ts"))
+    found = metrics_as_of(incidents, metrics, rows_per_range=20)
+    assert found.count() == 500
+    assert [r["cpu_percent"] for r in found.select("cpu_percent").distinct().collect()] == [299.0]
+    assert metrics_as_of(incidents, spark.createDataFrame([], schema), rows_per_range=20).where("cpu_percent IS NULL").count() == 500
+
+
 def test_no_window_runs_in_a_single_partition(spark):
     df = spark.createDataFrame(skewed(), "id long, k string, o long, v long")
     plan = dense_positions(df, "o", ("k",), rows_per_range=40)._jdf.queryExecution().executedPlan().toString()
