@@ -9,8 +9,9 @@ import json
 import os
 import time
 
-from loghelm.plans.queries import QUERIES
+from loghelm.plans.queries import QUERIES, polled_times
 from loghelm.session import build_session
+from loghelm.streaming.cadence import latency
 
 HEADLINE = (
     "template_report",
@@ -53,6 +54,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+    polls = latency(polled_times(spark, sf_dir)).drop("query").first().asDict()
     total = round(sum(times.values()), 3)
     lines = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     print(
@@ -64,6 +66,7 @@ def main() -> None:
                 "queries": times,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "log_lines": lines,
+                "live_polls": {key: round(value, 1) for key, value in polls.items()},
             }
         )
     )

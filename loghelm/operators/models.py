@@ -16,7 +16,8 @@ from loghelm.operators.forest import Forest, fit_forest
 from loghelm.operators.ordering import weighted_percentiles
 from loghelm.operators.subspace import COMPONENTS, fit_pca, mean_and_axes
 from loghelm.session import materialize, parameter_table
-from loghelm.sources.records import path_exists, split_by_dimension
+from loghelm.sources import parameters
+from loghelm.sources.records import split_by_dimension
 
 TABLES = ("params", "settings", "forest", "centroids", "pca")
 
@@ -32,14 +33,15 @@ class ModelTables:
     pca: DataFrame
 
     def save(self, path: str) -> None:
-        for name in TABLES:
-            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        """Store the tables as a new version; the one before stays readable until this one is whole."""
+        parameters.publish(self.params.sparkSession, path, {name: getattr(self, name) for name in TABLES})
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> ModelTables:
-        if not path_exists(spark, f"{path}/params"):
+        _, tables = parameters.read_tables(spark, path, TABLES)
+        if "params" not in tables:
             raise FileNotFoundError(f"no model tables in {path}; fit and save them first")
-        return ModelTables(*(spark.read.parquet(f"{path}/{name}") for name in TABLES))
+        return ModelTables(**tables)
 
 
 def setting(settings: DataFrame, key: str, default: float) -> float:

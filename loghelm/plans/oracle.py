@@ -533,6 +533,9 @@ SQL["scored_events"] = with_(
 )
 SQL["live_text_alerts"] = SQL["live_alerts"]
 SQL["growing_file_alerts"] = SQL["live_alerts"]
+SQL["live_threshold"] = SQL["replayed_threshold"]
+SQL["live_trigger_counts"] = """SELECT ceil(count(DISTINCT user_id % 20) / 8)::BIGINT AS polls,
+    count(*)::BIGINT AS lines, true AS timed FROM events"""
 SQL["live_alert_reports"] = with_(
     f"""{LIVE}, {SAMPLES}, newest AS (SELECT 'host-' || (host % 20) AS stream, cpu_percent, memory_percent FROM samples
         QUALIFY row_number() OVER (PARTITION BY host % 20 ORDER BY ts DESC, cpu_percent DESC, memory_percent DESC) = 1),

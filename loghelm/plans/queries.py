@@ -22,9 +22,9 @@ from loghelm.operators import ordering, queue, subspace, triage, vectors
 from loghelm.plans import jobs
 from loghelm.plans import log_view as view
 from loghelm.session import fresh_path, materialize, parameter_table
-from loghelm.sources import growing, records
+from loghelm.sources import growing, parameters, records
 from loghelm.sources.files import read_numbered_lines
-from loghelm.streaming import live
+from loghelm.streaming import cadence, live
 
 QUERIES = {}
 DIM = view.VIEW_DIM
@@ -596,7 +596,8 @@ def adapted_threshold(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def replayed_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    return triage.replay_threshold(view.verdicts(spark, sf), "event_id", rate=0.0001, rows_per_chunk=300)
+    found = triage.replay_threshold(view.verdicts(spark, sf), "event_id", rate=0.0001, rows_per_chunk=300)
+    return found.select("total", "threshold")
 
 
 @query
@@ -604,11 +605,11 @@ def persisted_cutoff(spark: SparkSession, sf: str) -> DataFrame:
     """The stored cutoff after the feedback log was applied twice."""
     model, log = fresh_path(spark, "model"), fresh_path(spark, "feedback")
     start = parameter_table(spark, records.schemas.MODEL_SETTINGS, [("contamination", 0.05)])
-    start.write.parquet(f"{model}/settings")
+    parameters.publish(spark, model, {"settings": start})
     records.append_feedback(view.verdicts(spark, sf), log)
     for _ in range(2):
         triage.persist_adapted_cutoff(spark, model, log, rate=0.001)
-    return spark.read.parquet(f"{model}/settings")
+    return parameters.read_tables(spark, model, ("settings",))[1]["settings"]
 
 
 @query
@@ -862,4 +863,43 @@ def live_verdict_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query
+def live_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    """The cutoff that a stream of verdicts carries on, four appended parts one after the
+    other, each in a run of its own that reads the new part only."""
+    inbox, model, mark = (fresh_path(spark, f"verdict-{part}") for part in ("inbox", "model", "checkpoint"))
+    verdicts = view.verdicts(spark, sf).select("event_id", "administrator_verdict")
+    newest = verdicts.agg(F.max("event_id")).first()[0] or 0
+    part = F.least(F.floor(F.col("event_id") * 4 / (newest + 1)), F.lit(3))
+    for i in range(4):
+        verdicts.where(part == i).write.mode("append").json(inbox)
+        stream = spark.readStream.schema(verdicts.schema).json(inbox)
+        live.run_threshold(stream, model, mark, "event_id", rate=0.0001).awaitTermination()
+    _, settings = triage.stored_settings(spark, model)
+    row = [(int(settings["verdict_total"]), settings["consensus_cutoff"])]
+    return spark.createDataFrame(row, "total long, threshold double")
+
+
+def polled_times(spark: SparkSession, sf: str) -> DataFrame:
+    """The times of a live job that polls a folder on a clock, eight files a poll."""
+    logs, out, mark, times = (fresh_path(spark, f"poll-{part}") for part in ("logs", "alerts", "checkpoint", "times"))
+    lines = view.log_lines(view.table(spark, sf, "events"))
+    lines.repartition("stream").select("stream", "value").write.partitionBy("stream").text(logs)
+    models = view.line_models(view.parsed_lines(spark, sf))
+    files = live.tail_directory(spark, f"{logs}/stream=*", max_files=8, stream_pattern="stream=([^/]+)/")
+    job = live.run_live_alerts(files, models, out, mark, dim=DIM, trigger={"processingTime": "300 milliseconds"})
+    cadence.follow(job, times, until_idle=True)
+    return spark.read.parquet(times)
+
+
+@query
+def live_trigger_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Polls that found lines, the lines they scored, and whether each poll's time was recorded."""
+    return polled_times(spark, sf).where("rows > 0").agg(
+        F.countDistinct("batch_id").alias("polls"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("lines"),
+        F.coalesce(F.min(F.col("trigger_ms") > 0), F.lit(True)).alias("timed"),
+    )
+
+
 __all__ = ["QUERIES"]

@@ -21,7 +21,7 @@ from loghelm.operators.host_metrics import with_latest_metrics
 from loghelm.operators.incidents import with_rule_report
 from loghelm.operators.lookup import lookup
 from loghelm.operators.models import ModelTables, score_vectors
-from loghelm.operators.triage import verdict_counts
+from loghelm.operators.triage import LEARNING_RATE, apply_verdicts, verdict_counts
 from loghelm.session import materialize
 from loghelm.sources.records import parse_feedback
 
@@ -198,21 +198,20 @@ def run_live_alerts(
     writer = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     if not reports:
-        return _started(lines.sparkSession, writer.format("parquet").option("path", out_path), trigger)
+        return _started(lines.sparkSession, writer.format("parquet").option("path", out_path))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         report_alerts(materialize(batch), metrics).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
-    return _started(lines.sparkSession, writer.foreachBatch(on_batch), trigger)
+    return _started(lines.sparkSession, writer.foreachBatch(on_batch))
 
 
-def _started(spark: SparkSession, writer: DataStreamWriter, trigger: dict | None) -> StreamingQuery:
-    """Start a job with time-outs. One that stops when all is read must not wait for
-    them with batch after batch without data: they pass in its next batch."""
+def _started(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+    """Start a job with time-outs. The engine would run batch after batch without data, one a
+    trigger, to look for streams whose time has passed; they pass in the next batch with lines."""
     key = "spark.sql.streaming.noDataMicroBatches.enabled"
     before = spark.conf.get(key)
-    if not trigger or "availableNow" in trigger:
-        spark.conf.set(key, "false")
+    spark.conf.set(key, "false")
     try:
         return writer.start()
     finally:
@@ -244,6 +243,24 @@ def running_verdicts(feedback_lines: DataFrame) -> DataFrame:
     return verdict_counts(parse_feedback(feedback_lines))
 
 
+def run_threshold(
+    verdicts: DataFrame,
+    model_path: str,
+    checkpoint_path: str,
+    order: str,
+    rate: float = LEARNING_RATE,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start the job that moves the stored cutoff as verdicts (`order`,
+    `administrator_verdict`) arrive, `order` being unique. A batch costs what its verdicts cost."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        apply_verdicts(materialize(batch), batch_id, model_path, order, rate)
+
+    writer = verdicts.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def quiet_period(alerts: DataFrame, ts: str = "event_ts", period: str = "1 hour") -> DataFrame:
     """Let one alert per stream through, then none for the period (streams of
     alerts with an event time)."""

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from loghelm import schemas
 from loghelm.operators.host_metrics import metrics_as_of, with_latest_metrics
-from loghelm.operators.triage import adapt_threshold, persist_adapted_cutoff, replay_threshold, verdict_counts
+from loghelm.operators.triage import (
+    adapt_threshold, persist_adapted_cutoff, publish_settings, replay_threshold, stored_settings, verdict_counts,
+)
 from loghelm.plans.jobs import record_of
-from loghelm.session import parameter_table
+from loghelm.sources.parameters import PLAIN
 from loghelm.sources.records import append_feedback, read_feedback, read_records, split_by_dimension, with_metric_columns, write_records_json
 
 
@@ -126,11 +128,11 @@ def test_adaptation(spark, confirmed, dismissed, base, rate, expected):
 def test_persisted_cutoff(spark, tmp_path):
     model, log = str(tmp_path / "m"), str(tmp_path / "f")
     assert persist_adapted_cutoff(spark, model, log) is None
-    parameter_table(spark, schemas.MODEL_SETTINGS, [("contamination", 0.05)]).write.parquet(f"{model}/settings")
+    publish_settings(spark, model, {"contamination": 0.05}, PLAIN)
     append_feedback(feedback(spark, 0, 1), log)
     assert persist_adapted_cutoff(spark, model, log, rate=0.05) == pytest.approx(0.55)
     assert persist_adapted_cutoff(spark, model, log, rate=0.05) == pytest.approx(0.60)  # history applies again
-    kept = {r["key"]: r["value"] for r in spark.read.parquet(f"{model}/settings").collect()}
+    _, kept = stored_settings(spark, model)
     assert kept == {"contamination": 0.05, "consensus_cutoff": pytest.approx(0.60)}
 
 
