@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loghelm.operators.lookup import broadcast_if_small
 
 ROWS_PER_CHUNK = 10_000
+ROWS_PER_TASK = 250_000  # a row leaves with all texts of its window
 
 
 def with_context(
@@ -19,12 +22,15 @@ def with_context(
     pos: str = "pos",
     out: str = "context_window",
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add the array of texts from `before` rows earlier to `after` rows later.
 
     `pos` numbers the rows 0, 1, 2, ... within `keys`. A log of any length is
     cut into chunks; the rows at a chunk's edges are repeated in the neighbour,
-    so the window runs per chunk and no task holds a whole log.
+    so the window runs per chunk and no task holds a whole log. The chunks
+    are dealt to as many tasks as the rows need (they are counted for it), and
+    to no fewer than the session's shuffles have.
     """
     if rows_per_chunk <= before + after:
         raise ValueError("chunks must be longer than the window")
@@ -32,6 +38,9 @@ def with_context(
     first = F.floor(F.greatest(F.col(pos) - after, F.lit(0)) / rows_per_chunk)
     last = F.floor((F.col(pos) + before) / rows_per_chunk)
     copies = lines.withColumn("__chunk", F.explode(F.array_distinct(F.array(own, first, last))))
+    tasks = math.ceil(lines.count() / rows_per_task)
+    if tasks > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        copies = copies.repartition(tasks, *keys, "__chunk")
     frame = Window.partitionBy(*keys, "__chunk").orderBy(pos).rowsBetween(-before, after)
     return (
         copies.withColumn(out, F.collect_list(text).over(frame))

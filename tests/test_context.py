@@ -70,3 +70,12 @@ def test_chunk_must_exceed_window(spark):
 def test_plan_has_no_single_partition_window(spark):
     plan = with_context(table(spark, logs()))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_windows_take_the_tasks_that_their_rows_need(spark):
+    lines = spark.range(900).select((F.col("id") % 1).alias("file"), F.col("id").alias("pos"), F.col("id").cast("string").alias("raw_text"))
+    wide = with_context(lines, rows_per_chunk=30, rows_per_task=60)
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert wide.rdd.getNumPartitions() == 15
+    plain = with_context(lines, rows_per_chunk=30)
+    assert sorted(map(str, wide.collect())) == sorted(map(str, plain.collect()))
