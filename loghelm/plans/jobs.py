@@ -16,6 +16,7 @@ from loghelm.operators.lookup import lookup
 from loghelm.operators.models import ModelTables, fit
 from loghelm.operators.vectors import template_vectors
 from loghelm.session import materialize
+from loghelm.sources import line_index
 from loghelm.sources.files import number_rows, read_lines, read_numbered_lines
 from loghelm.sources.records import (
     read_block_labels,
@@ -33,17 +34,34 @@ def parsed_log(
     max_records: int | None = None,
     ingest_ts: Column | None = None,
     accept_offsets: bool = False,
+    index_path: str | None = None,
 ) -> DataFrame:
     """Numbered and parsed lines of one log or several. With several files the
-    ids carry the file name, as line numbers start anew in each."""
-    lines = read_numbered_lines(spark, path, max_records)
+    ids carry the file name, as line numbers start anew in each. Lines are read by
+    the line index of `index_path` (see `index_log`) where one is given, and
+    the first `max_records` without reading on where `line_index` reaches the files."""
+    if index_path:
+        lines = line_index.indexed_lines(line_index.load_index(spark, index_path), max_records)
+    elif max_records and line_index.reaches(spark, path):
+        lines = line_index.read_first_lines(spark, path, max_records)
+    else:
+        lines = read_numbered_lines(spark, path, max_records)
     parsed = parse_lines(lines, ingest_ts=ingest_ts, accept_offsets=accept_offsets).drop("value")
-    single = len(lines.inputFiles()) <= 1
+    single = line_index.list_files(spark, path).limit(2).count() <= 1
     name = F.regexp_extract("file", r"([^/]+)$", 1)
     ids = log_id(F.col("line_no"))
     return parsed.withColumn("log_id", ids if single else F.concat_ws(":", name, ids))
 
 
+def index_log(spark: SparkSession, path: str | list[str], index_path: str) -> None:
+    """Store or refresh the line index of a log; unchanged files are not read again."""
+    try:
+        index = line_index.refreshed_index(spark, line_index.load_index(spark, index_path), path)
+    except FileNotFoundError:
+        index = line_index.build_index(spark, path)
+    line_index.save_index(index, index_path)
+
+
 def preprocess(
     spark: SparkSession,
     raw_path: str | list[str],
@@ -53,11 +71,12 @@ def preprocess(
     ingest_ts: Column | None = None,
     accept_offsets: bool = False,
     dim: int = DEFAULT_DIM,
+    index_path: str | None = None,
 ) -> dict[str, int]:
     """Parse and label a log once into `out_path/lines` (narrow: the vector of
     a line is a function of its template), with the distinct templates, their
     counts and vectors in `out_path/templates`. Returns the summary."""
-    parsed = parsed_log(spark, raw_path, max_records, ingest_ts, accept_offsets)
+    parsed = parsed_log(spark, raw_path, max_records, ingest_ts, accept_offsets, index_path)
     if label_path:
         labels = label_map(read_block_labels(spark, label_path))
     else:

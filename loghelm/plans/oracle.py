@@ -283,6 +283,10 @@ SQL = {
         FROM (SELECT doc_id, {sanitize('text')} AS t FROM documents)""",
     "unique_template_count": with_(PARSED, "SELECT count(DISTINCT template)::BIGINT AS unique_templates FROM lines"),
     "numbered_text_lines": with_(LOG, "SELECT line_no, line_no AS pos, value FROM log"),
+    "indexed_text_lines": with_(LOG, "SELECT line_no + (line_no + 1) // 3 AS line_no, line_no AS pos, value FROM log"),
+    "first_indexed_lines": with_(
+        LOG, "SELECT line_no + (line_no + 1) // 3 AS line_no, line_no AS pos, value FROM log WHERE line_no + (line_no + 1) // 3 < 1000"
+    ),
     "first_raw_lines": with_(DOC_LINES, "SELECT file, line_no, pos, md5(value) AS value_md5 FROM doc_lines WHERE line_no < 25"),
     "first_records": with_(DOC_LINES, "SELECT file, line_no, pos, md5(value) AS value_md5 FROM doc_lines WHERE pos < 25"),
     "block_label_map": with_(f"{PARSED}, {LABELS}", "SELECT block_id, label FROM labels_of"),

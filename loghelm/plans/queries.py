@@ -22,7 +22,7 @@ from loghelm.operators import ordering, queue, subspace, triage, vectors
 from loghelm.plans import jobs
 from loghelm.plans import log_view as view
 from loghelm.session import fresh_path, materialize, parameter_table
-from loghelm.sources import growing, parameters, records
+from loghelm.sources import growing, line_index, parameters, records
 from loghelm.sources.files import read_numbered_lines
 from loghelm.streaming import cadence, live
 
@@ -86,6 +86,34 @@ def numbered_text_lines(spark: SparkSession, sf: str) -> DataFrame:
     return read_numbered_lines(spark, path, one_log=True).select("line_no", "pos", "value")
 
 
+def _log_with_blank_lines(spark: SparkSession, sf: str) -> str:
+    """The event log as text files, a blank line behind every third line."""
+    path = fresh_path(spark, "blank-log")
+    lines = view.log_lines(view.table(spark, sf, "events"))
+    copies = F.when(F.col("line_no") % 3 == 1, F.array("value", F.lit("  "))).otherwise(F.array("value"))
+    rows = lines.select("line_no", F.posexplode(copies).alias("part", "value"))
+    order = ("line_no", "part")
+    records.write_lines(rows.repartitionByRange(*order).sortWithinPartitions(*order), path)
+    return path
+
+
+@query
+def indexed_text_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Text files with blank lines, numbered by their stored line index."""
+    path, place = _log_with_blank_lines(spark, sf), fresh_path(spark, "line-index")
+    line_index.save_index(line_index.build_index(spark, path, range_bytes=1 << 20, one_log=True), place)
+    lines = line_index.indexed_lines(line_index.load_index(spark, place))
+    return lines.select("line_no", "pos", "value")
+
+
+@query
+def first_indexed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Records among the first 1,000 raw lines, blank ones counting, without reading on."""
+    path = _log_with_blank_lines(spark, sf)
+    lines = line_index.read_first_lines(spark, path, 1000, range_bytes=1 << 16, one_log=True)
+    return lines.select("line_no", "pos", "value")
+
+
 @query
 def first_raw_lines(spark: SparkSession, sf: str) -> DataFrame:
     """First 25 raw lines of every document, blank lines counting."""

@@ -26,7 +26,8 @@ def number_rows(scan: DataFrame, keep: Column, one_log: bool = False) -> DataFra
     per split) give each split its first number, and the second pass adds the
     place inside the split. Nothing is sorted or shuffled but the split table.
     The two passes must cut the files alike: the split's start, length and task
-    are part of the join, and a split unknown to the first pass raises.
+    are part of the join, and a split unknown to the first pass raises. The split table is broadcast
+    up to the usual size; `line_index` numbers longer logs without a join.
     """
     split = ["file", "split_start", "split_length", "task"]
     tagged = scan.select(
@@ -56,7 +57,7 @@ def number_rows(scan: DataFrame, keep: Column, one_log: bool = False) -> DataFra
         )
         .select(*split, "first_raw", "first_kept", "line_base", "pos_base")
     )
-    offsets = broadcast_if_small(materialize(offsets), limit=512 << 20)
+    offsets = broadcast_if_small(materialize(offsets))
 
     kept = tagged.where(keep).withColumn("kept_id", F.monotonically_increasing_id())
     known = F.when(F.col("line_base").isNull(), F.raise_error(F.lit("file splits changed between passes")))
