@@ -13,7 +13,7 @@ from loghelm import schemas
 from loghelm.functions.scoring import MODELS, NORM_GUARD, SCORE_DIGITS, matrix, nearest_distance, residual_error
 from loghelm.operators.clusters import CLUSTERS, centers_of, fit_kmeans
 from loghelm.operators.forest import Forest, fit_forest
-from loghelm.operators.ordering import weighted_percentiles
+from loghelm.operators.selection import weighted_percentiles, weighted_quantiles
 from loghelm.operators.subspace import COMPONENTS, fit_pca, mean_and_axes
 from loghelm.session import materialize, parameter_table
 from loghelm.sources import parameters
@@ -95,13 +95,12 @@ def calibrate(scored: DataFrame, weight: str = "n", percentile: float = 95.0) ->
     """Threshold, range and normalised threshold per model. `scored` is the
     materialized score table; the threshold comes from the very scores that
     it is compared with."""
-    thresholds = weighted_percentiles(scored, MODELS, weight, percentile)
-    ranges = {r["model"]: (r["s_min"], r["s_max"]) for r in score_stats(scored).collect()}  # one row per model
+    found = weighted_quantiles(scored, {m: (0, percentile, 100) for m in MODELS}, weight)
     rows = []
     for m in MODELS:
-        low, high = ranges[m]
-        norm = min(1.0, max(0.0, (thresholds[m] - low) / (high - low + NORM_GUARD)))
-        rows.append((m, thresholds[m], norm, low, high))
+        low, threshold, high = found[m]
+        norm = min(1.0, max(0.0, (threshold - low) / (high - low + NORM_GUARD)))
+        rows.append((m, threshold, norm, low, high))
     return parameter_table(scored.sparkSession, schemas.MODEL_PARAMS, rows)
 
 

@@ -140,34 +140,3 @@ def dense_positions(
     """Number the rows 0, 1, 2, ... by `order` within `keys`."""
     numbered = running_totals(df, order, {out: F.lit(1).cast("long")}, keys, rows_per_range)
     return numbered.withColumn(out, F.col(out) - 1)
-
-
-def weighted_percentiles(
-    df: DataFrame, values: tuple[str, ...], weight: str, percent: float, rows_per_range: int = ROWS_PER_RANGE
-) -> dict[str, float | None]:
-    """Linear-interpolated percentile of each column, a row counting `weight`
-    times. Exact: a table of few rows goes through the built-in aggregate,
-    whose buffer holds every distinct value; a longer one is ranked in ranges.
-    Both use one formula, so the result has the same bits either way.
-    """
-    if not 0 <= percent <= 100:
-        raise ValueError("percentile must lie between 0 and 100")
-    if df.count() <= rows_per_range:
-        return df.agg(*[F.percentile(v, percent / 100, F.col(weight)).alias(v) for v in values]).first().asDict()
-    return {v: _ranked_percentile(df, v, weight, percent, rows_per_range) for v in values}
-
-
-def _ranked_percentile(df: DataFrame, value: str, weight: str, percent: float, rows_per_range: int) -> float | None:
-    counted = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.sum(weight).alias("w"))
-    counted = materialize(counted)
-    total = counted.agg(F.sum("w")).first()[0]
-    if not total:
-        return None
-    rank = (total - 1) * (percent / 100)
-    low, high = math.floor(rank), math.ceil(rank)
-    ranked = running_totals(counted, "v", {"cum": F.col("w")}, rows_per_range=rows_per_range)
-    row = ranked.agg(
-        F.min(F.when(F.col("cum") > low, F.col("v"))).alias("a"),
-        F.min(F.when(F.col("cum") > high, F.col("v"))).alias("b"),
-    ).first()
-    return row["a"] if row["a"] == row["b"] else (high - rank) * row["a"] + (rank - low) * row["b"]

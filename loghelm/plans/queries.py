@@ -18,7 +18,7 @@ from loghelm.functions.text import ALERT_WORDS, HIGHLIGHT_WORDS, has_any_word, p
 from loghelm.operators import clusters, context, detection, evaluation, forest, host_metrics, incidents
 from loghelm.operators import labels as labelling
 from loghelm.operators import models as detectors
-from loghelm.operators import ordering, queue, subspace, triage, vectors
+from loghelm.operators import ordering, queue, selection, subspace, triage, vectors
 from loghelm.plans import jobs
 from loghelm.plans import log_view as view
 from loghelm.session import fresh_path, materialize, parameter_table
@@ -331,9 +331,9 @@ def line_score_thresholds(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def value_percentile(spark: SparkSession, sf: str) -> DataFrame:
-    """95th percentile of all event values, found range by range."""
+    """95th percentile of all event values, found by histograms of their bits."""
     values = view.table(spark, sf, "events").withColumn("n", F.lit(1))
-    p = ordering.weighted_percentiles(values, ("value",), "n", 95.0, rows_per_range=2_000)["value"]
+    p = selection.weighted_percentiles(values, ("value",), "n", 95.0, finish_rows=100)["value"]
     return values.agg(F.count("*").alias("n"), F.round(F.max(F.lit(p)), 6).alias("p95"))
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from loghelm.operators.lookup import lookup
 from loghelm.operators.host_metrics import metrics_as_of
-from loghelm.operators.ordering import dense_positions, running_totals, weighted_percentiles, with_range
+from loghelm.operators.ordering import dense_positions, running_totals, with_range
+from loghelm.operators.selection import weighted_percentiles
 
 
 def skewed(n=600, seed=1):
