@@ -498,6 +498,10 @@ SQL = {
         SAMPLES,
         "SELECT f.log_id, f.host, s.cpu_percent, s.memory_percent FROM faults f ASOF LEFT JOIN samples s ON f.host = s.host AND f.ts >= s.ts",
     ),
+    "streamed_metrics_at_incident": with_(
+        SAMPLES,
+        "SELECT f.log_id, f.host, s.cpu_percent, s.memory_percent FROM faults f ASOF LEFT JOIN samples s ON f.host = s.host AND f.ts >= s.ts",
+    ),
     "latest_host_metrics": with_(
         SAMPLES,
         """SELECT f.log_id, f.host, s.cpu_percent, s.memory_percent FROM faults f LEFT JOIN (

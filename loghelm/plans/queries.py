@@ -24,7 +24,7 @@ from loghelm.plans import log_view as view
 from loghelm.session import fresh_path, materialize, parameter_table
 from loghelm.sources import growing, line_index, parameters, records
 from loghelm.sources.files import read_numbered_lines
-from loghelm.streaming import cadence, live
+from loghelm.streaming import as_of, cadence, live
 
 QUERIES = {}
 DIM = view.VIEW_DIM
@@ -648,6 +648,33 @@ def metrics_at_incident(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("log_id", "host", "cpu_percent", "memory_percent")
 
 
+@query
+def streamed_metrics_at_incident(spark: SparkSession, sf: str) -> DataFrame:
+    """The as-of join of two streams in three runs: a tenth of the samples and a seventh of the
+    incidents of the middle's last days arrive a run late; a last sample moves the time on."""
+    incidents, samples = view.host_incidents(spark, sf), view.host_metrics(spark, sf)
+    low, high = samples.agg(F.min("ts"), F.max("ts")).first()
+    middle = low + (high - low) / 2
+    day = F.expr("INTERVAL 1 DAY")
+
+    def late(ts, name, share, days):
+        return (ts >= F.lit(middle) - days * day) & (F.pmod(F.xxhash64(ts, name), F.lit(share)) == 0)
+
+    parts, paths = [], [fresh_path(spark, f"as-of-{n}") for n in ("incidents", "samples", "out", "mark")]
+    for table, name, share, days in ((incidents, "log_id", 7, 3), (samples, "cpu_percent", 10, 1)):
+        first = (F.col("ts") < F.lit(middle)) & ~late(F.col("ts"), name, share, days)
+        end = table.limit(0)
+        if table is samples:
+            end = samples.select(F.lit(-1).cast(samples.schema["host"].dataType).alias("host"), F.lit(high + (high - low)).cast(samples.schema["ts"].dataType).alias("ts"), F.lit(0.0).alias("cpu_percent"), F.lit(0.0).alias("memory_percent")).limit(1)
+        parts.append((table, (table.where(first), table.where(~first), end)))
+    for run in range(3):
+        for (_, pieces), path in zip(parts, paths):
+            pieces[run].write.mode("append").parquet(path)
+        streams = [spark.readStream.schema(table.schema).parquet(path) for (table, _), path in zip(parts, paths)]
+        as_of.run_metrics_as_of(*streams, *paths[2:], delay="2 days", keep="4 days", idle="1000 days").awaitTermination()
+    return spark.read.parquet(paths[2]).select("log_id", "host", "cpu_percent", "memory_percent")
+
+
 @query
 def latest_host_metrics(spark: SparkSession, sf: str) -> DataFrame:
     found = host_metrics.with_latest_metrics(view.host_incidents(spark, sf), view.host_metrics(spark, sf))
