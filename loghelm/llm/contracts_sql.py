@@ -1,8 +1,9 @@
-"""DuckDB SQL of the operators over conversations and vectors, in the form of their queries."""
+"""DuckDB SQL of the operators over benchmark items, conversations and vectors, in the form of their queries."""
 
 from __future__ import annotations
 
 from loghelm.llm import chat_buffers as chat
+from loghelm.llm.positional_index import WINDOW
 from loghelm.llm.slice_masks import ENTRIES, PARTS, ROUNDS, SCALE
 
 #: The conversation that op13 adds: its text holds marks of the template.
@@ -50,6 +51,28 @@ FROM own_figures JOIN sums USING (rep, depth)
 """
 
 
+def contamination_sql(window: int = WINDOW) -> str:
+    """Every run of words of a document beside every window of an item, as texts."""
+    words = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    runs = "(SELECT *, unnest(range(1, len(words) - size + 2)) AS place FROM {0})"
+    run_of = "array_to_string(words[place:place + size - 1], ' ')"
+    return f"""
+WITH docs AS MATERIALIZED (SELECT doc_id, coalesce({words}, []) AS words FROM documents),
+items AS (SELECT item_id::VARCHAR AS item_id, {words} AS words FROM benchmark WHERE text IS NOT NULL),
+cut AS (SELECT *, least(len(words), {window}) AS size FROM items WHERE len(words) > 0),
+windows AS MATERIALIZED (SELECT DISTINCT item_id, size, {run_of} AS run FROM {runs.format("cut")}),
+sized AS (SELECT * FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size),
+found AS MATERIALIZED (
+  SELECT doc_id, place, size, item_id FROM (SELECT doc_id, place, size, {run_of} AS run FROM {runs.format("sized")}) JOIN windows USING (size, run)
+),
+hit AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(place, place + size)) AS word FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def codes_sql(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: int = SCALE) -> str:
     """Rounds written out one after the other."""
     distance = "list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)"

@@ -12,7 +12,7 @@ from loghelm.llm.best_fit import pack_documents
 from loghelm.llm.burst_trie import trie_nodes
 from loghelm.llm.chat_buffers import formatted, read_back
 from loghelm.llm.common import table
-from loghelm.llm.contracts_sql import CONTROL_TEXT, TRIE, chat_sql, codes_sql
+from loghelm.llm.contracts_sql import CONTROL_TEXT, TRIE, chat_sql, codes_sql, contamination_sql
 from loghelm.llm.lexicon import toxicity_scores
 from loghelm.llm.nbsvm import quality_scores
 from loghelm.llm.positional_index import contamination
@@ -95,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_chat_buffers": chat_output,
 }
 SQL: dict[str, str] = {
+    "op3_positional_index": contamination_sql(),
     "op9_url_terms": url_sql(),
     "op11_burst_trie": TRIE,
     "op12_slice_masks": codes_sql(),
