@@ -37,13 +37,15 @@ _SHAPES = bytes(
     for b in range(256)
 )
 
+_AS_IT_IS = bytes(range(256))  # BLANKED would make capitals small
+
 
 def _shape_hashes(texts: list[bytes]) -> np.ndarray:
     """Hash of the shape of every word of the texts."""
     codes = np.frombuffer(b" ".join(texts).translate(_SHAPES), np.uint8)
     keep = np.ones(len(codes), bool)
     keep[1:] = codes[1:] != codes[:-1]
-    hashes, _ = document_words([codes[keep].tobytes()], BLANKED)
+    hashes, _ = document_words([codes[keep].tobytes()], _AS_IT_IS)
     return hashes
 
 
