@@ -637,14 +637,15 @@ def cut_documents(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot_cells
     """`docs` with the covered bytes cut out of `text` (a character that loses some
     of its bytes goes too) and `n_chars`, where there is one, counted anew."""
 
-    def left(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, packed in batches:
-            made = zip(texts.cast(pa.binary()).to_pylist(), packed.to_pylist())
-            yield pa.array([cut(t, merged_spans(p or [])).decode(errors="ignore") for t, p in made], pa.string())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = zip(byte_texts(batch, "text"), batch.column("spans").to_pylist())
+            left = pa.array([cut(t, merged_spans(p or [])).decode(errors="ignore") for t, p in made], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), left, batch.column("rest")], ["doc_id", "text", "rest"])
 
     numbered, spans = repeated_spans(docs, span, gram, hot_cells)
-    made = F.arrow_udf(left, "string")
-    joined = numbered.join(spans, "id", "left").withColumn("text", made("text", "spans"))
+    own = numbered.select("doc_id", "text", "rest")
+    joined = numbered.join(spans, "id", "left").select("doc_id", "text", "rest", "spans").mapInArrow(run, own.schema)
     out = joined.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.{c}") for c in docs.columns])
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
