@@ -61,7 +61,7 @@ BLOCK = 1 << 20
 HELD_CELLS = 1_000_000
 #: Text bytes whose anchors meet in one group, and bytes of cells in one shard.
 BUCKET_BYTES = 4 << 20
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 512 << 10
 #: Cells of one anchor in one shard.
 HOT_CELLS = 10_000
 #: Sorted windows of a shard in one row, and such rows that one range holds on average.
