@@ -56,7 +56,7 @@ GRAM = 32
 #: Bytes that are compared at once.
 WORD = 7
 #: Text bytes whose windows are looked at together.
-BLOCK = 1 << 20
+BLOCK = 512 << 10
 #: Cells that a task holds before it sends them on.
 HELD_CELLS = 1_000_000
 #: Text bytes whose anchors meet in one group, and bytes of cells in one shard.
