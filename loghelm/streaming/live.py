@@ -96,9 +96,10 @@ def stateful_alerts(
 
     The engine keeps, per stream, the number of its lines, the last of them and
     whether it has alerted: a batch touches the streams that have lines in it and
-    no others, and a stream that says nothing for the time `idle` is forgotten. A
-    task sorts the lines of one stream in one batch; the source's limit per
-    trigger bounds them. Seeded rows come first and do not alert.
+    no others, and a stream that says nothing for the time `idle` is forgotten. The
+    engine also sorts the lines of a batch (on disk, where they are many), so that Python
+    walks through a stream of any length and holds one Arrow batch of it. Seeded rows
+    come first and do not alert. Start such a query with `_started`.
     """
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
     by = ["seeded", "seed_pos", *order]
@@ -108,37 +109,50 @@ def stateful_alerts(
             state.remove()
             return
         count, held, alerted = state.get if state.exists else (0, [], False)
-        rows = pd.concat(list(frames), ignore_index=True)
-        ascending = [c != "seeded" for c in by]
-        rows = rows.sort_values(by, ascending=ascending, kind="stable", ignore_index=True)
-        given = int(rows["seeded"].sum())
-        if given:
-            # a seed carries its own positions
-            count = int(rows["seed_pos"].iloc[:given].max()) + 1 - given
-        texts = [*held, *rows["raw_text"].tolist()]
-        found = rows.index[rows["is_alert"] & ~rows["seeded"]].tolist()
-        if first_only:
-            found = [] if alerted else found[:1]
-        ends = [len(held) + i + 1 for i in found]
-        state.update((count + len(rows), texts[-size:], bool(alerted or len(found) > 0 or rows["is_alert"].any())))
+        before = None
+        for rows in frames:
+            first, last = _place(rows, by, 0), _place(rows, by, -1)
+            if before is not None and first < before:
+                raise RuntimeError("lines of a stream came out of order")
+            before = last
+            given = int(rows["seeded"].sum())
+            if given:
+                # a seed carries its own positions
+                count = int(rows["seed_pos"].iloc[:given].max()) + 1 - given
+            texts = [*held, *rows["raw_text"].tolist()]
+            found = rows.index[rows["is_alert"] & ~rows["seeded"]].tolist()
+            if first_only:
+                found = [] if alerted else found[:1]
+            ends = [len(held) + i + 1 for i in found]
+            if found:
+                yield pd.DataFrame(
+                    {
+                        "stream": key[0],
+                        "pos": [count + i for i in found],
+                        "raw_text": [texts[e - 1] for e in ends],
+                        "live_score": rows["live_score"].iloc[found].tolist(),
+                        "context_window": [texts[max(0, e - size) : e] for e in ends],
+                    }
+                )
+            count, held = count + len(rows), texts[-size:]
+            alerted = bool(alerted or rows["is_alert"].any())
+        state.update((count, held, alerted))
         state.setTimeoutDuration(idle_ms)
-        if found:
-            yield pd.DataFrame(
-                {
-                    "stream": key[0],
-                    "pos": [count + i for i in found],
-                    "raw_text": [texts[e - 1] for e in ends],
-                    "live_score": rows["live_score"].iloc[found].tolist(),
-                    "context_window": [texts[max(0, e - size) : e] for e in ends],
-                }
-            )
 
     rows = scored.select("stream", "seeded", "seed_pos", *order, "raw_text", "is_alert", "live_score")
-    return rows.groupBy("stream").applyInPandasWithState(
+    ascending = [F.col(c).desc() if c == "seeded" else F.col(c).asc_nulls_last() for c in by]
+    placed = rows.repartition("stream").sortWithinPartitions("stream", *ascending)
+    return placed.groupBy("stream").applyInPandasWithState(
         advance, ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
+def _place(rows: pd.DataFrame, by: list[str], i: int) -> tuple:
+    """Place of a row in the order of a stream: seeded rows first, missing values last."""
+    values = [rows[c].iloc[i] for c in by]
+    return (not values[0], *((True, 0) if pd.isna(v) else (False, v) for v in values[1:]))
+
+
 def as_alerts(found: DataFrame) -> DataFrame:
     """Found alerts in the columns of the detection contract."""
     return found.select(
@@ -207,15 +221,21 @@ def run_live_alerts(
 
 
 def _started(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
-    """Start a job with time-outs. The engine would run batch after batch without data, one a
-    trigger, to look for streams whose time has passed; they pass in the next batch with lines."""
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    """Start a job with sorted batches and time-outs.
+
+    The engine refuses a sort in a stream, as it can not order a stream as a whole; within the tasks of a
+    batch, which is what the state needs, it can, so its check is off for the start. It would also run batch
+    after batch without data, one a trigger, to look for streams whose time has passed; they pass in the next
+    batch with lines."""
+    settings = ("spark.sql.streaming.noDataMicroBatches.enabled", "spark.sql.streaming.unsupportedOperationCheck")
+    before = {key: spark.conf.get(key, "true") for key in settings}
+    for key in settings:
+        spark.conf.set(key, "false")
     try:
         return writer.start()
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _seeded(seed: DataFrame, fresh: DataFrame, order: tuple[str, ...], path: str) -> DataFrame:

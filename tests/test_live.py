@@ -1,5 +1,7 @@
 import time
+import weakref
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from loghelm.functions.text import parse_lines
 from loghelm.operators.detection import score_lines
 from loghelm.operators.models import fit
 from loghelm.operators.vectors import template_vectors
-from loghelm.streaming.live import as_live, quiet_period, report_alerts, run_live_alerts, running_verdicts, score_events, seed_state, tail_directory
+from loghelm.streaming.live import as_live, quiet_period, report_alerts, run_live_alerts, running_verdicts, score_events, seed_state, stateful_alerts, tail_directory
 
 DIM = 16
 
@@ -168,3 +170,66 @@ def test_quiet_period(spark, tmp_path):
     job.processAllAvailable()
     job.stop()
     assert sorted(r["stream"] for r in spark.table("quiet").collect()) == ["a", "b"]
+
+
+class Plan:
+    """A table whose steps return itself, and the function that is to run on the state."""
+
+    def __getattr__(self, name):
+        return lambda *args: args[0] if name == "applyInPandasWithState" else self
+
+
+class State:
+    exists = hasTimedOut = False
+
+    def update(self, value):
+        self.value = value
+
+    def setTimeoutDuration(self, ms):
+        pass
+
+
+def test_a_stream_is_walked_through_frame_by_frame():
+    """Of the lines of a stream in one batch no more than two frames are held at a time."""
+    texts = [f"line {i}" for i in range(50)]
+    held, most = [], []
+
+    def frames():
+        for a in range(0, 50, 5):
+            alive = [f for f in held if f() is not None]
+            most.append(len(alive))
+            frame = pd.DataFrame({"seeded": False, "seed_pos": None, "line_no": range(a, a + 5), "raw_text": texts[a : a + 5],
+                                  "is_alert": [False, True, False, False, False], "live_score": 0.5})
+            held.append(weakref.ref(frame))
+            yield frame
+            del frame
+
+    state = State()
+    found = []
+    for part in stateful_alerts(Plan(), ("line_no",))(("web",), frames(), state):
+        found += zip(part["pos"], part["context_window"])
+        del part
+    assert found == [(i, texts[max(0, i - 4) : i + 1]) for i in range(1, 50, 5)]
+    assert state.value == (50, texts[-5:], True)
+    assert max(most) <= 2
+
+
+def test_lines_of_a_batch_that_comes_in_many_frames(spark, models, tmp_path):
+    """Many files of a stream in one batch, dealt to tasks at random, read as Arrow batches of three rows."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for part in range(8):
+        for stream, lines in LOGS.items():
+            put(inbox, stream, part, lines[part * 5 : part * 5 + 5] if part < 7 else lines[35:])
+    paths = [str(tmp_path / p) for p in ("out", "checkpoint")]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        job = run_live_alerts(tail_directory(spark, str(inbox)), models, *paths, dim=DIM, scoring_tasks=7)
+        job.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    assert spark.conf.get("spark.sql.streaming.unsupportedOperationCheck", "true") == "true"
+    rows = spark.read.parquet(paths[0]).collect()
+    assert {r["log_id"]: r["context_window"] for r in rows} == expected() and len(rows) == len(expected())
