@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loghelm.operators.host_metrics import metrics_as_of
+from loghelm.streaming import as_of
 from loghelm.streaming.as_of import run_metrics_as_of
 
 ALERTS = "host string, ts timestamp, log_id string, score double, seen timestamp"
@@ -111,3 +112,19 @@ def test_a_silent_host_is_forgotten(spark, tmp_path):
     streams.add([], [("g", s(500), 1.0, 1.0)], idle="100 seconds", keep="1 second")
     streams.add([("h", s(300), "a")], [("g", s(600), 1.0, 1.0)], idle="100 seconds", keep="1 second")
     assert [r["cpu_percent"] for r in streams.found().collect()] == [None]
+
+
+def test_many_hosts_share_the_groups_of_the_state(spark, tmp_path, monkeypatch):
+    """State rows follow the groups, not the hosts; every host gets its own samples, empty and odd names too."""
+    jobs = []
+    monkeypatch.setitem(globals(), "run_metrics_as_of", lambda *a, **b: jobs.append(as_of.run_metrics_as_of(*a, **b)) or jobs[-1])
+    rng = random.Random(5)
+    hosts = [None, "", '"', "a\nb", "ü", *(f"h{i}" for i in range(700))]
+    streams = Streams(spark, tmp_path)
+    for part in range(2):
+        samples = [(h, s(100 * part + rng.uniform(0, 90)), rng.random(), None if rng.random() < 0.3 else 2.0) for h in hosts for _ in range(2)]
+        streams.add([(h, s(100 * part + rng.uniform(0, 90)), f"{part}-{i}") for i, h in enumerate(hosts)], samples)
+    streams.add([], [("end", s(1000), 0.0, 0.0)])
+    assert rows(streams.found()) == rows(streams.batch())
+    state_rows = max(o["numRowsTotal"] for job in jobs for p in job.recentProgress for o in p["stateOperators"])
+    assert 0 < state_rows <= 1024 < as_of.SALTS * len(hosts)
