@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from loghelm.functions.hashing import hash_embedding
 from loghelm.session import fresh_path, materialize
 
 VIEW_DIM = 64
+#: Events of a task that makes and parses their lines.
+ROWS_PER_TASK = 250_000
 VIEW_AXES = 16
 VIEW_OFFSET = 0.5
 # Two small given trees: node, feature, split, left, right, rows, depth.
@@ -27,11 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input that comes in fewer partitions than there are cores,
-    dealt out to all of them; larger inputs stay where they are."""
+def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows of an input that comes in fewer partitions than there are cores, or than its
+    rows need at `rows_per_task`, dealt out to as many; other inputs stay where they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = max(cores, math.ceil(df.count() / rows_per_task))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 # Text of the log line by event type, in the three line shapes.

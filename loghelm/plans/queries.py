@@ -199,7 +199,7 @@ def record_contract(spark: SparkSession, sf: str) -> DataFrame:
     """Records with vector, written as JSON lines and read back in file order."""
     path = fresh_path(spark, "records")
     lines = view.parsed_lines(spark, sf)
-    wide = lines.withColumn("embedding", hash_embedding("template", DIM))
+    wide = vectors.with_vectors(lines, DIM)
     metrics = F.create_map(F.lit("cpu_percent"), (F.col("line_no") % 100).cast("double"))
     records.write_records_json(records.to_records(wide, metrics), path)
     back = records.with_metric_columns(records.read_records(spark, path, "jsonl"))

@@ -9,6 +9,7 @@ from loghelm.operators.host_metrics import metrics_as_of, with_latest_metrics
 from loghelm.operators.triage import (
     adapt_threshold, persist_adapted_cutoff, publish_settings, replay_threshold, stored_settings, verdict_counts,
 )
+from loghelm.plans import log_view
 from loghelm.plans.jobs import record_of
 from loghelm.sources.parameters import PLAIN
 from loghelm.sources.records import append_feedback, read_feedback, read_records, split_by_dimension, with_metric_columns, write_records_json
@@ -188,3 +189,11 @@ def test_latest_metrics_join_a_stream(spark, tmp_path):
     job.processAllAvailable()
     job.stop()
     assert {(r["log_id"], r["cpu_percent"]) for r in spark.table("with_metrics").collect()} == {("x", 20.0), ("y", None)}
+
+
+def test_an_input_is_dealt_to_as_many_tasks_as_its_rows_need(spark):
+    rows = spark.range(0, 95, numPartitions=1)
+    assert log_view.spread(rows, 10).rdd.getNumPartitions() == 10
+    assert sorted(r["id"] for r in log_view.spread(rows, 10).collect()) == list(range(95))
+    assert log_view.spread(rows).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert log_view.spread(spark.range(0, 95, numPartitions=30), 10).rdd.getNumPartitions() == 30
