@@ -1,11 +1,15 @@
-"""Signed feature hashing of a template into a unit vector, JVM-side only."""
+"""Signed feature hashing of a template into a unit vector: a column, or a matrix inside an Arrow step."""
 
 from __future__ import annotations
 
+import hashlib
+import re
+
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loghelm.functions.text import SPACE
+from loghelm.functions.text import SPACE, WHITE_SPACE
 
 DEFAULT_DIM = 384
 
@@ -69,3 +73,19 @@ def hash_embedding(text: str = "template", dim: int = DEFAULT_DIM) -> Column:
     hits = SIGNED_BINS.format(tokens=TOKENS.format(text=text), remainder=_remainder(dim))
     dense = DENSE.format(last=dim - 1)
     return F.expr(let(hits, "hits", let(BIN_SUMS, "sums", let(UNIT_VALUES, "entries", dense))))
+
+
+_GAPS = re.compile(f"[{WHITE_SPACE}]+")
+
+
+def hash_matrix(lowered: list[str], dim: int = DEFAULT_DIM) -> np.ndarray:
+    """The vectors of `hash_embedding` for texts that are in lower case, one row each, for
+    Arrow steps that see a template many times."""
+    totals = np.zeros((len(lowered), dim))
+    for row, text in zip(totals, lowered):
+        for token in _GAPS.split(text):
+            if token:
+                number = int.from_bytes(hashlib.md5(token.encode(), usedforsecurity=False).digest(), "big")
+                row[number % dim] += 1.0 if number & 1 else -1.0
+    norms = np.sqrt((totals**2).sum(axis=1)).astype(np.float32)[:, None]
+    return np.divide(totals.astype(np.float32), norms, out=np.zeros(totals.shape, np.float32), where=norms > 0).astype(np.float64)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghelm import schemas
+from loghelm.functions.hashing import hash_matrix
 from loghelm.functions.scoring import MODELS, NORM_GUARD, SCORE_DIGITS, matrix, nearest_distance, residual_error
 from loghelm.operators.clusters import CLUSTERS, centers_of, fit_kmeans
 from loghelm.operators.forest import Forest, fit_forest
@@ -20,6 +23,7 @@ from loghelm.sources import parameters
 from loghelm.sources.records import split_by_dimension
 
 TABLES = ("params", "settings", "forest", "centroids", "pca")
+SCORES = ", ".join(f"{m} double" for m in MODELS)
 
 
 @dataclass
@@ -49,18 +53,20 @@ def setting(settings: DataFrame, key: str, default: float) -> float:
     return default if row is None else row["value"]
 
 
-def raw_scores(embedding: Column, forest: Forest, offset: float, centers, mean, axes) -> Column:
-    """Struct of the three raw scores, one Arrow pass over the vectors. Every
+def _scorer(models: ModelTables) -> Callable[[np.ndarray], pa.Array]:
+    """The three raw scores of the rows of a matrix, as structs. Every
     score is computed row by row and rounded, so it is the same in any batch."""
+    centers = centers_of(models.centroids)
+    mean, axes = mean_and_axes(models.pca)
+    forest = Forest(models.forest.toPandas())
+    offset = setting(models.settings, "forest_offset", 0.0)
     kind = pa.struct([(m, pa.float64()) for m in MODELS])
 
-    @F.arrow_udf("isolation_forest double, kmeans double, autoencoder double")
-    def scores(vectors: pa.Array) -> pa.Array:
-        x = matrix(vectors, len(mean))
+    def scores(x: np.ndarray) -> pa.Array:
         columns = [forest.isolation(x) - offset, nearest_distance(x, centers), residual_error(x, mean, axes)]
         return pa.StructArray.from_arrays([pa.array(np.round(c, SCORE_DIGITS)) for c in columns], fields=list(kind))
 
-    return scores(embedding)
+    return scores
 
 
 def dimension(models: ModelTables) -> int:
@@ -69,19 +75,39 @@ def dimension(models: ModelTables) -> int:
 
 
 def score_vectors(vectors: DataFrame, models: ModelTables) -> DataFrame:
-    """Add one column per model with its raw score. Vectors of another size
+    """Add one column per model with its raw score, in one Arrow pass. Vectors of another size
     than the models' stop the job; `split_by_dimension` sets them aside."""
-    centers = centers_of(models.centroids)
-    mean, axes = mean_and_axes(models.pca)
-    forest = Forest(models.forest.toPandas())
-    offset = setting(models.settings, "forest_offset", 0.0)
-    scores = raw_scores(F.col("embedding"), forest, offset, centers, mean, axes)
+    score, dim = _scorer(models), dimension(models)
+
+    @F.arrow_udf(SCORES)
+    def scores(batch: pa.Array) -> pa.Array:
+        return score(matrix(batch, dim))
+
     # Reading the vector twice keeps it a column of its own below the Python
     # step, which cannot take the hashing expression as its argument.
-    scored = vectors.withColumn("__s", F.when(F.size("embedding") > 0, scores))
+    scored = vectors.withColumn("__s", F.when(F.size("embedding") > 0, scores(F.col("embedding"))))
     return scored.select(*vectors.columns, *[F.col(f"__s.{m}").alias(m) for m in MODELS])
 
 
+def score_texts(lines: DataFrame, models: ModelTables, dim: int, text: str = "template") -> DataFrame:
+    """Add the raw scores of each row's hashed `text`, as `score_vectors` gives them for its
+    `hash_embedding`. A text is embedded and scored once per Arrow batch, however many
+    rows of it have it. A missing text stops the job."""
+    score, size = _scorer(models), dimension(models)
+    if size != dim:
+        raise ValueError(f"vectors of {dim} numbers for models of {size}")
+
+    @F.arrow_udf(SCORES)
+    def scores(batch: pa.Array) -> pa.Array:
+        if batch.null_count:
+            raise ValueError("rows without a text have no vector")
+        once = pc.dictionary_encode(batch)
+        return score(hash_matrix(once.dictionary.to_pylist(), dim)).take(once.indices)
+
+    scored = lines.withColumn("__s", scores(F.lower(text)))
+    return scored.select(*lines.columns, *[F.col(f"__s.{m}").alias(m) for m in MODELS])
+
+
 def score_stats(scored: DataFrame) -> DataFrame:
     """Smallest and largest score per model (one row each), in one pass."""
     ends = scored.agg(

@@ -7,9 +7,11 @@ import re
 from collections.abc import Iterator
 from dataclasses import replace
 from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghelm.functions.hashing import hash_embedding
@@ -857,17 +859,28 @@ def _append_by_stream(lines: DataFrame, folder: str) -> None:
     """Append the lines to one text file per stream, the last one without its end, which
     the next call puts there. A task that runs again cuts its files back first."""
 
-    def write(rows: Iterator[Row]) -> None:
-        for stream, own in groupby(rows, key=lambda r: r["stream"]):
-            path, mark = f"{folder}/{stream}.log", f"{folder}/.{stream}.end"
-            before = int(open(mark).read()) if os.path.exists(mark) else 0
-            with open(path, "r+b" if before else "wb") as file:
-                file.truncate(before)
-                file.seek(before)
-                for i, row in enumerate(own):
-                    file.write((b"\n" if before or i else b"") + row["value"].encode())
-
-    lines.repartition("stream").sortWithinPartitions("stream", "line_no").select("stream", "value").foreachPartition(write)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, open_stream = None, None
+        for batch in batches:
+            rows = zip(batch.column("stream").to_pylist(), batch.column("value").to_pylist())
+            for stream, own in groupby(rows, key=itemgetter(0)):
+                if file is None or stream != open_stream:
+                    if file:
+                        file.close()
+                    path, mark, open_stream = f"{folder}/{stream}.log", f"{folder}/.{stream}.end", stream
+                    before = int(open(mark).read()) if os.path.exists(mark) else 0
+                    file = open(path, "r+b" if before else "wb")
+                    file.truncate(before)
+                    file.seek(before)
+                    start = b"\n" if before else b""
+                file.write(start + "\n".join([value for _, value in own]).encode())
+                start = b"\n"
+        if file:
+            file.close()
+        yield from ()
+
+    placed = lines.repartition("stream").sortWithinPartitions("stream", "line_no")
+    placed.select("stream", "value").mapInArrow(write, "done BOOLEAN").collect()  # no rows come back
 
 
 @query

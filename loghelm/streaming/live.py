@@ -13,14 +13,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from loghelm.functions.hashing import hash_embedding
 from loghelm.functions.scoring import MODELS
 from loghelm.functions.text import HIGHLIGHT_WORDS, drop_undecodable, has_any_word, is_blank, parse_lines
 from loghelm.operators.detection import decide, load_params
 from loghelm.operators.host_metrics import with_latest_metrics
 from loghelm.operators.incidents import with_rule_report
 from loghelm.operators.lookup import lookup
-from loghelm.operators.models import ModelTables, score_vectors
+from loghelm.operators.models import ModelTables, score_texts
 from loghelm.operators.triage import LEARNING_RATE, apply_verdicts, verdict_counts
 from loghelm.session import materialize
 from loghelm.sources.records import parse_feedback
@@ -84,8 +83,7 @@ def as_live(scored: DataFrame) -> DataFrame:
 def score_events(lines: DataFrame, models: ModelTables, dim: int = 384) -> DataFrame:
     """Score every line of a stream on its own, without state; same values as
     the scores per template of a batch."""
-    parsed = parse_lines(lines).withColumn("embedding", hash_embedding("template", dim))
-    return as_live(decide(score_vectors(parsed, models).drop("embedding"), load_params(models.params)))
+    return as_live(decide(score_texts(parse_lines(lines), models, dim), load_params(models.params)))
 
 
 def stateful_alerts(
@@ -196,9 +194,8 @@ def run_live_alerts(
     the engine keeps under the checkpoint; the alerts go to `out_path` exactly
     once. `seed` gives the last lines of each stream before the start (`seed_state`).
     With `reports` each alert brings its report and the newest of the `metrics`,
-    a table that is read anew in every batch. Every line is embedded on its own;
-    `scoring_tasks` deals the lines out for that where a source gives few, large
-    tasks. The trigger is
+    a table that is read anew in every batch. `scoring_tasks` deals the lines out
+    for the scoring where a source gives few, large tasks. The trigger is
     `{"processingTime": "300 milliseconds"}` or the like, by default all that
     is there, once.
     """

@@ -5,6 +5,7 @@ import random
 import pyarrow as pa
 import pytest
 
+from loghelm.plans import queries
 from loghelm.sources import growing
 
 
@@ -75,3 +76,23 @@ def test_offsets_decide_where_to_go_on():
     assert growing.resume_at("a", old, {"a": [30, 2, 9]}) == 0
     assert growing.resume_at("a.1", old, {"a.1": [30, 2, 7], "a": [3, 2, 9]}) == 10
     assert growing.resume_at("c", old, {"a": [10, 1, 7], "c": [9, 2, 7]}) == 0  # a copy is a file of its own
+
+
+def test_lines_are_appended_in_order_over_many_arrow_batches(spark, tmp_path):
+    """The second call goes on behind the mark, cuts what lies there back, and ends the line before."""
+    rows = [(f"host-{i % 3}", i, f"ü {i}") for i in range(60)]
+    lines = spark.createDataFrame(rows, "stream string, line_no long, value string").repartition(5)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4")
+    try:
+        queries._append_by_stream(lines.where("line_no < 30"), str(tmp_path))
+        for n in range(3):
+            (tmp_path / f".host-{n}.end").write_text(str((tmp_path / f"host-{n}.log").stat().st_size))
+        with open(tmp_path / "host-1.log", "ab") as file:
+            file.write(b"left by a task that failed")
+        queries._append_by_stream(lines.where("line_no >= 30"), str(tmp_path))
+    finally:
+        spark.conf.set(key, before)
+    for n in range(3):
+        assert (tmp_path / f"host-{n}.log").read_text() == "\n".join(v for s, _, v in rows if s == f"host-{n}")
