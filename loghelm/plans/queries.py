@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loghelm.functions.hashing import hash_embedding
 from loghelm.functions.scoring import centroid_distance, reconstruction_error
 from loghelm.functions.text import ALERT_WORDS, HIGHLIGHT_WORDS, has_any_word, parse_lines, sanitize
 from loghelm.operators import clusters, context, detection, evaluation, forest, host_metrics, incidents
@@ -290,7 +289,7 @@ def evaluation_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors and labels written as the evaluation table, read back."""
     path = fresh_path(spark, "matrix")
     lines = labelling.label_lines(view.parsed_lines(spark, sf), view.block_labels(spark, sf))
-    records.write_matrix(lines.withColumn("embedding", hash_embedding("template", DIM)), path)
+    records.write_matrix(vectors.with_vectors(lines, DIM), path)
     return spark.read.parquet(path).select("log_id", "block_id", "label", F.size("embedding").alias("dim"))
 
 

@@ -5,12 +5,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loghelm.functions.hashing import hash_embedding
+from loghelm.functions.hashing import hash_embedding, hash_matrix
 from loghelm.operators.clusters import centers_of, fit_kmeans
 from loghelm.operators.forest import Forest, average_path, fit_forest
-from loghelm.operators.models import ModelTables, fit, score_vectors
+from loghelm.operators.models import ModelTables, fit, score_texts, score_vectors
 from loghelm.operators.subspace import fit_pca, mean_and_axes
-from loghelm.operators.vectors import distinct_vectors, template_vectors
+from loghelm.operators.vectors import distinct_vectors, template_vectors, with_vectors
 from loghelm.functions.scoring import MODELS, nearest_distance, residual_error
 
 DIM = 16
@@ -190,3 +190,34 @@ def test_loading_without_models_fails(spark, tmp_path):
 def test_distinct_vectors_count_rows(spark):
     rows = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0],), ([3.0, 4.0],)], "embedding array<double>")
     assert sorted(r["n"] for r in distinct_vectors(rows).collect()) == [1, 2]
+
+
+ODD_TEXTS = ["", "  ", "a", "A a\ta", "x\x85y\u2003z\x1fz", "ÄÖ ß İ ΑΣ", "one two three one", "\u200bzero width", "Receiving block <BLOCK> src: <IP> dest: <IP>"]
+
+
+@pytest.mark.parametrize("dim", [1, 7, 64, 384])
+def test_matrix_equals_the_column(spark, dim):
+    found = spark.createDataFrame([(t,) for t in ODD_TEXTS], "template string")
+    rows = found.select(F.lower("template").alias("low"), hash_embedding("template", dim).alias("e")).collect()
+    assert hash_matrix([r["low"] for r in rows], dim).tolist() == [r["e"] for r in rows]
+
+
+def test_texts_are_scored_as_their_vectors(spark):
+    lines = spark.createDataFrame([(t, i) for i in range(5) for t in ODD_TEXTS], "template string, i int")
+    models = fit(template_vectors(lines, DIM), n_clusters=2, ae_latent_dim=2)
+    columns = ["template", "i", *MODELS]
+    given = score_vectors(lines.withColumn("embedding", hash_embedding("template", DIM)), models).select(columns)
+    assert sorted(map(tuple, score_texts(lines, models, DIM).select(columns).collect())) == sorted(map(tuple, given.collect()))
+    with pytest.raises(ValueError, match="16"):
+        score_texts(lines, models, 8)
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "rows_per_salt": 4}])
+def test_lines_look_the_vector_of_their_template_up(spark, options):
+    rows = [("f", i, t) for i, t in enumerate([*ODD_TEXTS, None] * 6)]
+    lines = spark.createDataFrame(rows, "file string, line_no long, template string")
+    found = with_vectors(lines, DIM, **options)
+    assert "md5" not in found._jdf.queryExecution().toString()  # lines embed nothing
+    given = lines.withColumn("embedding", hash_embedding("template", DIM))
+    order = lambda df: sorted(map(tuple, df.select("line_no", "template", "embedding").collect()), key=lambda r: r[0])
+    assert order(found) == order(given)
