@@ -27,6 +27,8 @@ from loghelm.sources.records import parse_feedback
 # Fixed values of a live alert.
 LIVE_THRESHOLD = 0.50
 CONTEXT_SIZE = 5
+#: Most lines of an Arrow batch.
+FRAME_ROWS = 2_000
 #: Time without lines after which a stream is forgotten.
 IDLE = "7 days"
 STATE_SCHEMA = "count BIGINT, held ARRAY<STRING>, alerted BOOLEAN"
@@ -223,11 +225,17 @@ def _started(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
     The engine refuses a sort in a stream, as it can not order a stream as a whole; within the tasks of a
     batch, which is what the state needs, it can, so its check is off for the start. It would also run batch
     after batch without data, one a trigger, to look for streams whose time has passed; they pass in the next
-    batch with lines."""
-    settings = ("spark.sql.streaming.noDataMicroBatches.enabled", "spark.sql.streaming.unsupportedOperationCheck")
-    before = {key: spark.conf.get(key, "true") for key in settings}
-    for key in settings:
-        spark.conf.set(key, "false")
+    batch with lines. Python's reader of a state's rows holds some dozens of Arrow batches, which are small therefore."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    given = int(spark.conf.get(rows))
+    settings = {
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+        "spark.sql.streaming.unsupportedOperationCheck": "false",
+        rows: str(min(FRAME_ROWS, given) if given > 0 else FRAME_ROWS),
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         return writer.start()
     finally:
